@@ -11,6 +11,8 @@ from .keyed import first_per_key, heavy_keys, latest_per_key
 # An order with more lines than this is kept out of the shuffle by order id.
 HEAVY_ORDER_LINES = 1_000_000
 
+LINE_KEY = ["order_id", "order_detail_id"]
+
 
 def join_wide(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Each order line with its order. A skewed order is split at run time."""
@@ -19,12 +21,12 @@ def join_wide(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def dedup_lines(wide: DataFrame) -> DataFrame:
     """One row per order line, for pairs that an overlapping window or a resend gave twice."""
-    return first_per_key(wide, ["order_detail_id"], [F.col("create_time"), F.col("order_id")])
+    return first_per_key(wide, LINE_KEY, [F.col("create_time")])
 
 
 def latest_lines(wide: DataFrame, version: str = "create_time") -> DataFrame:
     """Newest version of each order line within its day, as a replacing table shows it."""
-    return latest_per_key(wide, ["dt", "order_detail_id"], [F.col(version).desc()])
+    return latest_per_key(wide, ["dt", *LINE_KEY], [F.col(version).desc()])
 
 
 def allocated_share() -> Column:

@@ -44,7 +44,7 @@ def _orders(spark: SparkSession, d: str, first: str | None = None, last: str | N
     return records.orders_with_amounts(rows, lines)
 
 
-def _allocated(spark: SparkSession, d: str) -> DataFrame:
+def allocated_lines(spark: SparkSession, d: str) -> DataFrame:
     return dws.allocate(_orders(spark, d), records.order_lines(spark, d))
 
 
@@ -71,7 +71,9 @@ def _log_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def cdc_messages(spark: SparkSession, d: str) -> DataFrame:
     """Single-row change envelopes as JSON text."""
-    text = F.format_string('{"table":"%s","type":"%s","data":%s}', "table", "type", "data")
+    text = F.concat(
+        F.lit('{"table":"'), "table", F.lit('","type":"'), "type", F.lit('","data":'), "data", F.lit("}")
+    )
     return records.cdc_rows(spark, d).select(text.alias("value"))
 
 
@@ -364,19 +366,19 @@ def order_wide_store(spark: SparkSession, d: str) -> DataFrame:
 def _with_labels(spark: SparkSession, d: str) -> DataFrame:
     nothing = {c: F.lit(None).cast("string") for c in (
         "if_first_order", "province_name", "province_area_code", "user_age_group", "user_gender")}
-    return _allocated(spark, d).withColumns(nothing)
+    return allocated_lines(spark, d).withColumns(nothing)
 
 
 @query
 def order_split_amount(spark: SparkSession, d: str) -> DataFrame:
-    return _allocated(spark, d).select(
+    return allocated_lines(spark, d).select(
         "order_id", "order_detail_id", "line_cents", "final_detail_cents"
     )
 
 
 @query
 def order_split_check(spark: SparkSession, d: str) -> DataFrame:
-    return _allocated(spark, d).groupBy("order_id").agg(
+    return allocated_lines(spark, d).groupBy("order_id").agg(
         F.max("final_total_cents").alias("final_total_cents"),
         F.sum("final_detail_cents").alias("split_sum_cents"),
     )
@@ -395,7 +397,7 @@ def order_detail_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 def _trademark_stat(spark: SparkSession, d: str) -> DataFrame:
     return ads.batch_trademark_amounts(
-        _allocated(spark, d), records.skus(spark, d), records.trademarks(spark, d)
+        allocated_lines(spark, d), records.skus(spark, d), records.trademarks(spark, d)
     )
 
 
@@ -417,7 +419,7 @@ def trademark_topn_xy(spark: SparkSession, d: str) -> DataFrame:
 @query
 def spu_amount(spark: SparkSession, d: str) -> DataFrame:
     sums = ads.amounts_by_sku_attribute(
-        ads.amounts_by_sku(_allocated(spark, d)), records.skus(spark, d), "spu_id"
+        ads.amounts_by_sku(allocated_lines(spark, d)), records.skus(spark, d), "spu_id"
     )
     return sums.join(records.spus(spark, d), "spu_id", "left").select(
         "spu_id", "spu_name", "amount_cents"
@@ -427,7 +429,7 @@ def spu_amount(spark: SparkSession, d: str) -> DataFrame:
 @query
 def category_amount(spark: SparkSession, d: str) -> DataFrame:
     sums = ads.amounts_by_sku_attribute(
-        ads.amounts_by_sku(_allocated(spark, d)), records.skus(spark, d), "category3_id"
+        ads.amounts_by_sku(allocated_lines(spark, d)), records.skus(spark, d), "category3_id"
     )
     return sums.join(records.categories(spark, d), "category3_id", "left").select(
         "category3_id", "category3_name", "amount_cents", "line_count"
@@ -463,7 +465,7 @@ def dim_grouping_sets(spark: SparkSession, d: str) -> DataFrame:
     people = _users(spark, d).select("user_id", "province_id", "age_group", "gender_name")
     kinds = records.skus(spark, d).select("sku_id", "category3_id")
     # User and sku are the join keys, so sum to the pair before looking either up.
-    sums = _allocated(spark, d).join(kinds, "sku_id", "left").groupBy("user_id", "category3_id").agg(
+    sums = allocated_lines(spark, d).join(kinds, "sku_id", "left").groupBy("user_id", "category3_id").agg(
         F.sum("final_detail_cents").alias("amount_cents"), F.count(F.lit(1)).alias("line_count")
     )
     names = ["province_id", "age_group", "gender_name", "category3_id"]

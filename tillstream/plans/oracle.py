@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-LINES = """lines AS (
-  SELECT CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
-           CAST(round(l_discount * 100) AS BIGINT), CAST(round(l_tax * 100) AS BIGINT),
-           l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d'))), 1, 15) AS BIGINT) AS order_detail_id,
-         l_orderkey AS order_id, l_partkey AS sku_id, CAST(l_quantity AS BIGINT) AS sku_num,
-         CAST(round(l_extendedprice * 100) AS BIGINT) AS line_cents,
-         (CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) + 50) // 100 AS paid_cents
-  FROM lineitem)"""
+def _digest_half(multiplier: int) -> str:
+    h = "0"
+    for field in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "num", "line_cents", "disc", "tax",
+                  "ascii(l_returnflag)", "ascii(l_linestatus)", "date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))"):
+        h = f"(CAST({h} AS BIGINT) * {multiplier} + {field}) % 2147483647"
+    return h
+
+
+LINES = f"""item AS (
+  SELECT *, CAST(l_quantity AS BIGINT) AS num, CAST(round(l_extendedprice * 100) AS BIGINT) AS line_cents,
+         CAST(round(l_discount * 100) AS BIGINT) AS disc, CAST(round(l_tax * 100) AS BIGINT) AS tax
+  FROM lineitem),
+lines AS (
+  SELECT ({_digest_half(16807)}) * 2147483648 + {_digest_half(48271)} AS order_detail_id,
+         l_orderkey AS order_id, l_partkey AS sku_id, num AS sku_num, line_cents,
+         (line_cents * (100 - disc) + 50) // 100 AS paid_cents
+  FROM item)"""
 
 ORDERS = """ord AS (
   SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderstatus AS order_status,
@@ -289,4 +297,27 @@ SQL: dict[str, str] = {
         "hit JOIN ord USING (order_id) JOIN person USING (user_id)", "gender_name")),
     "doc_with_array": """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 3 ELSE 2 END AS n_tags,
         lang || ',' || source || CASE WHEN doc_id % 4 = 0 THEN ',again' ELSE '' END AS tags FROM documents""",
+    "stream_events_source": _sql(EVENTS, body="SELECT ts_ms, mid, ch, vc FROM ev"),
+    "stream_restart_exact": _sql(EVENTS, body="SELECT dt, count(*) AS n FROM ev GROUP BY dt"),
+    "stream_dim_upsert": _sql(USERS, body="""SELECT user_id, CASE WHEN user_id % 3 = 0 THEN 'VIP' ELSE user_level END AS user_level,
+        age_group, gender_name FROM person"""),
+    "stream_order_enrich": _sql(ORDERS, USERS, PROVINCES, body="""SELECT order_id, province_name, province_area_code,
+        age_group AS user_age_group, gender_name AS user_gender
+        FROM ord LEFT JOIN person USING (user_id) LEFT JOIN prov USING (province_id)"""),
+    "stream_order_full_outer": _sql(LINES, body="""
+        SELECT 'order' AS kind, o_orderkey AS id FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey NOT IN (SELECT order_id FROM lines)
+        UNION ALL SELECT 'line', order_detail_id FROM lines WHERE order_id % 7 = 0"""),
+    "stream_trademark_sink": _sql(*_SPL, SKUS, body="""SELECT tm_id, tm_name, CAST(sum(final_detail_cents) AS BIGINT) AS amount_cents
+        FROM split JOIN sku USING (sku_id) GROUP BY 1, 2"""),
 }
+
+# A stream over all of a table gives what the batch query gives.
+for _stream, _batch in {
+    "stream_cdc_route": "cdc_route_topic",
+    "stream_dau_dedup": "dau_dedup",
+    "stream_sliding_counts": "event_sliding_counts",
+    "stream_order_first_flag": "order_first_flag",
+    "stream_order_wide": "order_wide_dedup",
+    "stream_order_split": "order_split_amount",
+}.items():
+    SQL[_stream] = SQL[_batch]

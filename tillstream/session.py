@@ -19,6 +19,9 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Columnar files unpack to several times their size; without the factor a large fact table just
+    # below the broadcast threshold on disk would be broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -27,7 +30,9 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def build_session(app: str = "tillstream", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session; on a cluster leave `master` unset and let spark-submit decide."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").config(
+        "spark.ui.showConsoleProgress", "false"
+    )
     if master:
         builder = builder.master(master)
     for key, value in {**_RUNTIME_CONF, **conf}.items():

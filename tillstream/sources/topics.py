@@ -43,13 +43,19 @@ def read_topic(
     return stream.parquet(f"{root}/{topic}")
 
 
-def append_messages(messages: DataFrame, topic: str, root: str, files: int | None = None) -> None:
-    """Add `key, value` messages to a topic folder, equal keys in one file, in one commit."""
+def append_messages(
+    messages: DataFrame, topic: str, root: str, files: int | None = None, keyed: bool = False
+) -> None:
+    """Add `key, value` messages to a topic folder in one commit.
+
+    `keyed` puts equal keys into one file as a keyed topic does into one partition, at the price of
+    a big file for a hot key.
+    """
     rows = messages.select(
         F.col("key").cast("string").alias("key"),
         "value",
         F.current_timestamp().alias("timestamp"),
     )
     if files:
-        rows = rows.repartition(files, "key")
+        rows = rows.repartition(files, "key") if keyed else rows.repartition(files)
     rows.write.mode("append").parquet(f"{root}/{topic}")
