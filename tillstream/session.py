@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -63,15 +63,24 @@ def conf_override(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None
                 spark.conf.set(key, value)
 
 
-def workspace(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared one the cluster names in `spark.checkpoint.dir`.
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tillstream-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in `spark.checkpoint.dir`.
 
     Executors of a cluster must all see it, so a machine-local folder is used in local mode only.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="tillstream-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return os.path.join(shared.rstrip("/"), f"{label}-{uuid.uuid4().hex[:12]}")
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _local_folder()
+
+
+def workspace(spark: SparkSession, label: str) -> str:
+    """A fresh folder below the shared one."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
