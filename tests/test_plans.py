@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tillstream.operators import dws
@@ -53,3 +54,32 @@ def test_allocation_shuffles_lines_once(spark, folder):
 def test_sums_by_dimension_are_partial_before_the_join(spark, folder):
     plan = _plan(queries()["province_amount"](spark, folder))
     assert "partial_sum(final_total_cents" in plan
+
+
+def test_dedupe_after_a_join_spreads_by_line(spark, folder):
+    """Copies of one line collapse before the exchange although the join left rows by order."""
+    with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        pairs = dws.join_wide(records.orders(spark, folder), records.order_lines(spark, folder))
+        for rows in (dws.dedup_lines(pairs), dws.latest_lines(pairs)):
+            plan = _plan(rows)
+            last, first = plan.index("WindowGroupLimit"), plan.rindex("WindowGroupLimit")
+            assert "Exchange hashpartitioning" in plan[last:first]
+
+
+def test_hot_order_is_split_in_the_join(spark):
+    """A third of all lines in one order: the adaptive plan splits that join partition."""
+    folder = "/root/testdata/sf0.01"
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    with conf_override(spark, conf):
+        lines = records.order_lines(spark, folder)
+        hot = lines.filter("order_id % 3 = 0").withColumn("order_id", F.lit(7).cast("bigint"))
+        lines = lines.filter("order_id % 3 <> 0").unionByName(hot).repartition(8)
+        wide = dws.join_wide(records.orders(spark, folder), lines).groupBy("order_id").agg(
+            F.max("order_detail_id").alias("last"))
+        wide._jdf.collectToPython()
+        assert "skew=true" in _plan(wide)

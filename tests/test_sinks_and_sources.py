@@ -78,6 +78,7 @@ def test_topic_needs_a_place(spark, tmp_path):
         spark.createDataFrame([("k", "v")], "key STRING, value STRING"), "T", str(tmp_path), 2, keyed=True)
     stream = topics.read_topic(spark, "T", root=str(tmp_path), per_trigger=1)
     assert stream.isStreaming and stream.columns == ["key", "value", "timestamp"]
+    assert topics.read_topic(spark, ["T", "T"], root=str(tmp_path)).isStreaming
 
 
 def test_jdbc_options():

@@ -21,12 +21,12 @@ def join_wide(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def dedup_lines(wide: DataFrame) -> DataFrame:
     """One row per order line, for pairs that an overlapping window or a resend gave twice."""
-    return first_per_key(wide, LINE_KEY, [F.col("create_time")])
+    return first_per_key(wide, LINE_KEY, [F.col("create_time")], spread=True)
 
 
 def latest_lines(wide: DataFrame, version: str = "create_time") -> DataFrame:
     """Newest version of each order line within its day, as a replacing table shows it."""
-    return latest_per_key(wide, ["dt", *LINE_KEY], [F.col(version).desc()])
+    return latest_per_key(wide, ["dt", *LINE_KEY], [F.col(version).desc()], spread=True)
 
 
 def allocated_share() -> Column:

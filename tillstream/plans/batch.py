@@ -581,7 +581,7 @@ def _hits(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def keyword_match(spark: SparkSession, d: str) -> DataFrame:
-    return _hits(spark, d).select("doc_id", "lang", "n_chars").orderBy("n_chars", "doc_id")
+    return _hits(spark, d).select("doc_id", "lang", "n_chars")
 
 
 @query

@@ -5,14 +5,18 @@ Both give the same columns, `key STRING, value STRING, timestamp TIMESTAMP`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 MESSAGE = "key STRING, value STRING, timestamp TIMESTAMP"
 
 
 def read_topic(
     spark: SparkSession,
-    topic: str,
+    topic: str | Sequence[str],
     *,
     root: str | None = None,
     servers: str | None = None,
@@ -20,12 +24,16 @@ def read_topic(
     per_trigger: int | None = None,
     starting: str = "latest",
 ) -> DataFrame:
-    """Stream of a topic. A restarted query goes on from its checkpoint; `starting` counts only once."""
+    """Stream of one or several topics.
+
+    A restarted query goes on from its checkpoint; `starting` counts for its first start only.
+    """
+    names = [topic] if isinstance(topic, str) else list(topic)
     if servers:
         reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
+            .option("subscribe", ",".join(names))
             .option("startingOffsets", starting)
         )
         if group:
@@ -37,10 +45,11 @@ def read_topic(
         )
     if root is None:
         raise ValueError("give either Kafka servers or the root folder of the topics")
-    stream = spark.readStream.schema(MESSAGE)
+    reader = spark.readStream.schema(MESSAGE)
     if per_trigger:
-        stream = stream.option("maxFilesPerTrigger", str(per_trigger))
-    return stream.parquet(f"{root}/{topic}")
+        reader = reader.option("maxFilesPerTrigger", str(per_trigger))
+    streams = [reader.parquet(f"{root}/{name}") for name in names]
+    return reduce(DataFrame.unionByName, streams)
 
 
 def append_messages(
@@ -59,3 +68,18 @@ def append_messages(
     if files:
         rows = rows.repartition(files, "key") if keyed else rows.repartition(files)
     rows.write.mode("append").parquet(f"{root}/{topic}")
+
+
+def kafka_sink(messages: DataFrame, servers: str, topic: str | None = None) -> DataStreamWriter:
+    """Send `key, value` messages to a topic, or each to the topic in its own `topic` column.
+
+    Kafka keeps equal keys in one partition, in order. Delivery is at least once, so readers
+    deduplicate by the row's id.
+    """
+    columns = ["key", "value"] if topic else ["topic", "key", "value"]
+    writer = (
+        messages.select(*columns).writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("kafka.enable.idempotence", "true")
+    )
+    return writer.option("topic", topic) if topic else writer
