@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstream.operators import ads, dims, dwd, dws, keyed, ods, search, serving
 from tillstream.plans import batch
+from tillstream.sinks import files
 from tillstream.sources import records
 
 from .conftest import rows_of
@@ -182,3 +183,18 @@ def test_store_types(spark, folder):
     kinds = dict(wide.dtypes)
     assert kinds["final_detail_amount"] == "decimal(16,2)" and kinds["dt"] == "date"
     assert len(kinds) == 26
+
+
+def test_day_of_the_stored_wide_table_opens_its_folder_only(spark, folder, tmp_path):
+    path = str(tmp_path / "wide")
+    files.write_days(batch.full_wide(spark, folder).filter("dt < '1995-03-01'"), path)
+    stored = spark.read.parquet(path)
+    day = stored.filter(F.col("dt") == "1995-02-03")
+    total = serving.order_amount_total(day, "final_detail_cents")
+    plan = total._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    orders = records.orders_with_amounts(
+        records.orders(spark, folder, "1995-02-03"), records.order_lines(spark, folder))
+    assert total.first()[0] == serving.order_amount_total(orders).first()[0]
+    by_hour = serving.order_amount_by_hour(day, "final_detail_cents")
+    assert rows_of(by_hour) == rows_of(serving.order_amount_by_hour(orders))

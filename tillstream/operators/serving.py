@@ -18,14 +18,18 @@ def dau_by_hour(dau: DataFrame) -> DataFrame:
     return dau.groupBy("hr").agg(F.count(F.lit(1)).alias("dau"))
 
 
-def order_amount_total(orders: DataFrame) -> DataFrame:
-    """Paid amount; null when there are no orders."""
-    return orders.agg(F.sum("final_total_cents").alias("order_amount_cents"))
+def order_amount_total(rows: DataFrame, amount: str = "final_total_cents") -> DataFrame:
+    """Paid amount; null when there are no rows.
+
+    Order rows carry it in `final_total_cents`, rows of the wide table in `final_detail_cents`;
+    read from a wide table stored by day, a day's figure opens that day's files only.
+    """
+    return rows.agg(F.sum(amount).alias("order_amount_cents"))
 
 
-def order_amount_by_hour(orders: DataFrame) -> DataFrame:
+def order_amount_by_hour(rows: DataFrame, amount: str = "final_total_cents") -> DataFrame:
     hour = F.date_format("create_time", "HH").alias("hr")
-    return orders.groupBy(hour).agg(F.sum("final_total_cents").alias("order_amount_cents"))
+    return rows.groupBy(hour).agg(F.sum(amount).alias("order_amount_cents"))
 
 
 def compare_hours(spark: SparkSession, hourly: DataFrame, value: str, today: str) -> DataFrame:

@@ -319,5 +319,6 @@ for _stream, _batch in {
     "stream_order_first_flag": "order_first_flag",
     "stream_order_wide": "order_wide_dedup",
     "stream_order_split": "order_split_amount",
+    "stream_layers": "stream_trademark_sink",
 }.items():
     SQL[_stream] = SQL[_batch]

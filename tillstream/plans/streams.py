@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.jsontext import good_rows, json_of, parse_typed
 from ..functions.times import time_text
-from ..operators import dims, dws
+from ..operators import ads, dims, dws
 from ..session import workspace
 from ..sinks import files
 from ..sources import records, topics
@@ -22,6 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, Query] = {}
 
+# Seconds each micro-batch took, by working-folder label, for the bench.
+BATCH_SECONDS: dict[str, list[float]] = {}
+
 
 def query(fn: Query) -> Query:
     REGISTRY[fn.__name__] = fn
@@ -33,6 +36,7 @@ class Replay:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
+        self.label = label
         self.root = workspace(spark, label)
         self.files = spark.sparkContext.defaultParallelism
 
@@ -67,7 +71,9 @@ class Replay:
         return good_rows(parse_typed(self.spark.read.parquet(self.path(topic)), schema))
 
     def drain(self, writer, name: str = "job"):
-        return run.drain(self.spark, writer, self.path(f"checkpoint-{name}"))
+        ended = run.drain(self.spark, writer, self.path(f"checkpoint-{name}"))
+        BATCH_SECONDS.setdefault(self.label, []).extend(run.batch_seconds(ended))
+        return ended
 
 
 def _log(spark: SparkSession, d: str) -> DataFrame:
@@ -274,3 +280,40 @@ def stream_trademark_sink(spark: SparkSession, d: str) -> DataFrame:
     replay.drain(jobs.trademark_sums(stream, replay.path("stat")))
     stat = spark.read.parquet(replay.path("stat"))
     return stat.groupBy("tm_id", "tm_name").agg(F.sum("amount_cents").alias("amount_cents"))
+
+
+@query
+def stream_layers(spark: SparkSession, d: str) -> DataFrame:
+    """All layers one after another, each a query of its own: change topic → ODS topics → wide
+    pairs → allocation → brand sums."""
+    replay = Replay(spark, "layers")
+    rows = records.orders_with_amounts(records.orders(spark, d), records.order_lines(spark, d))
+    lines = _lines_with_time(spark, d, rows)
+
+    def changes(table: str, data: DataFrame, time: str) -> DataFrame:
+        body = json_of(F.lit(table).alias("table"), F.lit("insert").alias("type"), F.struct(*data.columns).alias("data"))
+        return data.select(body.alias("value"), F.col(time).alias("at_time"))
+
+    both = changes("order_info", rows, "create_time").unionByName(
+        changes("order_detail", lines, "line_time"))
+    replay.land(both, "at_time", "DB_CHANGES", 3)
+
+    ods_path, pairs_path = replay.path("ods"), replay.path("pairs")
+    replay.drain(jobs.route_changes(replay.stream("DB_CHANGES"), ods_path), "ods")
+
+    def ods_topic(topic: str, schema: T.StructType) -> DataFrame:
+        routed = spark.readStream.schema("key STRING, value STRING, topic STRING").parquet(ods_path)
+        return good_rows(parse_typed(routed.filter(F.col("topic") == topic), schema))
+
+    joined = jobs.join_orders(
+        ods_topic("ODS_ORDER_INFO", rows.schema), ods_topic("ODS_ORDER_DETAIL", lines.schema))
+    replay.drain(jobs.store_wide(joined, pairs_path), "wide")
+
+    pairs = jobs.wide_view(spark, pairs_path)
+    stored = spark.readStream.schema(pairs.schema).parquet(pairs_path)
+    replay.drain(jobs.order_progress(stored, replay.path("progress")), "progress")
+    allocated = jobs.allocated_view(pairs, spark.read.parquet(replay.path("progress")))
+    sums = ads.amounts_by_sku_attribute(
+        ads.amounts_by_sku(allocated), records.skus(spark, d), "tm_id")
+    return sums.join(records.trademarks(spark, d), "tm_id", "left").select(
+        "tm_id", "tm_name", "amount_cents")

@@ -47,3 +47,12 @@ def late_rows(query: StreamingQuery) -> int:
         for progress in query.recentProgress
         for op in progress["stateOperators"]
     )
+
+
+def batch_seconds(query: StreamingQuery) -> list[float]:
+    """How long each micro-batch with input took."""
+    return [
+        progress["durationMs"]["triggerExecution"] / 1000
+        for progress in query.recentProgress
+        if progress["numInputRows"]
+    ]
