@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tillstream.plans.streams import Replay
@@ -114,3 +115,29 @@ def test_first_order_survives_a_restart(spark):
     firsts = files.upserted(spark, replay.path("state"), ["user_id"])
     flags = jobs.flag_orders(replay.stored("O", kind), firsts)
     assert rows_of(flags.select("order_id", "if_first_order")) == [(1, "0"), (2, "1"), (3, "0"), (4, "1")]
+
+
+def test_batch_that_failed_after_its_write_is_not_counted_twice(spark):
+    """The sink wrote the batch, then the query died before its commit; the restart replays it."""
+    replay = Replay(spark, "crash")
+    schema = "tm_id BIGINT, tm_name STRING, final_detail_cents BIGINT"
+    path, crash = replay.path("stat"), {"at": 1}
+    sums = lambda b: b.groupBy("tm_id", "tm_name").agg(F.sum("final_detail_cents").alias("amount_cents"))
+    write = files.batch_writer(path, sums)
+
+    def flaky(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == crash["at"]:
+            crash["at"] = None
+            raise RuntimeError("lost after the write")
+
+    for rows in ([(1, "a:b", 5), (2, "c", 1)], [(1, "a:b", 7)]):
+        kind = _land(spark, replay, "W", schema, rows)
+        with_writer = jobs.per_batch(replay.stream("W", kind), flaky, "append")
+        try:
+            replay.drain(with_writer)
+        except StreamingQueryException:
+            replay.drain(jobs.per_batch(replay.stream("W", kind), flaky, "append"))
+    assert crash["at"] is None
+    stat = spark.read.parquet(path).groupBy("tm_name").agg(F.sum("amount_cents"))
+    assert rows_of(stat) == [("a:b", 12), ("c", 1)]

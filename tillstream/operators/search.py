@@ -47,3 +47,9 @@ def detail_hits(lines: DataFrame, skus: DataFrame, keyword: str) -> DataFrame:
     if keyword:
         names = names.filter(matches_any_word(F.col("sku_name"), keyword))
     return lines.join(names, "sku_id")
+
+
+def wide_hits(wide: DataFrame, day: str, keyword: str) -> DataFrame:
+    """Wide rows of a day, and with the keyword in the sku name unless it is empty."""
+    hits = wide.filter(F.col("dt") == day)
+    return hits.filter(matches_any_word(F.col("sku_name"), keyword)) if keyword else hits

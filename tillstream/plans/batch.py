@@ -329,20 +329,31 @@ def order_wide_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dws.dedup_lines(seen_twice).select("order_detail_id", "order_id", "sku_id", "line_cents")
 
 
-@query
-def order_wide_latest(spark: SparkSession, d: str) -> DataFrame:
+def _with_resent(spark: SparkSession, d: str) -> DataFrame:
     """Wide rows of which every fifth order was sent again a minute later with a new status."""
     pairs = _pairs(spark, d)
     minute = F.make_dt_interval(mins=F.lit(1))
     resent = pairs.filter("order_id % 5 = 0").withColumns(
         {"order_status": F.lit("RESENT"), "create_time": F.col("create_time") + minute}
     )
-    rows = dws.latest_lines(pairs.unionByName(resent))
-    return rows.select(
+    return pairs.unionByName(resent)
+
+
+@query
+def order_wide_latest(spark: SparkSession, d: str) -> DataFrame:
+    return dws.latest_lines(_with_resent(spark, d)).select(
         "order_detail_id", "dt", "order_status", time_text(F.col("create_time")).alias("create_time")
     )
 
 
+@query
+def order_wide_latest_amount(spark: SparkSession, d: str) -> DataFrame:
+    """Sums over the newest versions, so that a resent row counts once."""
+    return dws.latest_lines(_with_resent(spark, d)).groupBy("dt").agg(
+        F.sum("line_cents").alias("amount_cents"), F.count(F.lit(1)).alias("n_lines")
+    )
+
+
 @query
 def order_wide_shard_counts(spark: SparkSession, d: str) -> DataFrame:
     shard = F.pmod("order_detail_id", F.lit(8)).alias("shard")
@@ -630,16 +641,36 @@ def detail_search_page(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query
-def detail_search_gender_share(spark: SparkSession, d: str) -> DataFrame:
-    """Gender share of the lines a keyword search finds."""
+def detail_search_day(spark: SparkSession, d: str) -> DataFrame:
+    """First page of one day's wide rows with the keyword."""
+    rows = records.orders(spark, d, ORDER_DAY)
+    wide = dims.add_sku(dws.join_wide(rows, records.order_lines(spark, d)), _skus(spark, d))
+    hits = search.wide_hits(wide, ORDER_DAY, KEYWORD)
+    return search.page(hits, [F.col("order_detail_id")], 0, 10).select(
+        "order_detail_id", "order_id", "user_id", "sku_name", "tm_name", "line_cents", "dt"
+    )
+
+
+def _detail_share(spark: SparkSession, d: str, attribute: str) -> DataFrame:
+    """Share of a user attribute among the lines a keyword search finds."""
     per_order = _detail_hits(spark, d).groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
     per_user = (
         records.orders(spark, d).join(per_order, "order_id")
         .groupBy("user_id").agg(F.sum("n").alias("n"))
     )
-    people = _users(spark, d).select("user_id", "gender_name")
-    counts = per_user.join(people, "user_id").groupBy("gender_name").agg(F.sum("n").alias("n"))
-    return ads.shares(counts, "gender_name", "n")
+    people = _users(spark, d).select("user_id", attribute)
+    counts = per_user.join(people, "user_id").groupBy(attribute).agg(F.sum("n").alias("n"))
+    return ads.shares(counts, attribute, "n")
+
+
+@query
+def detail_search_gender_share(spark: SparkSession, d: str) -> DataFrame:
+    return _detail_share(spark, d, "gender_name")
+
+
+@query
+def detail_search_age_share(spark: SparkSession, d: str) -> DataFrame:
+    return _detail_share(spark, d, "age_group")
 
 
 @query

@@ -220,6 +220,8 @@ SQL: dict[str, str] = {
             UNION ALL
             SELECT order_detail_id, dt, 'RESENT', create_ts + INTERVAL 1 MINUTE FROM lines JOIN ord USING (order_id)
             WHERE order_id % 5 = 0)) WHERE rn = 1"""),
+    "order_wide_latest_amount": _sql(LINES, ORDERS, body="""SELECT dt, CAST(sum(line_cents) AS BIGINT) AS amount_cents,
+        count(*) AS n_lines FROM lines JOIN ord USING (order_id) GROUP BY dt"""),
     "order_wide_shard_counts": _sql(LINES, body="SELECT order_detail_id % 8 AS shard, count(*) AS n_rows FROM lines GROUP BY 1"),
     "order_wide_store": _sql(*_SPL, body="""SELECT substr(dt, 1, 7) AS month, count(*) AS n_rows,
         CAST(sum(final_detail_cents) AS BIGINT) AS amount_cents FROM split GROUP BY 1"""),
@@ -295,6 +297,11 @@ SQL: dict[str, str] = {
         JOIN ord o USING (order_id) LEFT JOIN person p ON p.user_id = o.user_id"""),
     "detail_search_gender_share": _sql(LINES, ORDERS, USERS, SKUS, _DETAIL, body=_share(
         "hit JOIN ord USING (order_id) JOIN person USING (user_id)", "gender_name")),
+    "detail_search_age_share": _sql(LINES, ORDERS, USERS, SKUS, _DETAIL, body=_share(
+        "hit JOIN ord USING (order_id) JOIN person USING (user_id)", "age_group")),
+    "detail_search_day": _sql(LINES, ORDERS, SKUS, _DETAIL, body="""
+        SELECT order_detail_id, order_id, user_id, sku_name, tm_name, line_cents, dt
+        FROM hit JOIN ord USING (order_id) WHERE dt = '1996-09-17' ORDER BY order_detail_id LIMIT 10"""),
     "doc_with_array": """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 3 ELSE 2 END AS n_tags,
         lang || ',' || source || CASE WHEN doc_id % 4 = 0 THEN ',again' ELSE '' END AS tags FROM documents""",
     "stream_events_source": _sql(EVENTS, body="SELECT ts_ms, mid, ch, vc FROM ev"),

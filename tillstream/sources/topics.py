@@ -65,8 +65,12 @@ def append_messages(
         "value",
         F.current_timestamp().alias("timestamp"),
     )
-    if files:
-        rows = rows.repartition(files, "key") if keyed else rows.repartition(files)
+    if files and keyed:
+        rows = rows.repartition(files, "key")
+    elif files:
+        # By content and origin: even, copies included, and without the sort of a round robin.
+        origin = rows.withColumn("_origin", F.spark_partition_id())
+        rows = origin.repartition(files, "value", "_origin").drop("_origin")
     rows.write.mode("append").parquet(f"{root}/{topic}")
 
 

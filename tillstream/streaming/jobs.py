@@ -19,7 +19,7 @@ from ..sinks.files import batch_writer, upsert_writer
 
 # Copies of each order on the join's order side: the lines of a hot order spread over that many
 # tasks.
-JOIN_SALTS = 8
+JOIN_SALTS = 4
 
 
 def append_files(rows: DataFrame, path: str, *partition_by: str) -> DataStreamWriter:
