@@ -302,7 +302,7 @@ SQL: dict[str, str] = {
     "detail_search_day": _sql(LINES, ORDERS, SKUS, _DETAIL, body="""
         SELECT order_detail_id, order_id, user_id, sku_name, tm_name, line_cents, dt
         FROM hit JOIN ord USING (order_id) WHERE dt = '1996-09-17' ORDER BY order_detail_id LIMIT 10"""),
-    "doc_with_array": """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 3 ELSE 2 END AS n_tags,
+    "doc_with_array": """SELECT doc_id, CAST(CASE WHEN doc_id % 4 = 0 THEN 3 ELSE 2 END AS BIGINT) AS n_tags,
         lang || ',' || source || CASE WHEN doc_id % 4 = 0 THEN ',again' ELSE '' END AS tags FROM documents""",
     "stream_events_source": _sql(EVENTS, body="SELECT ts_ms, mid, ch, vc FROM ev"),
     "stream_restart_exact": _sql(EVENTS, body="SELECT dt, count(*) AS n FROM ev GROUP BY dt"),
