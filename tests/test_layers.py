@@ -198,3 +198,11 @@ def test_day_of_the_stored_wide_table_opens_its_folder_only(spark, folder, tmp_p
     assert total.first()[0] == serving.order_amount_total(orders).first()[0]
     by_hour = serving.order_amount_by_hour(day, "final_detail_cents")
     assert rows_of(by_hour) == rows_of(serving.order_amount_by_hour(orders))
+
+
+def test_lookup_of_seen_keys_and_its_limit(spark):
+    dim = spark.range(100).withColumnRenamed("id", "k")
+    rows = spark.createDataFrame([(3,), (3,), (7,), (500,)], "k BIGINT")
+    assert rows_of(dims.seen_only(dim, rows, "k")) == [(3,), (7,)]
+    assert dims.seen_only(dim, rows, "k", max_keys=3).count() == 2
+    assert dims.seen_only(dim, rows, "k", max_keys=2).count() == 100

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 CORRUPT = "_corrupt_record"
 
 
-def parse_typed(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+def parse_typed(
+    df: DataFrame, schema: T.StructType, column: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """Parse a JSON text column into top-level columns plus the text of rows that do not parse.
 
     The struct is unnested by a generator: a later filter then stays above it and each text is
     parsed once, where a plain projection would be parsed again for every column a filter names.
+    `keep` names columns of the message itself to carry along.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.select(F.inline(F.array(F.from_json(column, with_corrupt, options))))
+    return df.select(*keep, F.inline(F.array(F.from_json(column, with_corrupt, options))))
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:

@@ -132,9 +132,8 @@ def stream_dim_upsert(spark: SparkSession, d: str) -> DataFrame:
         replay.append(message, "ODS_USER_INFO")
     stream = replay.stream("ODS_USER_INFO")
     replay.drain(jobs.upsert_users(stream, replay.path("users"), schema, batch.AS_OF))
-    return files.upserted(spark, replay.path("users"), ["user_id"]).select(
-        "user_id", "user_level", "age_group", "gender_name"
-    )
+    current = files.upserted(spark, replay.path("users"), ["user_id"], "timestamp")
+    return current.select("user_id", "user_level", "age_group", "gender_name")
 
 
 @query

@@ -48,8 +48,8 @@ def store_events(log_lines: DataFrame, path: str) -> DataStreamWriter:
 
 
 def upsert_users(changes: DataFrame, path: str, schema: T.StructType, as_of: str) -> DataStreamWriter:
-    """User dimension with labels; read it with `sinks.files.upserted`."""
-    rows = good_rows(parse_typed(changes, schema))
+    """User dimension with labels; read it with `sinks.files.upserted`, versioned by `timestamp`."""
+    rows = good_rows(parse_typed(changes, schema, keep=["timestamp"]))
     rows = rows.withColumn("birthday", F.to_date("birthday"))
     return per_batch(dims.with_user_labels(rows, as_of), upsert_writer(path), "append")
 
@@ -122,15 +122,21 @@ def enrich_orders(
 ) -> DataStreamWriter:
     """Orders with province and user labels. The dimensions are read anew for every batch."""
 
-    def enriched(batch: DataFrame) -> DataFrame:
-        people = users()
-        labels = people.select(
-            "user_id", "province_id", F.col("age_group").alias("user_age_group"),
-            F.col("gender_name").alias("user_gender"),
-        )
-        return dims.add_province(batch.join(labels, "user_id", "left"), provinces())
+    write_batch = batch_writer(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            people = dims.seen_only(users(), batch, "user_id").select(
+                "user_id", "province_id", F.col("age_group").alias("user_age_group"),
+                F.col("gender_name").alias("user_gender"),
+            )
+            located = batch.join(people, "user_id", "left")
+            write_batch(dims.add_province(located, provinces()), batch_id)
+        finally:
+            batch.unpersist()
 
-    return per_batch(orders, batch_writer(path, enriched), "append")
+    return per_batch(orders, write, "append")
 
 
 def _salted_sides(orders: DataFrame, lines: DataFrame, late: str, salts: int) -> tuple[DataFrame, DataFrame]:
@@ -208,10 +214,12 @@ def unmatched(joined_rows: DataFrame, salts: int = JOIN_SALTS) -> DataFrame:
 # ---- allocation ----------------------------------------------------------------------------
 
 
-def order_progress(wide: DataFrame, path: str, late: str = "10 minutes") -> DataStreamWriter:
+def order_progress(wide: DataFrame, path: str, late: str = "1 hour") -> DataStreamWriter:
     """Running sums per order, three numbers however many lines it has.
 
-    Keyed by the order's time too, so that the watermark can end its state. Lines are unique by id.
+    Keyed by the order's time too, so that the watermark can end its state. `late` must be longer
+    than the join's time bound and lateness together, as a pair comes that much after its order.
+    Lines are unique by id.
     """
     shares = wide.withColumn("_share", dws.allocated_share()).withWatermark("create_time", late)
     sums = shares.groupBy(
