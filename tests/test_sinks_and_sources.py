@@ -79,6 +79,7 @@ def test_topic_needs_a_place(spark, tmp_path):
     stream = topics.read_topic(spark, "T", root=str(tmp_path), per_trigger=1)
     assert stream.isStreaming and stream.columns == ["key", "value", "timestamp"]
     assert topics.read_topic(spark, ["T", "T"], root=str(tmp_path)).isStreaming
+    assert topics.kafka_sink(stream, "host:9092", "T") is not None
 
 
 def test_jdbc_options():

@@ -141,3 +141,28 @@ def test_batch_that_failed_after_its_write_is_not_counted_twice(spark):
     assert crash["at"] is None
     stat = spark.read.parquet(path).groupBy("tm_name").agg(F.sum("amount_cents"))
     assert rows_of(stat) == [("a:b", 12), ("c", 1)]
+
+
+def test_newest_copy_within_a_batch_is_enriched(spark):
+    replay = Replay(spark, "copies")
+    rows = [(1, 11, 5, 1, DAY), (1, 11, 5, 2, DAY + timedelta(seconds=1)), (1, 12, 9, 3, DAY)]
+    schema = "order_id BIGINT, order_detail_id BIGINT, sku_id BIGINT, sku_num BIGINT, timestamp TIMESTAMP"
+    kind = _land(spark, replay, "L", schema, rows)
+    columns = "sku_id BIGINT, sku_name STRING, spu_id BIGINT, tm_id BIGINT, category3_id STRING, spu_name STRING, tm_name STRING, category3_name STRING"
+    skus = spark.createDataFrame([(5, "five", 1, 1, "C", "s", "t", "c")], columns)
+    stream = replay.stream("L", kind)
+    replay.drain(jobs.enrich_lines(stream, lambda: skus, replay.path("dwd")))
+    got = spark.read.parquet(replay.path("dwd")).select("order_detail_id", "sku_num", "sku_name")
+    assert rows_of(got) == [(11, 2, "five"), (12, 3, None)]
+
+
+def test_interval_trigger(spark):
+    replay = Replay(spark, "interval")
+    _append(spark, replay, "LOG", _log("a", DAY))
+    writer = jobs.store_events(replay.stream("LOG"), replay.path("events"))
+    query = run.start(spark, writer, replay.path("checkpoint"), interval="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(replay.path("events")).count() == 1

@@ -19,9 +19,9 @@ def join_wide(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return lines.join(orders, "order_id")
 
 
-def dedup_lines(wide: DataFrame) -> DataFrame:
+def dedup_lines(wide: DataFrame, order: str = "create_time") -> DataFrame:
     """One row per order line, for pairs that an overlapping window or a resend gave twice."""
-    return first_per_key(wide, LINE_KEY, [F.col("create_time")], spread=True)
+    return first_per_key(wide, LINE_KEY, [F.col(order)], spread=True)
 
 
 def latest_lines(wide: DataFrame, version: str = "create_time") -> DataFrame:
@@ -106,7 +106,8 @@ def store_types(wide: DataFrame) -> DataFrame:
 
 
 def orders_without_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    return orders.join(lines.select("order_id"), "order_id", "left_anti")
+    # Distinct first: the probed side of an anti join is never split, and a hot order repeats there.
+    return orders.join(lines.select("order_id").distinct(), "order_id", "left_anti")
 
 
 def lines_without_order(orders: DataFrame, lines: DataFrame) -> DataFrame:

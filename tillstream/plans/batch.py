@@ -52,7 +52,7 @@ def _users(spark: SparkSession, d: str) -> DataFrame:
     return dims.with_user_labels(records.users(spark, d), AS_OF)
 
 
-def _skus(spark: SparkSession, d: str) -> DataFrame:
+def enriched_skus(spark: SparkSession, d: str) -> DataFrame:
     return dims.enrich_skus(
         records.skus(spark, d), records.categories(spark, d), records.trademarks(spark, d),
         records.spus(spark, d),
@@ -158,7 +158,7 @@ def dim_scan(spark: SparkSession, d: str) -> DataFrame:
 @query
 def dim_point_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Dimension rows of the keys seen in a batch: the users of one day's orders."""
-    seen = records.orders(spark, d, ORDER_DAY).select("user_id")
+    seen = records.orders(spark, d, ORDER_DAY).select("user_id").distinct()
     return records.users(spark, d).join(seen, "user_id", "left_semi").select(
         "user_id", "user_level", "gender"
     )
@@ -201,7 +201,7 @@ def user_gender_name(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def sku_enrich(spark: SparkSession, d: str) -> DataFrame:
-    return _skus(spark, d).select(
+    return enriched_skus(spark, d).select(
         "sku_id", "spu_id", "price_cents", "sku_name", "tm_id", "category3_id",
         "category3_name", "spu_name", "tm_name",
     )
@@ -260,7 +260,7 @@ def order_user_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def detail_sku_join(spark: SparkSession, d: str) -> DataFrame:
-    return dims.add_sku(records.order_lines(spark, d), _skus(spark, d)).select(
+    return dims.add_sku(records.order_lines(spark, d), enriched_skus(spark, d)).select(
         "order_detail_id", "order_id", "sku_id", "sku_name", "spu_id", "tm_id", "category3_id",
         "spu_name", "tm_name", "category3_name",
     )
@@ -309,7 +309,7 @@ def full_wide(spark: SparkSession, d: str) -> DataFrame:
     facts = base.join(flagged, "order_id").join(people, "user_id", "left")
     facts = dims.add_province(facts, records.provinces(spark, d))
     allocated = dws.allocate(facts, records.order_lines(spark, d))
-    return dws.order_wide(dims.add_sku(allocated, _skus(spark, d)))
+    return dws.order_wide(dims.add_sku(allocated, enriched_skus(spark, d)))
 
 
 @query
@@ -364,7 +364,7 @@ def order_wide_shard_counts(spark: SparkSession, d: str) -> DataFrame:
 def order_wide_store(spark: SparkSession, d: str) -> DataFrame:
     """The wide table written in store types and read back; months, as its days are nearly empty."""
     path = workspace(spark, "order-wide")
-    rows = dws.store_types(dws.order_wide(dims.add_sku(_with_labels(spark, d), _skus(spark, d))))
+    rows = dws.store_types(dws.order_wide(dims.add_sku(_with_labels(spark, d), enriched_skus(spark, d))))
     rows = rows.withColumn("month", F.date_format("dt", "yyyy-MM"))
     files.write_days(rows, path, "month")
     stored = spark.read.schema(rows.schema).parquet(path)
@@ -644,7 +644,7 @@ def detail_search_page(spark: SparkSession, d: str) -> DataFrame:
 def detail_search_day(spark: SparkSession, d: str) -> DataFrame:
     """First page of one day's wide rows with the keyword."""
     rows = records.orders(spark, d, ORDER_DAY)
-    wide = dims.add_sku(dws.join_wide(rows, records.order_lines(spark, d)), _skus(spark, d))
+    wide = dims.add_sku(dws.join_wide(rows, records.order_lines(spark, d)), enriched_skus(spark, d))
     hits = search.wide_hits(wide, ORDER_DAY, KEYWORD)
     return search.page(hits, [F.col("order_detail_id")], 0, 10).select(
         "order_detail_id", "order_id", "user_id", "sku_name", "tm_name", "line_cents", "dt"

@@ -327,5 +327,6 @@ for _stream, _batch in {
     "stream_order_wide": "order_wide_dedup",
     "stream_order_split": "order_split_amount",
     "stream_layers": "stream_trademark_sink",
+    "stream_detail_enrich": "detail_sku_join",
 }.items():
     SQL[_stream] = SQL[_batch]

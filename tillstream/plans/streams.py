@@ -193,6 +193,23 @@ def stream_order_enrich(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def stream_detail_enrich(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines with sku names, every second line sent twice."""
+    replay = Replay(spark, "detail-enrich")
+    lines = records.order_lines(spark, d).select("order_detail_id", "order_id", "sku_id", "sku_num")
+    sent = lines.unionByName(lines.filter("order_detail_id % 2 = 0"))
+    message = sent.select(F.lit(None).alias("key"), json_of(*sent.columns).alias("value"))
+    replay.append(message, "ODS_ORDER_DETAIL")
+    stream = replay.stream("ODS_ORDER_DETAIL", lines.schema)
+    replay.drain(jobs.enrich_lines(stream, lambda: batch.enriched_skus(spark, d), replay.path("dwd")))
+    stored = dws.dedup_lines(spark.read.parquet(replay.path("dwd")), "batch_id")
+    return stored.select(
+        "order_detail_id", "order_id", "sku_id", "sku_name", "spu_id", "tm_id", "category3_id",
+        "spu_name", "tm_name", "category3_name",
+    )
+
+
 @query
 def stream_order_wide(spark: SparkSession, d: str) -> DataFrame:
     """Orders in three slices and their lines in four, so many pairs meet across batches."""

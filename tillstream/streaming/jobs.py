@@ -114,6 +114,28 @@ def flag_orders(orders: DataFrame, first_order_rows: DataFrame) -> DataFrame:
     )
 
 
+def _enriched(path: str, keys: list[str], enrich: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Batch writer that collapses copies within the batch, map-side first, and then enriches.
+
+    A row resent many times so reaches the stateful layers behind as one row per batch: the newest
+    where the messages' `timestamp` was kept, else any, as copies are alike.
+    """
+    write_batch = batch_writer(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if "timestamp" in batch.columns:
+            once = latest_per_key(batch, keys, [F.col("timestamp").desc()])
+        else:
+            once = batch.dropDuplicates(keys)
+        once.persist()
+        try:
+            write_batch(enrich(once), batch_id)
+        finally:
+            once.unpersist()
+
+    return write
+
+
 def enrich_orders(
     orders: DataFrame,
     users: Callable[[], DataFrame],
@@ -122,27 +144,29 @@ def enrich_orders(
 ) -> DataStreamWriter:
     """Orders with province and user labels. The dimensions are read anew for every batch."""
 
-    write_batch = batch_writer(path)
+    def enrich(rows: DataFrame) -> DataFrame:
+        people = dims.seen_only(users(), rows, "user_id").select(
+            "user_id", "province_id", F.col("age_group").alias("user_age_group"),
+            F.col("gender_name").alias("user_gender"),
+        )
+        return dims.add_province(rows.join(people, "user_id", "left"), provinces())
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            people = dims.seen_only(users(), batch, "user_id").select(
-                "user_id", "province_id", F.col("age_group").alias("user_age_group"),
-                F.col("gender_name").alias("user_gender"),
-            )
-            located = batch.join(people, "user_id", "left")
-            write_batch(dims.add_province(located, provinces()), batch_id)
-        finally:
-            batch.unpersist()
+    return per_batch(orders, _enriched(path, ["order_id"], enrich), "append")
+
+
+def enrich_lines(lines: DataFrame, skus: Callable[[], DataFrame], path: str) -> DataStreamWriter:
+    """Order lines with the names of their sku; the dimension is read anew for every batch."""
+
+    def enrich(rows: DataFrame) -> DataFrame:
+        return dims.add_sku(rows, dims.seen_only(skus(), rows, "sku_id"))
 
-    return per_batch(orders, write, "append")
+    return per_batch(lines, _enriched(path, dws.LINE_KEY, enrich), "append")
 
 
 def _salted_sides(orders: DataFrame, lines: DataFrame, late: str, salts: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with watermarks and without resent rows.
+    """Both sides with watermarks and without rows resent across batches.
 
-    Lines carry one of `salts` values, orders come once per value.
+    Copies within a batch are collapsed by the enriching jobs before. Lines carry one of `salts` values, orders come once per value.
     """
     once = orders.withWatermark("create_time", late).dropDuplicatesWithinWatermark(["order_id"])
     left = once.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
