@@ -44,8 +44,13 @@ def _orders(spark: SparkSession, d: str, first: str | None = None, last: str | N
     return records.orders_with_amounts(rows, lines)
 
 
-def allocated_lines(spark: SparkSession, d: str) -> DataFrame:
-    return dws.allocate(_orders(spark, d), records.order_lines(spark, d))
+def allocated_lines(
+    spark: SparkSession, d: str, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """Allocated lines of all orders, or of the orders of some days."""
+    lines = records.order_lines(spark, d)
+    rows = records.orders_with_amounts(records.orders(spark, d, first, last), lines)
+    return dws.allocate(rows, lines)
 
 
 def _users(spark: SparkSession, d: str) -> DataFrame:
@@ -406,9 +411,11 @@ def order_detail_unmatched(spark: SparkSession, d: str) -> DataFrame:
 # ---- ADS -----------------------------------------------------------------------------------
 
 
-def _trademark_stat(spark: SparkSession, d: str) -> DataFrame:
+def _trademark_stat(
+    spark: SparkSession, d: str, first: str | None = None, last: str | None = None
+) -> DataFrame:
     return ads.batch_trademark_amounts(
-        allocated_lines(spark, d), records.skus(spark, d), records.trademarks(spark, d)
+        allocated_lines(spark, d, first, last), records.skus(spark, d), records.trademarks(spark, d)
     )
 
 
@@ -419,7 +426,9 @@ def trademark_batch_amount(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def trademark_topn(spark: SparkSession, d: str) -> DataFrame:
-    return ads.trademark_topn(_trademark_stat(spark, d), STAT_START, STAT_END, TOP_N)
+    """Top brands strictly between two times; the days are given to the order scan as well."""
+    stat = _trademark_stat(spark, d, STAT_START, STAT_END)
+    return ads.trademark_topn(stat, STAT_START, STAT_END, TOP_N)
 
 
 @query

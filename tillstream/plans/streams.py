@@ -318,7 +318,9 @@ def stream_layers(spark: SparkSession, d: str) -> DataFrame:
     replay.drain(jobs.route_changes(replay.stream("DB_CHANGES"), ods_path), "ods")
 
     def ods_topic(topic: str, schema: T.StructType) -> DataFrame:
-        routed = spark.readStream.schema("key STRING, value STRING, topic STRING").parquet(ods_path)
+        reader = spark.readStream.schema("key STRING, value STRING, topic STRING")
+        # Each micro-batch before wrote as many files per topic, so the two topics stay in step.
+        routed = reader.option("maxFilesPerTrigger", replay.files * 2).parquet(ods_path)
         return good_rows(parse_typed(routed.filter(F.col("topic") == topic), schema))
 
     joined = jobs.join_orders(
