@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def partitions(spark: SparkSession) -> int:
 def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = 8 << 20) -> Iterator:
     """Batches cut further so that the texts of each hold about `most` bytes (one row at least)."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(False)
+        sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(False)
         start, held = 0, 0
         for row, size in enumerate(sizes):
             if held and held + size > most:

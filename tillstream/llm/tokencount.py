@@ -19,6 +19,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,7 +145,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         counter = merges(path)
         for batch in pieces(batches, "_text"):
             texts = batch.column("_text")
-            sizes = pa.compute.binary_length(texts).cast(pa.int64())
+            sizes = pc.binary_length(texts).cast(pa.int64())
             tokens = pa.array([counter.count(t) for t in texts.to_pylist()], pa.int64())
             columns = [batch.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, sizes, tokens], [*kept, "n_bytes", "n_tokens"])
