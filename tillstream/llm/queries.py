@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import packing, tokencount, tokenfile
+from tillstream.llm import packing, secrets, tokencount, tokenfile
 from tillstream.llm.common import table
 from tillstream.session import workspace
 
@@ -26,6 +26,19 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, counted by kind, with their spans."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+    spans = F.col("secrets")
+
+    def counted(kind: str):
+        return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [counted(rule.kind) for rule in secrets.BASE_RULES]
+    listed = found.select("doc_id", *counts, secrets.span_list(spans).alias("spans"))
+    return listed.withColumn("base_sha256", F.sha2("spans", 256))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, read back: place, length and checksum of each."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -43,7 +56,43 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op5_token_files, op10_token_counts)
+    f.__name__: f for f in (op1_packing, op2_secret_scan, op5_token_files, op10_token_counts)
 }
 
-SQL: dict[str, str] = {}
+
+def _secret_sql() -> str:
+    """Positions from lengths: each match is taken together with the text before it."""
+    kinds = []
+    for number, rule in enumerate(secrets.BASE_RULES):
+        pattern = f"(?s:(.*?))({rule.pattern})".replace("'", "''")
+        lengths = [
+            f"list_transform(regexp_extract_all(coalesce(text, ''), '{pattern}', {group}), lambda m: length(m))"
+            for group in (0, 1, 2 + rule.group)
+        ]
+        kinds.append(
+            f"SELECT row, {number} AS rule, '{rule.kind}' AS kind, {rule.least} AS least, "
+            f"{lengths[0]} AS w, {lengths[1]} AS g, {lengths[2]} AS m FROM docs"
+        )
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+read AS ({" UNION ALL ".join(kinds)}),
+spans AS (
+  SELECT row, rule, kind, least, m[k] AS measured,
+    CAST(coalesce(list_sum(w[1:k - 1]), 0) AS BIGINT) + g[k] AS start,
+    CAST(list_sum(w[1:k]) AS BIGINT) AS stop
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS k FROM read)),
+kept AS (
+  SELECT row,
+    count(*) FILTER (kind = 'assign') AS n_assign,
+    count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rule) AS spans
+  FROM spans WHERE measured >= least GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM docs LEFT JOIN kept USING (row)
+"""
+
+
+SQL: dict[str, str] = {"op2_secret_scan": _secret_sql()}
