@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import packing, secrets, tokencount, tokenfile
+from tillstream.llm import imatch, packing, secrets, tokencount, tokenfile
 from tillstream.llm.common import table
 from tillstream.session import workspace
 
@@ -48,6 +48,24 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text.
+
+    The edited text has the last half of the characters replaced by the start of the next document.
+    """
+    found = imatch.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+    own = F.col("print")
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        imatch.shown(own).alias("fingerprint"),
+        imatch.shown(F.col("edited_print")).alias("edited_fingerprint"),
+        imatch.likeness(own, F.col("edited_print")).alias("near_edited"),
+        imatch.likeness(own, F.col("next_print")).alias("near_next"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -56,7 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secret_scan, op5_token_files, op10_token_counts)
+    f.__name__: f for f in (op1_packing, op2_secret_scan, op5_token_files, op6_imatch, op10_token_counts)
 }
 
 
