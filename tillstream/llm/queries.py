@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import imatch, packing, secrets, tokencount, tokenfile
+from tillstream.llm import imatch, langid, packing, secrets, tokencount, tokenfile
 from tillstream.llm.common import table
 from tillstream.session import workspace
 
@@ -39,6 +39,19 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.withColumn("base_sha256", F.sha2("spans", 256))
 
 
+def held_out() -> Column:
+    """Rows that no model learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a network trained on those not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    net = langid.fit(docs.filter(~held_out()))
+    found = langid.predict(docs.select("doc_id", "text"), net)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, read back: place, length and checksum of each."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -74,7 +87,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secret_scan, op5_token_files, op6_imatch, op10_token_counts)
+    f.__name__: f for f in (op1_packing, op2_secret_scan, op3_language_id, op5_token_files, op6_imatch, op10_token_counts)
 }
 
 
