@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import imatch, langid, packing, secrets, tokencount, tokenfile
+from tillstream.llm import imatch, langid, ngram_join, packing, secrets, tokencount, tokenfile
 from tillstream.llm.common import table
 from tillstream.session import workspace
 
@@ -52,6 +52,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles reach a Jaccard similarity of 3/4."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, read back: place, length and checksum of each."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -87,7 +92,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secret_scan, op3_language_id, op5_token_files, op6_imatch, op10_token_counts)
+    f.__name__: f for f in (op1_packing, op2_secret_scan, op3_language_id, op4_ngram_join, op5_token_files, op6_imatch, op10_token_counts)
 }
 
 
