@@ -51,58 +51,60 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if n == 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     blocks = -(-n // BLOCK)
-    # One more block of zeros: a word at the end of a block looks past it.
-    held = np.zeros((blocks + 1) * BLOCK, np.uint64)
-    held[:n] = values
+    # A row for each block, with zeros behind it: a word at its end looks past it.
+    width = BLOCK + 64
+    held = np.zeros((blocks, width), np.uint64)
+    whole = n // BLOCK
+    held[:whole, :BLOCK] = values[: whole * BLOCK].reshape(whole, BLOCK)
+    if n % BLOCK:
+        held[whole, : n % BLOCK] = values[whole * BLOCK :]
     widest = int(values.max())
     # The largest selector whose ids from here on all fit; values past the block count as zero.
     step = np.full((blocks, BLOCK), len(COUNTS) - 1, np.int8)
+    large = np.zeros((blocks, BLOCK + 1), np.int16)
     for selector in range(len(COUNTS) - 2, -1, -1):
         count, bits = int(COUNTS[selector]), int(BITS[selector])
         if widest < 1 << bits:
-            fits = np.ones((blocks, BLOCK), bool)
-        else:
-            large = np.zeros((blocks, BLOCK + 1), np.int32)
-            np.cumsum(
-                (held[: blocks * BLOCK] >= np.uint64(1 << bits)).reshape(blocks, BLOCK),
-                axis=1,
-                out=large[:, 1:],
-            )
-            ends = np.minimum(np.arange(BLOCK) + count, BLOCK)
-            fits = large[:, ends] == large[:, :BLOCK]
-        if not fits.any() and count <= BLOCK and selector < 12:
+            step[:] = selector
+            continue
+        np.cumsum(held[:, :BLOCK] >= np.uint64(1 << bits), axis=1, out=large[:, 1:])
+        fits = np.empty((blocks, BLOCK), bool)
+        fits[:, : BLOCK + 1 - count] = large[:, count:] == large[:, : BLOCK + 1 - count]
+        fits[:, BLOCK + 1 - count :] = large[:, BLOCK:] == large[:, BLOCK + 1 - count : BLOCK]
+        if not fits.any():
             break  # no shorter code can fit where this wider one does not
         step[fits] = selector
     # All blocks walk from word to word together.
     at = np.zeros(blocks, np.int64)
     live = np.arange(blocks)
-    starts, owners = [], []
+    ends = np.minimum(BLOCK, n - np.arange(blocks) * BLOCK)
+    counts = COUNTS[step]
+    starts = []
     while len(live):
         place = at[live]
         starts.append(live * BLOCK + place)
-        owners.append(live)
-        at[live] = place + COUNTS[step[live, place]]
-        live = live[at[live] < np.minimum(BLOCK, n - live * BLOCK)]
-    start = np.concatenate(starts)
-    order = np.argsort(start, kind="stable")
-    start, owner = start[order], np.concatenate(owners)[order]
+        at[live] = place = place + counts[live, place]
+        live = live[place < ends[live]]
+    start = np.sort(np.concatenate(starts))
     selector = step.reshape(-1)[start]
-    wide = (selector == len(COUNTS) - 1) & (held[start] >= _ESCAPE)
-    place = np.cumsum(1 + wide) - 1 - wide
+    flat = held.reshape(-1)
+    source = start + (start // BLOCK) * (width - BLOCK)
+    wide = (selector == len(COUNTS) - 1) & (flat[source] >= _ESCAPE)
+    place = np.arange(len(start))
+    if wide.any():
+        place += np.cumsum(wide) - wide
     words = np.zeros(len(start) + int(wide.sum()), np.uint64)
     for s in np.unique(selector):
         rows = np.flatnonzero(selector == s)
         word = np.full(len(rows), np.uint64(s) << _PAYLOAD, np.uint64)
-        if BITS[s]:
-            stop = (owner[rows] + 1) * BLOCK
+        if s == len(COUNTS) - 1:
+            word |= np.where(wide[rows], _ESCAPE, flat[source[rows]])
+        elif BITS[s]:
+            origin = source[rows]
             for k in range(COUNTS[s]):
-                index = start[rows] + k
-                value = np.where(index < stop, held[np.minimum(index, len(held) - 1)], np.uint64(0))
-                if s == len(COUNTS) - 1:
-                    value = np.where(wide[rows], _ESCAPE, value)
-                word |= value << np.uint64(k * BITS[s])
+                word |= flat[origin + k] << np.uint64(k * BITS[s])
         words[place[rows]] = word
-    words[place[wide] + 1] = held[start[wide]]
+    words[place[wide] + 1] = flat[source[wide]]
     first = np.searchsorted(start, np.arange(blocks) * BLOCK)
     return words, place[first]
 
@@ -228,6 +230,7 @@ def read(spark, folder: str) -> DataFrame:
 
     schema = "doc_id long, file int, within long, n_tokens long, ids binary"
     decoded = rows.mapInArrow(documents, schema)
-    return decoded.join(base, "file").select(
+    # One number per file, and as many files as the writing shuffle had partitions.
+    return decoded.join(F.broadcast(base), "file").select(
         "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids"
     )
