@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import imatch, langid, ngram_join, packing, secrets, tokencount, tokenfile
+from tillstream.llm import imatch, langid, ngram_join, packing, secrets, suffix, tokencount, tokenfile
 from tillstream.llm.common import table
 from tillstream.session import workspace
 
@@ -84,6 +84,14 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of strings of 400 that also start elsewhere."""
+    kept = suffix.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -92,7 +100,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secret_scan, op3_language_id, op4_ngram_join, op5_token_files, op6_imatch, op10_token_counts)
+    f.__name__: f for f in (op1_packing, op2_secret_scan, op3_language_id, op4_ngram_join, op5_token_files, op6_imatch, op9_repeated_bytes, op10_token_counts)
 }
 
 
