@@ -278,23 +278,31 @@ def _in_company(rows: DataFrame, by: str) -> DataFrame:
     return rows.groupBy(by).count().filter("count > 1").select(by)
 
 
+def _marked(rows: DataFrame, loose: str, tight: str, name: list[str]) -> DataFrame:
+    """Rows whose `loose` bucket has company, with `n`, the rows of their `tight` bucket, `least`, the
+    smallest such number in the loose one, and whether they stand for their tight bucket.
+
+    Where `least` is 1 some row is not settled; it may still match rows that are, so one row of each
+    tight bucket goes on to the next refinement.
+    """
+    label = F.xxhash64(*name) if len(name) > 1 else F.col(name[0])
+    classes = rows.groupBy(loose, tight).agg(
+        F.count(F.lit(1)).alias("n"), F.min(label).alias("_head")
+    )
+    both = classes.groupBy(loose).agg(F.sum("n").alias("_total"), F.min("n").alias("least"))
+    told = settled(classes.join(both.filter("_total > 1"), loose).drop("_total"), "classes")
+    return (
+        rows.join(told, [loose, tight])
+        .withColumn("is_head", label == F.col("_head"))
+        .drop("_head")
+    )
+
+
 def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, text_id, first, last): runs of starts of repeated strings, in bytes."""
     rows = settled(_anchor_rows(docs, text), "anchors")
-    classes = rows.groupBy("gram", "span").agg(
-        F.count(F.lit(1)).alias("n"), F.min("anchor").alias("head")
-    )
-    grams = classes.groupBy("gram").agg(F.sum("n").alias("total"), F.min("n").alias("least"))
-    told = settled(
-        classes.join(grams.filter("total > 1"), "gram").select("gram", "span", "n", "head", "least"),
-        "classes",
-    )
-    head = (F.col("anchor") == F.col("head")).alias("is_head")
     marked = settled(
-        rows.join(told, ["gram", "span"]).select(
-            *_KEYS, "lo", "hi", "at", "anchor", "n", "least", head
-        ),
-        "marked",
+        _marked(rows, "gram", "span", ["anchor"]).drop("gram", "span"), "marked"
     )
     inside = marked.filter("n > 1").select(
         *_KEYS, F.col("lo").alias("first"), F.col("hi").alias("last")
@@ -302,10 +310,9 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     left = marked.filter("least = 1 and is_head")
     contexts = settled(_contexts(docs, text, left), "contexts")
     blocks = settled(_block_rows(contexts), "blocks")
-    whole = blocks.join(_in_company(blocks, "union"), "union")
-    split = blocks.join(_in_company(blocks, "union"), "union", "left_anti").join(
-        _in_company(blocks, "core"), "core"
-    )
+    parted = settled(_marked(blocks, "core", "union", ["anchor", "block"]), "parted")
+    whole = parted.filter("n > 1")
+    split = parted.filter("least = 1 and is_head")
     singles = settled(_single_rows(contexts, split), "singles")
     single = singles.join(_in_company(singles, "string"), "string")
     found = whole.select("anchor", "first", "last").unionByName(
