@@ -54,13 +54,17 @@ def lexicon(docs: DataFrame, text: str, low: float = LOW, high: float = HIGH) ->
 
 
 def lexicon_flags(words: DataFrame) -> DataFrame:
-    """One row with an array of `SLOTS` flags."""
-    used = words.select(_slot(F.col("term")).alias("slot")).distinct().withColumn("used", F.lit(True))
-    every = words.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
-    flags = every.join(used, "slot", "left").select(
-        F.struct("slot", F.coalesce("used", F.lit(False)).alias("used")).alias("flag")
+    """One row with an array of `SLOTS` bits, 64 to a number."""
+    slots = words.select(_slot(F.col("term")).alias("slot"))
+    bit = F.expr("shiftleft(1L, pmod(slot, 64))")
+    used = slots.groupBy(F.expr("slot div 64").cast("int").alias("word")).agg(
+        F.bit_or(bit).alias("bits")
     )
-    return flags.agg(F.sort_array(F.collect_list("flag"))["used"].alias("flags"))
+    every = words.sparkSession.range(SLOTS // 64).select(F.col("id").cast("int").alias("word"))
+    flags = every.join(used, "word", "left").select(
+        F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("flag")
+    )
+    return flags.agg(F.sort_array(F.collect_list("flag"))["bits"].alias("flags"))
 
 
 def fingerprint(text: Column, flags: Column) -> Column:
@@ -68,7 +72,11 @@ def fingerprint(text: Column, flags: Column) -> Column:
     texts that have no lexicon term)."""
 
     def told(found: Column) -> Column:
-        kept = F.filter(found, lambda w: F.get(flags, _slot(w)))
+        def listed(slot: Column) -> Column:
+            word = F.get(flags, F.floor(slot / 64).cast("int"))
+            return F.getbit(word, F.pmod(slot, F.lit(64)).cast("int")) == 1
+
+        kept = F.filter(found, lambda w: listed(_slot(w)))
         hashes = F.transform(F.sort_array(kept), lambda w: F.xxhash64(w))
 
         def seeded(hashes: Column, seed: int) -> Column:
@@ -185,7 +193,8 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     `op6_imatch`), and how like they and the next document's are."""
     source = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     table = settled(lexicon_flags(lexicon(source, "text")), "lexicon").scalar()
-    # Used once, so that the optimizer puts the table itself in its place; rows don't carry it.
+    # Higher-order functions take columns only, so a row carries the table (128 KB) while it is
+    # fingerprinted, and drops it before any shuffle.
     flags = F.col("_flags")
     printed = (
         source.withColumn("_flags", table)
