@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import hnsw, imatch, langid, ngram_join, packing, secrets, suffix, tokencount, tokenfile
+from tillstream.llm import (
+    hnsw,
+    imatch,
+    langid,
+    mixing,
+    ngram_join,
+    packing,
+    secrets,
+    suffix,
+    tokencount,
+    tokenfile,
+)
 from tillstream.llm.common import table
 from tillstream.session import workspace
 
@@ -89,6 +100,13 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn at target shares of sources, languages and topics."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    drawn = mixing.mix(mixing.labelled(docs).drop("text"))
+    return drawn.select("doc_id", "source", "lang", "topic", "tokens", "probability")
+
+
 def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the bytes of strings of 400 that also start elsewhere."""
     kept = suffix.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -105,7 +123,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_secret_scan, op3_language_id, op4_ngram_join, op5_token_files, op6_imatch, op7_near_vectors, op9_repeated_bytes, op10_token_counts)
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_secret_scan,
+        op3_language_id,
+        op4_ngram_join,
+        op5_token_files,
+        op6_imatch,
+        op7_near_vectors,
+        op8_mixing,
+        op9_repeated_bytes,
+        op10_token_counts,
+    )
 }
 
 
