@@ -31,7 +31,8 @@ WIDTHS = (2, 3, 4, 5)
 FILTERS = 12  # of each width
 EMBEDDING = 8
 # Bound of the training sample, per language.
-TRAINING_WINDOWS = 1500
+# Not above 1000, up to which Spark keeps only so many rows of a label before the shuffle.
+TRAINING_WINDOWS = 1000
 PER_TEXT = 2
 UNKNOWN = "und"
 
