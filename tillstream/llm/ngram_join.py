@@ -51,7 +51,7 @@ _ODD = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049B
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -92,7 +92,7 @@ def rows_of(docs: DataFrame, text: str, n: int) -> DataFrame:
     """doc_id, `row` (identity of its set), `size`; n-grams that recur in a batch on its first row."""
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text", 4 << 20):
+        for batch in pieces(batches, "_text", 2 << 20):
             sets = [ngram_set(t, n) for t in batch.column(1).to_pylist()]
             everything = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             values, counts = np.unique(everything, return_counts=True)
@@ -151,7 +151,7 @@ def _blocks(docs: DataFrame, text: str, n: int, often: np.ndarray, times: np.nda
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, times = shared.value
         seen: set[int] = set()
-        for batch in pieces(batches, "_text", 8 << 20):
+        for batch in pieces(batches, "_text", 2 << 20):
             grams, rows, sizes = [], [], []
             for text in batch.column(1).to_pylist():
                 members = ngram_set(text, n)
