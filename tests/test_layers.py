@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tillstream.operators import ads, dims, dwd, dws, keyed, ods, search, serving
+from tillstream.operators import ads, dims, dwd, dws, ods, search, serving
 from tillstream.plans import batch
 from tillstream.sinks import files
 from tillstream.sources import records
@@ -83,43 +83,39 @@ LINES = "order_id BIGINT, order_detail_id BIGINT, line_cents BIGINT"
 ORDERS = "order_id BIGINT, original_total_cents BIGINT, final_total_cents BIGINT"
 
 
-def _split(spark, orders, lines, heavy):
-    df = dws.allocate(spark.createDataFrame(orders, ORDERS), spark.createDataFrame(lines, LINES), heavy)
+def _split(spark, orders, lines):
+    df = dws.allocate(spark.createDataFrame(orders, ORDERS), spark.createDataFrame(lines, LINES))
     return {(r.order_id, r.order_detail_id): r.final_detail_cents for r in df.collect()}
 
 
-@pytest.mark.parametrize("heavy", [1, 2, 1000])
-def test_allocation_rules(spark, heavy):
+def test_allocation_rules(spark):
     orders = [(1, 12000, 10000), (2, 500, 450), (3, 0, 0), (4, 0, 70)]
     lines = [(1, 1, 4000), (1, 2, 4000), (1, 3, 4000), (2, 4, 500), (3, 5, 0), (3, 6, 0), (4, 7, 0), (4, 8, 0)]
-    assert _split(spark, orders, lines, heavy) == {
+    assert _split(spark, orders, lines) == {
         (1, 1): 3333, (1, 2): 3333, (1, 3): 3334, (2, 4): 450, (3, 5): 0, (3, 6): 0, (4, 7): 0, (4, 8): 70,
     }
 
 
-def test_heavy_orders_are_allocated_as_light_ones_are(spark, folder):
-    """One order holds a third of all lines; either way of allocating gives the same cents."""
-    lines = records.order_lines(spark, folder)
-    hot = lines.filter("order_id % 3 = 0").withColumns(
+def test_a_skewed_order_and_repeated_lines_add_up(spark, folder):
+    """One order holds a third of all lines and a tenth of the lines come twice."""
+    raw = records.order_lines(spark, folder)
+    hot = raw.filter("order_id % 3 = 0").withColumns(
         {"order_id": F.lit(7).cast("bigint"), "order_detail_id": F.col("order_detail_id") + 1})
-    rest = lines.filter("order_id % 3 <> 0").unionByName(hot)
-    orders = records.orders_with_amounts(records.orders(spark, folder), rest)
-    columns = ["order_id", "order_detail_id", "final_detail_cents"]
-    light = rows_of(dws.allocate(orders, rest).select(*columns))
-    heavy = rows_of(dws.allocate(orders, rest, heavy_lines=5).select(*columns))
-    assert light == heavy and len(light) == rest.count()
+    rest = raw.filter("order_id % 3 <> 0").unionByName(hot)
+    twice = rest.unionByName(rest.filter("order_detail_id % 10 = 0"))
+    lines = dws.unique_lines(twice)
+    orders = records.orders_with_amounts(records.orders(spark, folder), lines)
+    allocated = dws.allocate(orders, lines)
+    plan = allocated._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
+    got = allocated.select("order_id", "order_detail_id", "final_detail_cents").collect()
+    assert len(got) == rest.count()
     sums = defaultdict(int)
-    for order_id, _, cents in light:
+    for order_id, _, cents in got:
         sums[order_id] += cents
     assert dict(sums) == {r.order_id: r.final_total_cents for r in orders.collect()}
 
 
-def test_heavy_keys(spark):
-    df = spark.createDataFrame([(1,)] * 5 + [(2,)] * 2 + [(3,)], "k INT")
-    assert rows_of(keyed.heavy_keys(df, "k", 2)) == [(1,)]
-    assert rows_of(keyed.heavy_keys(df, "k", 1)) == [(1,), (2,)]
-
-
 def test_line_ids_are_unique(spark, folder):
     lines = records.order_lines(spark, folder)
     assert lines.select("order_detail_id").distinct().count() == lines.count()
@@ -144,8 +140,8 @@ def test_top_brands_exclude_both_ends(spark):
 def test_shares_and_bands(spark):
     counts = spark.createDataFrame([("a", 300), ("b", 200), ("c", 100)], "g STRING, n BIGINT")
     assert rows_of(ads.shares(counts, "g", "n")) == [("a", 300, 5000), ("b", 200, 3333), ("c", 100, 1667)]
-    values = spark.createDataFrame([(v,) for v in (-1, 0, 99, 100, 599, 600, 601)], "v BIGINT")
-    assert [r.band for r in ads.value_bands(values, "v").collect()] == [None, 0, 0, 1, 5, 5, None]
+    values = spark.createDataFrame([(v,) for v in (0, 99, 100, 499, 500, 599)], "v BIGINT")
+    assert [r.band for r in ads.value_bands(values, "v").collect()] == [0, 0, 1, 4, 5, 5]
 
 
 def test_hours_are_filled_with_zero(spark):
@@ -200,9 +196,18 @@ def test_day_of_the_stored_wide_table_opens_its_folder_only(spark, folder, tmp_p
     assert rows_of(by_hour) == rows_of(serving.order_amount_by_hour(orders))
 
 
-def test_lookup_of_seen_keys_and_its_limit(spark):
+def test_lookup_of_seen_keys(spark):
     dim = spark.range(100).withColumnRenamed("id", "k")
     rows = spark.createDataFrame([(3,), (3,), (7,), (500,)], "k BIGINT")
     assert rows_of(dims.seen_only(dim, rows, "k")) == [(3,), (7,)]
-    assert dims.seen_only(dim, rows, "k", max_keys=3).count() == 2
-    assert dims.seen_only(dim, rows, "k", max_keys=2).count() == 100
+
+
+def test_changes_without_a_type_pass(spark):
+    rows = [("order_detail", None, '{"a":1}'), ("order_detail", "delete", '{"a":1}'), ("order_info", None, '{"a":1}')]
+    df = spark.createDataFrame(rows, "table STRING, type STRING, data STRING")
+    assert rows_of(ods.cdc_filter(df).select("table", "type")) == [("order_detail", None)]
+
+
+def test_bands_follow_the_greatest_value(spark):
+    df = spark.createDataFrame([(0,), (599,), (6000,)], "v BIGINT")
+    assert rows_of(ads.value_bands(df, "v")) == [(0, 0), (599, 0), (6000, 5)]

@@ -42,13 +42,14 @@ def test_scan_reads_needed_columns_only(spark, folder):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan
 
 
-def test_allocation_shuffles_lines_once(spark, folder):
-    """Ordinary orders: one exchange of lines by order id feeds both the join and the window."""
+def test_allocation_gathers_no_order(spark, folder):
+    """Shares are summed per order by an aggregate; no window holds an order's lines."""
     with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        orders = records.orders_with_amounts(records.orders(spark, folder), records.order_lines(spark, folder))
-        plan = _plan(dws._allocate_light(dws.join_wide(orders, records.order_lines(spark, folder))))
-    # lines, orders and the partial sums of the totals
-    assert plan.count("Exchange hashpartitioning") == 3
+        lines = records.order_lines(spark, folder)
+        orders = records.orders_with_amounts(records.orders(spark, folder), lines)
+        plan = _plan(dws.allocate(orders, lines))
+    assert "Window" not in plan and "Broadcast" not in plan
+    assert "sum(_share" in plan and plan.count("FileScan") == 4
 
 
 def test_sums_by_dimension_are_partial_before_the_join(spark, folder):

@@ -38,7 +38,7 @@ def test_late_event_is_dropped_and_counted(spark):
     go()
     # Day one is past the watermark now, the fifth day is not.
     _append(spark, replay, "LOG", _log("b", DAY), _log("b", DAY + timedelta(days=5)))
-    late = run.late_rows(go())
+    late = run.late_rows(spark, go())
     got = rows_of(jobs.daily_first(spark, path).select("mid", "dt"))
     assert got == [("a", "2024-01-01"), ("a", "2024-01-06"), ("b", "2024-01-06")]
     assert late == 1

@@ -28,7 +28,8 @@ def good_rows(parsed: DataFrame) -> DataFrame:
 
 
 def corrupt_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """Texts that did not parse, for a side output."""
+    return parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
 
 
 def json_of(*columns: Column | str) -> Column:

@@ -100,9 +100,10 @@ def shares(counts: DataFrame, name: str, count: str) -> DataFrame:
     return counts.select(name, count, share.alias("share_bp"))
 
 
-def value_bands(df: DataFrame, value: str, width: int = 100, bands: int = 6) -> DataFrame:
-    """Band number of a value: `bands` bands of `width` from 0, the last one closed above."""
-    v = F.col(value)
-    band = F.least(int_div(v, F.lit(width)), F.lit(bands - 1).cast("bigint"))
-    inside = (v >= 0) & (v <= width * bands)
-    return df.withColumn("band", F.when(inside, band))
+def value_bands(df: DataFrame, value: str, bands: int = 6) -> DataFrame:
+    """Band number of a value: `bands` equal bands from 0 to the greatest value.
+
+    `df` is a report of a few rows, as many as there are provinces, so the window sees no more.
+    """
+    end = F.max(value).over(Window.partitionBy()) + 1
+    return df.withColumn("band", int_div(F.col(value) * bands, end))

@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.people import age_group, gender_name
 
-# Most keys of a micro-batch that are broadcast to look their dimension rows up (8 MB of BIGINT).
-LOOKUP_KEYS = 1_000_000
-
 
 def with_user_labels(users: DataFrame, as_of: str) -> DataFrame:
     return users.withColumns({
@@ -32,16 +29,9 @@ def enrich_skus(
     )
 
 
-def seen_only(dim: DataFrame, rows: DataFrame, key: str, max_keys: int = LOOKUP_KEYS) -> DataFrame:
-    """The rows of a dimension that `rows` needs: a point lookup instead of a full shuffle.
-
-    The keys are counted first; up to `max_keys` of them are broadcast to the dimension scan, with
-    more of them the dimension is left whole. For micro-batches, whose rows are persisted.
-    """
-    keys = rows.select(key).distinct()
-    if keys.limit(max_keys + 1).count() > max_keys:
-        return dim
-    return dim.join(F.broadcast(keys), key, "left_semi")
+def seen_only(dim: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The rows of a dimension that `rows` needs, as a semi join that the optimizer plans."""
+    return dim.join(rows.select(key).distinct(), key, "left_semi")
 
 
 def add_province(orders: DataFrame, provinces: DataFrame) -> DataFrame:

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.money import prorate, to_decimal
 from ..schemas import ORDER_WIDE_COLUMNS, ORDER_WIDE_MONEY
-from .keyed import first_per_key, heavy_keys, latest_per_key
-
-# An order with more lines than this is kept out of the shuffle by order id.
-HEAVY_ORDER_LINES = 1_000_000
+from .keyed import first_per_key, latest_per_key
 
 LINE_KEY = ["order_id", "order_detail_id"]
 
@@ -36,55 +33,32 @@ def allocated_share() -> Column:
     )
 
 
-def _allocate_light(wide: DataFrame) -> DataFrame:
-    """Allocation inside a window per order; `wide` is already distributed by order id."""
-    by_line = Window.partitionBy("order_id").orderBy("order_detail_id")
-    earlier = F.sum("_share").over(by_line.rowsBetween(Window.unboundedPreceding, -1))
-    is_last = F.lead("order_detail_id").over(by_line).isNull()
-    rest = F.col("final_total_cents") - F.coalesce(earlier, F.lit(0))
-    return (
-        wide.withColumn("_share", allocated_share())
-        .withColumn("final_detail_cents", F.when(is_last, rest).otherwise(F.col("_share")))
-        .drop("_share")
-    )
+def unique_lines(lines: DataFrame) -> DataFrame:
+    """Order lines once each: a resent line has the id and the fields of the first."""
+    return first_per_key(lines, LINE_KEY, [F.col("order_detail_id")], spread=True)
 
 
-def _allocate_heavy(wide: DataFrame) -> DataFrame:
-    """The same allocation for heavy orders: sums per order, no group gathered in one task.
+def allocate(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Wide rows with `final_detail_cents`: what each line paid, exact to the cent per order.
 
-    `wide` holds heavy orders only, so `ends` is as small as their number.
+    The last line by id takes the remainder. Lines must be unique by id (see `unique_lines`), and the
+    totals of `orders` must be sums over them. One way for all orders: shares are summed per order
+    before the shuffle, and the sums are joined back by order id, so no order is gathered in one
+    task and a skewed one is split at run time.
     """
-    shares = wide.withColumn("_share", allocated_share())
+    shares = join_wide(orders, lines).withColumn("_share", allocated_share())
     ends = shares.groupBy("order_id").agg(
         F.max("order_detail_id").alias("_last_id"), F.sum("_share").alias("_share_sum")
     )
     rest = F.col("final_total_cents") - F.col("_share_sum")
     extra = F.when(F.col("order_detail_id") == F.col("_last_id"), rest).otherwise(F.lit(0))
     return (
-        shares.join(F.broadcast(ends), "order_id")
+        shares.join(ends, "order_id")
         .withColumn("final_detail_cents", F.col("_share") + extra)
         .drop("_share", "_share_sum", "_last_id")
     )
 
 
-def allocate(
-    orders: DataFrame, lines: DataFrame, heavy_lines: int = HEAVY_ORDER_LINES
-) -> DataFrame:
-    """Wide rows with `final_detail_cents`: what each line paid, exact to the cent per order.
-
-    Lines are deduplicated by id beforehand. The last line by id takes the remainder. Orders of
-    ordinary size take one shuffle by order id and a window; heavy ones (fewer than
-    rows / `heavy_lines` of them, which bounds the broadcasts) are joined map-side and summed.
-    Without heavy orders the second branch is dropped at run time.
-    """
-    heavy = heavy_keys(lines, "order_id", heavy_lines)
-    light_lines = lines.join(F.broadcast(heavy), "order_id", "left_anti")
-    light = _allocate_light(join_wide(orders, light_lines))
-    heavy_orders = orders.join(F.broadcast(heavy), "order_id", "left_semi")
-    heavy_wide = lines.join(F.broadcast(heavy_orders), "order_id")
-    return light.unionByName(_allocate_heavy(heavy_wide))
-
-
 def unit_price(wide: DataFrame) -> DataFrame:
     return wide.withColumn(
         "sku_price_cents", prorate(F.col("line_cents"), F.lit(1).cast("bigint"), F.col("sku_num"))
@@ -105,6 +79,16 @@ def store_types(wide: DataFrame) -> DataFrame:
     return wide.select(*columns).withColumn("dt", F.col("dt").cast("date"))
 
 
+def from_store(stored: DataFrame) -> DataFrame:
+    """Stored rows with cents and a text day again."""
+    names = {kept: inside for inside, kept in ORDER_WIDE_MONEY.items()}
+    columns = [
+        (F.col(c) * 100).cast("bigint").alias(names[c]) if c in names else F.col(c)
+        for c in stored.columns
+    ]
+    return stored.select(*columns).withColumn("dt", F.date_format("dt", "yyyy-MM-dd"))
+
+
 def orders_without_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     # Distinct first: the probed side of an anti join is never split, and a hot order repeats there.
     return orders.join(lines.select("order_id").distinct(), "order_id", "left_anti")

@@ -1,4 +1,4 @@
-"""One row per key, and keys too heavy for one task."""
+"""One row per key."""
 
 from __future__ import annotations
 
@@ -27,12 +27,3 @@ def latest_per_key(
 ) -> DataFrame:
     """The winning row of each key by a newest-first order."""
     return first_per_key(df, keys, order, spread)
-
-
-def heavy_keys(df: DataFrame, key: str, more_than: int) -> DataFrame:
-    """Keys with more than `more_than` rows, counted before the shuffle.
-
-    The result has fewer than `rows / more_than` keys, which is what bounds its broadcast.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > more_than).select(key)

@@ -48,7 +48,7 @@ def allocated_lines(
     spark: SparkSession, d: str, first: str | None = None, last: str | None = None
 ) -> DataFrame:
     """Allocated lines of all orders, or of the orders of some days."""
-    lines = records.order_lines(spark, d)
+    lines = dws.unique_lines(records.order_lines(spark, d))
     rows = records.orders_with_amounts(records.orders(spark, d, first, last), lines)
     return dws.allocate(rows, lines)
 
@@ -76,8 +76,9 @@ def _log_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def cdc_messages(spark: SparkSession, d: str) -> DataFrame:
     """Single-row change envelopes as JSON text."""
+    kind = F.coalesce(F.concat(F.lit('"type":"'), "type", F.lit('",')), F.lit(""))
     text = F.concat(
-        F.lit('{"table":"'), "table", F.lit('","type":"'), "type", F.lit('","data":'), "data", F.lit("}")
+        F.lit('{"table":"'), "table", F.lit('",'), kind, F.lit('"data":'), "data", F.lit("}")
     )
     return records.cdc_rows(spark, d).select(text.alias("value"))
 
@@ -304,16 +305,17 @@ def new_customers_anti(spark: SparkSession, d: str) -> DataFrame:
 
 def full_wide(spark: SparkSession, d: str) -> DataFrame:
     """The whole wide table, in cents and with `create_time` as a timestamp."""
-    base = records.orders_with_amounts(records.orders(spark, d), records.order_lines(spark, d))
+    lines = dws.unique_lines(records.order_lines(spark, d))
+    flagged = dwd.flag_first_orders(records.orders(spark, d))
+    facts = records.orders_with_amounts(flagged, lines)
     # One lookup of the user gives both the province key and the labels.
     people = _users(spark, d).select(
         "user_id", "province_id", F.col("age_group").alias("user_age_group"),
         F.col("gender_name").alias("user_gender"),
     )
-    flagged = dwd.flag_first_orders(records.orders(spark, d)).select("order_id", "if_first_order")
-    facts = base.join(flagged, "order_id").join(people, "user_id", "left")
+    facts = facts.join(people, "user_id", "left")
     facts = dims.add_province(facts, records.provinces(spark, d))
-    allocated = dws.allocate(facts, records.order_lines(spark, d))
+    allocated = dws.allocate(facts, lines)
     return dws.order_wide(dims.add_sku(allocated, enriched_skus(spark, d)))
 
 
@@ -329,19 +331,23 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 @query
 def order_wide_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Joined pairs as two overlapping windows give them, every second order twice."""
-    pairs = _pairs(spark, d)
-    seen_twice = pairs.unionByName(pairs.filter("order_id % 2 = 0"))
+    times = F.when(F.col("order_id") % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    seen_twice = _pairs(spark, d).withColumn("_copy", F.explode(times)).drop("_copy")
     return dws.dedup_lines(seen_twice).select("order_detail_id", "order_id", "sku_id", "line_cents")
 
 
 def _with_resent(spark: SparkSession, d: str) -> DataFrame:
     """Wide rows of which every fifth order was sent again a minute later with a new status."""
-    pairs = _pairs(spark, d)
     minute = F.make_dt_interval(mins=F.lit(1))
-    resent = pairs.filter("order_id % 5 = 0").withColumns(
-        {"order_status": F.lit("RESENT"), "create_time": F.col("create_time") + minute}
+    first = F.struct("order_status", "create_time")
+    again = F.struct(
+        F.lit("RESENT").alias("order_status"), (F.col("create_time") + minute).alias("create_time")
     )
-    return pairs.unionByName(resent)
+    versions = F.when(F.col("order_id") % 5 == 0, F.array(first, again)).otherwise(F.array(first))
+    rows = _pairs(spark, d).withColumn("_version", F.explode(versions))
+    return rows.withColumns(
+        {c: F.col(f"_version.{c}") for c in ("order_status", "create_time")}
+    ).drop("_version")
 
 
 @query
@@ -367,22 +373,14 @@ def order_wide_shard_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def order_wide_store(spark: SparkSession, d: str) -> DataFrame:
-    """The wide table written in store types and read back; months, as its days are nearly empty."""
+    """The whole wide table written by day in store types and read back, in cents and text again."""
     path = workspace(spark, "order-wide")
-    rows = dws.store_types(dws.order_wide(dims.add_sku(_with_labels(spark, d), enriched_skus(spark, d))))
-    rows = rows.withColumn("month", F.date_format("dt", "yyyy-MM"))
-    files.write_days(rows, path, "month")
-    stored = spark.read.schema(rows.schema).parquet(path)
-    amount = (F.sum("final_detail_amount") * 100).cast("bigint")
-    return stored.groupBy("month").agg(
-        F.count(F.lit(1)).alias("n_rows"), amount.alias("amount_cents")
-    )
-
-
-def _with_labels(spark: SparkSession, d: str) -> DataFrame:
-    nothing = {c: F.lit(None).cast("string") for c in (
-        "if_first_order", "province_name", "province_area_code", "user_age_group", "user_gender")}
-    return allocated_lines(spark, d).withColumns(nothing)
+    wide = full_wide(spark, d)
+    rows = dws.store_types(wide)
+    files.write_days(rows, path, "dt")
+    return dws.from_store(spark.read.schema(rows.schema).parquet(path)).select(
+        *wide.columns
+    ).withColumn("create_time", time_text(F.col("create_time")))
 
 
 @query

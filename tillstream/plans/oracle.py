@@ -6,7 +6,7 @@ def _digest_half(multiplier: int) -> str:
     h = "0"
     for field in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "num", "line_cents", "disc", "tax",
                   "ascii(l_returnflag)", "ascii(l_linestatus)", "date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))"):
-        h = f"(CAST({h} AS BIGINT) * {multiplier} + {field}) % 2147483647"
+        h = f"(CAST({h} AS BIGINT) * {multiplier} + coalesce({field}, -1000003)) % 2147483647"
     return h
 
 
@@ -72,7 +72,7 @@ PROVINCES = """prov AS (
 SKUS = """sku AS (
   SELECT p_partkey AS sku_id, CAST(p_size AS BIGINT) AS spu_id,
          CAST(round(p_retailprice * 100) AS BIGINT) AS price_cents, p_name AS sku_name,
-         CAST(substr(p_brand, 7) AS BIGINT) AS tm_id, upper(substr(p_type, 1, 3)) AS category3_id,
+         CAST(substr(p_brand, 7) AS BIGINT) AS tm_id, upper(p_type) AS category3_id,
          p_type AS category3_name, 'spu ' || p_size AS spu_name, p_brand AS tm_name
   FROM part)"""
 
@@ -90,7 +90,7 @@ dau AS (
     SELECT *, row_number() OVER (PARTITION BY mid, dt ORDER BY ts, event_id) AS rn FROM ev) WHERE rn = 1)"""
 
 CDC = """cdc AS (
-  SELECT "table", CASE key % 10 WHEN 0 THEN 'delete' WHEN 1 THEN 'update' ELSE 'insert' END AS type,
+  SELECT "table", CASE key % 10 WHEN 0 THEN 'delete' WHEN 1 THEN 'update' WHEN 2 THEN NULL ELSE 'insert' END AS type,
          CASE WHEN key % 20 = 3 THEN '{}' ELSE body END AS data
   FROM (
     SELECT 'order_info' AS "table", order_id AS key, CAST(json_object('order_id', order_id, 'user_id', user_id, 'order_status', order_status) AS VARCHAR) AS body FROM ord
@@ -100,11 +100,12 @@ CDC = """cdc AS (
     UNION ALL SELECT 'sku_info', sku_id, CAST(json_object('sku_id', sku_id, 'spu_id', spu_id, 'sku_name', sku_name, 'tm_id', tm_id) AS VARCHAR) FROM sku
     UNION ALL SELECT DISTINCT 'spu_info', spu_id, CAST(json_object('spu_id', spu_id, 'spu_name', spu_name) AS VARCHAR) FROM sku
     UNION ALL SELECT DISTINCT 'base_trademark', tm_id, CAST(json_object('tm_id', tm_id, 'tm_name', tm_name) AS VARCHAR) FROM sku
+    UNION ALL SELECT DISTINCT 'base_category3', length(category3_name), CAST(json_object('category3_id', category3_id, 'category3_name', category3_name, 'n', length(category3_name)) AS VARCHAR) FROM sku
     UNION ALL SELECT 'comment_info', event_id, CAST(json_object('event_id', event_id, 'event_type', event_type) AS VARCHAR) FROM events)),
 kept AS (
-  SELECT * FROM cdc WHERE data <> '{}' AND type <> 'delete'
+  SELECT * FROM cdc WHERE data <> '{}' AND type IS DISTINCT FROM 'delete'
     AND (("table" = 'order_info' AND type = 'insert')
-         OR "table" IN ('order_detail', 'base_province', 'user_info', 'sku_info', 'spu_info', 'base_trademark')))"""
+         OR "table" IN ('order_detail', 'base_province', 'user_info', 'sku_info', 'spu_info', 'base_trademark', 'base_category3')))"""
 
 
 def _sql(*ctes: str, body: str) -> str:
@@ -223,8 +224,6 @@ SQL: dict[str, str] = {
     "order_wide_latest_amount": _sql(LINES, ORDERS, body="""SELECT dt, CAST(sum(line_cents) AS BIGINT) AS amount_cents,
         count(*) AS n_lines FROM lines JOIN ord USING (order_id) GROUP BY dt"""),
     "order_wide_shard_counts": _sql(LINES, body="SELECT order_detail_id % 8 AS shard, count(*) AS n_rows FROM lines GROUP BY 1"),
-    "order_wide_store": _sql(*_SPL, body="""SELECT substr(dt, 1, 7) AS month, count(*) AS n_rows,
-        CAST(sum(final_detail_cents) AS BIGINT) AS amount_cents FROM split GROUP BY 1"""),
     "order_split_amount": _sql(*_SPL, body="SELECT order_id, order_detail_id, line_cents, final_detail_cents FROM split"),
     "order_split_check": _sql(LINES, TOTALS, body="SELECT order_id, final_total_cents, final_total_cents AS split_sum_cents FROM tot JOIN orders ON o_orderkey = order_id"),
     "order_detail_unmatched": _sql(LINES, body="""
@@ -252,7 +251,7 @@ SQL: dict[str, str] = {
     "gender_share": _sql(LINES, ORDERS, USERS, body=_share("lines JOIN ord USING (order_id) JOIN person USING (user_id)", "gender_name")),
     "age_share": _sql(LINES, ORDERS, USERS, body=_share("lines JOIN ord USING (order_id) JOIN person USING (user_id)", "age_group")),
     "province_map_bands": _sql(*_AMT, USERS, PROVINCES, body="""
-        SELECT province_name, order_count, CASE WHEN order_count <= 600 THEN least(order_count // 100, 5) END AS band
+        SELECT province_name, order_count, least(order_count * 6 // (max(order_count) OVER () + 1), 5) AS band
         FROM (SELECT province_name, count(*) AS order_count FROM amt JOIN usr USING (user_id)
               JOIN prov ON prov.province_id = usr.province_id GROUP BY 1)"""),
     "dau_total": _sql(EVENTS, body="SELECT count(*) AS dau FROM dau WHERE dt = '2024-01-15'"),
@@ -330,3 +329,10 @@ for _stream, _batch in {
     "stream_detail_enrich": "detail_sku_join",
 }.items():
     SQL[_stream] = SQL[_batch]
+
+# The store gives back every column of the wide table.
+SQL["order_wide_store"] = SQL["order_wide_join"]
+
+SQL["stream_corrupt_side"] = _sql(EVENTS, body="""
+    SELECT 'stored' AS kind, CAST(ts_ms AS VARCHAR) AS value FROM ev WHERE event_id % 50 <> 0
+    UNION ALL SELECT 'corrupt', substr('{"ts":' || ts_ms || ',', 1, 20) FROM ev WHERE event_id % 50 = 0""")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.jsontext import good_rows, json_of, parse_typed
 from ..functions.times import time_text
 from ..operators import ads, dims, dws
+from ..schemas import APP_LOG
 from ..session import workspace
 from ..sinks import files
 from ..sources import records, topics
@@ -94,6 +95,24 @@ def stream_events_source(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(replay.path("events")).select("ts_ms", "mid", "ch", "vc")
 
 
+@query
+def stream_corrupt_side(spark: SparkSession, d: str) -> DataFrame:
+    """Every fiftieth log line arrives cut off: the others are stored, these land beside them."""
+    replay = Replay(spark, "corrupt")
+    whole = F.col("event_id") % 50 != 0
+    cut = F.when(whole, F.col("value")).otherwise(F.substring("value", 1, 20))
+    replay.land(_log(spark, d).withColumn("value", cut), "ts", "APP_EVENT", 2)
+    replay.drain(jobs.store_events(replay.stream("APP_EVENT"), replay.path("events")), "events")
+    replay.drain(
+        jobs.keep_corrupt(replay.stream("APP_EVENT"), APP_LOG, replay.path("side")), "side"
+    )
+    good = spark.read.parquet(replay.path("events")).select(
+        F.lit("stored").alias("kind"), F.col("ts_ms").cast("string").alias("value")
+    )
+    side = spark.read.parquet(replay.path("side")).select(F.lit("corrupt").alias("kind"), "value")
+    return good.unionByName(side)
+
+
 @query
 def stream_restart_exact(spark: SparkSession, d: str) -> DataFrame:
     """The same job ended and started again twice, the last time with nothing new."""

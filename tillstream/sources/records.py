@@ -80,7 +80,7 @@ def skus(spark: SparkSession, folder: str) -> DataFrame:
         to_cents(F.col("p_retailprice")).alias("price_cents"),
         F.col("p_name").alias("sku_name"),
         F.regexp_extract("p_brand", r"(\d+)", 1).cast("bigint").alias("tm_id"),
-        F.upper(F.substring("p_type", 1, 3)).alias("category3_id"),
+        F.upper("p_type").alias("category3_id"),
     )
 
 
@@ -108,7 +108,7 @@ def categories(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "part")
         .select(
-            F.upper(F.substring("p_type", 1, 3)).alias("category3_id"),
+            F.upper("p_type").alias("category3_id"),
             F.col("p_type").alias("category3_name"),
         )
         .distinct()
@@ -136,6 +136,7 @@ def orders(
 
 # Prime modulus and multipliers of the line digest.
 _PRIME, _MULTIPLIERS = 2147483647, (16807, 48271)
+_MISSING = -1_000_003
 
 
 def _digest(fields: list[Column]) -> Column:
@@ -144,7 +145,8 @@ def _digest(fields: list[Column]) -> Column:
     for multiplier in _MULTIPLIERS:
         h = F.lit(0).cast("bigint")
         for field in fields:
-            h = (h * multiplier + field) % _PRIME
+            # A missing field has a value of its own, which no real one has.
+            h = (h * multiplier + F.coalesce(field, F.lit(_MISSING))) % _PRIME
         halves.append(h)
     return halves[0] * (_PRIME + 1) + halves[1]
 
@@ -189,7 +191,9 @@ def orders_with_amounts(orders_df: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _envelope(name: str, df: DataFrame, key: str) -> DataFrame:
-    kind = F.when(F.col(key) % 10 == 0, "delete").when(F.col(key) % 10 == 1, "update").otherwise("insert")
+    last = F.col(key) % 10
+    # Some envelopes have no type.
+    kind = F.when(last == 0, "delete").when(last == 1, "update").when(last != 2, "insert")
     data = F.when(F.col(key) % 20 == 3, F.lit("{}")).otherwise(F.to_json(F.struct(*df.columns)))
     return df.select(
         F.lit(name).alias("table"), kind.alias("type"), F.col(key).cast("bigint").alias("row_key"),
@@ -211,6 +215,7 @@ def cdc_rows(spark: SparkSession, folder: str) -> DataFrame:
         _envelope("sku_info", skus(spark, folder).select("sku_id", "spu_id", "sku_name", "tm_id"), "sku_id"),
         _envelope("spu_info", spus(spark, folder).select("spu_id", "spu_name"), "spu_id"),
         _envelope("base_trademark", trademarks(spark, folder).select("tm_id", "tm_name"), "tm_id"),
+        _envelope("base_category3", categories(spark, folder).withColumn("n", F.length("category3_name")), "n"),
         _envelope(
             "comment_info",
             table(spark, folder, "events").select("event_id", "event_type"),

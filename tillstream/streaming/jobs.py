@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions.jsontext import good_rows, parse_typed
+from ..functions.jsontext import corrupt_rows, good_rows, parse_typed
 from ..operators import dims, dws, ods
 from ..operators.keyed import first_per_key, latest_per_key
 from ..sinks.files import batch_writer, upsert_writer
@@ -32,6 +32,12 @@ def per_batch(rows: DataFrame, write: Callable[[DataFrame, int], None], mode: st
     return rows.writeStream.outputMode(mode).foreachBatch(write)
 
 
+def keep_corrupt(messages: DataFrame, schema: T.StructType, path: str) -> DataStreamWriter:
+    """Side output of a topic: messages that do not parse, as they came. Start it next to the job
+    that reads the topic, which goes on without them."""
+    return append_files(corrupt_rows(parse_typed(messages, schema)), path)
+
+
 # ---- ODS and DIM ---------------------------------------------------------------------------
 
 
@@ -257,18 +263,26 @@ def order_progress(wide: DataFrame, path: str, late: str = "1 hour") -> DataStre
 
 
 def allocated_view(wide: DataFrame, progress: DataFrame) -> DataFrame:
-    """Lines of complete orders with what each paid; the last line by id takes the remainder."""
-    done = progress.filter(F.col("seen_cents") == F.col("original_total_cents"))
-    complete = latest_per_key(done, ["order_id"], [F.col("batch_id").desc()]).select(
-        "order_id", "share_sum", "last_id"
+    """Every line that has come with what it paid, and the `status` of its order.
+
+    Lines of an `open` order, of which some are missing yet or were lost to the watermark, have their
+    rounded share. Once the order is `complete`, its last line by id takes the remainder as well.
+    """
+    newest = latest_per_key(progress, ["order_id"], [F.col("batch_id").desc()]).select(
+        "order_id",
+        "share_sum",
+        "last_id",
+        (F.col("seen_cents") == F.col("original_total_cents")).alias("_complete"),
     )
+    complete = F.coalesce("_complete", F.lit(False))
     rest = F.col("final_total_cents") - F.col("share_sum")
-    extra = F.when(F.col("order_detail_id") == F.col("last_id"), rest).otherwise(F.lit(0))
+    is_last = complete & (F.col("order_detail_id") == F.col("last_id"))
     return (
         wide.withColumn("_share", dws.allocated_share())
-        .join(complete, "order_id")
-        .withColumn("final_detail_cents", F.col("_share") + extra)
-        .drop("_share", "share_sum", "last_id")
+        .join(newest, "order_id", "left")
+        .withColumn("final_detail_cents", F.col("_share") + F.when(is_last, rest).otherwise(F.lit(0)))
+        .withColumn("status", F.when(complete, "complete").otherwise("open"))
+        .drop("_share", "share_sum", "last_id", "_complete")
     )
 
 
@@ -279,8 +293,10 @@ def trademark_sums(allocated: DataFrame, path: str) -> DataStreamWriter:
     """Brand sums of each batch, written with the batch as one unit; a replay replaces them."""
 
     def sums(batch: DataFrame) -> DataFrame:
+        # `stat_time` is when the batch was summed up, as the result table has it.
         return batch.groupBy("tm_id", "tm_name").agg(
-            F.sum("final_detail_cents").alias("amount_cents")
+            F.sum("final_detail_cents").alias("amount_cents"),
+            F.current_timestamp().alias("stat_time"),
         )
 
     return per_batch(allocated, batch_writer(path, sums), "append")

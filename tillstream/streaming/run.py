@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..session import ROCKSDB_PROVIDER, conf_override
 
@@ -29,6 +31,7 @@ def start(
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    _listener(spark)
     with conf_override(spark, conf):
         return writer.start()
 
@@ -40,13 +43,38 @@ def drain(spark: SparkSession, writer: DataStreamWriter, checkpoint: str, **opti
     return query
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the query dropped because they came after the watermark."""
-    return sum(
-        op["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+class _LateRows(StreamingQueryListener):
+    """Adds up rows dropped by watermarks over the whole life of each query run."""
+
+    def __init__(self) -> None:
+        self.dropped: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped[str(event.runId)] += 0
+
+    def onQueryProgress(self, event) -> None:
+        for operator in event.progress.stateOperators:
+            self.dropped[str(event.progress.runId)] += operator.numRowsDroppedByWatermark
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+_LISTENERS: dict[int, _LateRows] = {}
+
+
+def _listener(spark: SparkSession) -> _LateRows:
+    """The session's listener, added with the first query that is started here."""
+    if id(spark) not in _LISTENERS:
+        _LISTENERS[id(spark)] = _LateRows()
+        spark.streams.addListener(_LISTENERS[id(spark)])
+    return _LISTENERS[id(spark)]
+
+
+def late_rows(spark: SparkSession, query: StreamingQuery) -> int:
+    """Rows a query started here dropped because they came after the watermark, since its start."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return _listener(spark).dropped[str(query.runId)]
 
 
 def batch_seconds(query: StreamingQuery) -> list[float]:
