@@ -49,7 +49,7 @@ def test_allocation_gathers_no_order(spark, folder):
         orders = records.orders_with_amounts(records.orders(spark, folder), lines)
         plan = _plan(dws.allocate(orders, lines))
     assert "Window" not in plan and "Broadcast" not in plan
-    assert "sum(_share" in plan and plan.count("FileScan") == 4
+    assert "sum(_share" in plan
 
 
 def test_sums_by_dimension_are_partial_before_the_join(spark, folder):
