@@ -25,7 +25,7 @@ _LATIN_SPACE = re.compile("[\x85\xa0]")
 _CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _WORD_ONLY = re.compile(r"[^ \t-\r]+")
 # Most entries of a cache; a full one is emptied and fills again.
-CACHED = 1_000_000
+CACHED = 500_000
 # Longer chunks are not kept.
 KEPT_LENGTH = 40
 
@@ -57,11 +57,12 @@ class Encoder:
         byte_level = config["normalizer"] is None and '"use_regex": true' in kind
         # The cut is proven for these two forms only; any other tokenizer gets whole texts.
         self.cut = byte_level or (lower and '\\\\s+' in kind)
+        self.cut = self.cut and all("<" in s for s in self.special)
         self.lower = lower
         self.chunks = (_WORD_ONLY if lower else _CHUNK).findall
         self.words = regex.compile(WORD_LEVEL if lower else BYTE_LEVEL).findall
-        self.by_chunk: dict[str, bytes | None] = {}
-        self.by_word: dict[str, bytes] = {}
+        # Ids of chunks and of words; a word alone is a chunk.
+        self.cache: dict[str, bytes] = {}
 
     def _packed(self, ids: list[int]) -> bytes:
         return array(self.dtype.char, ids).tobytes()
@@ -69,67 +70,78 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return self._packed(self.library.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
-        found = self.by_word.get(word)
-        if found is None:
-            found = self._packed([t.id for t in self.model.tokenize(word)])
-            if len(self.by_word) >= CACHED // 8:
-                self.by_word.clear()
-            if len(word) <= KEPT_LENGTH:
-                self.by_word[word] = found
-        return found
-
-    def _words(self, chunk: str) -> list[str]:
-        """Words of a chunk in the byte-level alphabet."""
-        if chunk.isascii():
-            chunk = chunk.lower() if self.lower else chunk
-            return [w.translate(ALPHABET) for w in self.words(chunk)]
-        if max(chunk) < _LATIN_END and not _LATIN_SPACE.search(chunk):
-            chunk = chunk.lower() if self.lower else chunk
-            words = self.words(chunk)
-            return [w.encode().decode("latin-1").translate(ALPHABET) for w in words]
-        if self.library.normalizer is not None:
-            chunk = self.library.normalizer.normalize_str(chunk)
-        return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+    def _keep(self, piece: str, ids: bytes) -> bytes:
+        if len(piece) <= KEPT_LENGTH:
+            if len(self.cache) >= CACHED:
+                self.cache.clear()
+            self.cache[piece] = ids
+        return ids
+
+    def _merged(self, letters: str) -> bytes:
+        """Ids of one word in the byte-level alphabet, by the library's model."""
+        return self._packed([t.id for t in self.model.tokenize(letters)])
 
     def _chunk(self, chunk: str) -> bytes | None:
-        """Ids of a chunk; None if the text around it has to be encoded whole."""
+        """Ids of a chunk; None if the text around it has to be encoded whole.
+
+        New words are kept. A chunk of several words is kept when all of them were known before, so
+        that rare words don't fill the cache with their punctuation.
+        """
         last = chunk[-1]
-        if last in ".,":
-            # A comma or stop after a letter is a word of its own, so the rest is looked up first.
-            rest = self.by_chunk.get(chunk[:-1]) if chunk[-2:-1].isalpha() else None
-            if rest is not None:
-                return rest + self._word(last)
-        if any(s in chunk for s in self.special):
+        plain = chunk.isascii()
+        latin = plain or (max(chunk) < _LATIN_END and not _LATIN_SPACE.search(chunk))
+        if latin:
+            # Most new chunks are one word, maybe with a comma or stop, which is a word of its own.
+            core = chunk[:-1] if last in ".," else chunk
+            core = core.lower() if self.lower else core
+            body = core[1:] if core[:1] == " " else core
+            if body.isalpha():
+                ids = self.cache.get(core)
+                known = ids is not None
+                if not known:
+                    word = core if plain else core.encode().decode("latin-1")
+                    ids = self._keep(core, self._merged(word.translate(ALPHABET)))
+                if last not in ".,":
+                    return self._keep(chunk, ids) if self.lower else ids
+                mark = self.cache.get(last) or self._keep(last, self._merged(last))
+                return self._keep(chunk, ids + mark) if known else ids + mark
+        if "<" in chunk and any(s in chunk for s in self.special):
             return self.whole(chunk)
         if not self.lower and last not in _BLANKS and last.isspace():
             return None
-        words = self._words(chunk)
-        if len(words) == 1:
-            return self._packed([t.id for t in self.model.tokenize(words[0])])
-        return b"".join(map(self._word, words))
+        if not latin:
+            normal = chunk
+            if self.library.normalizer is not None:
+                normal = self.library.normalizer.normalize_str(chunk)
+            cut = self.library.pre_tokenizer.pre_tokenize_str(normal)
+            return self._keep(chunk, b"".join([self._merged(w) for w, _ in cut]))
+        words = self.words(chunk.lower() if self.lower else chunk)
+        parts, known = [], True
+        for word in words:
+            ids = self.cache.get(word)
+            if ids is None:
+                known = False
+                letters = word if plain else word.encode().decode("latin-1")
+                ids = self._keep(word, self._merged(letters.translate(ALPHABET)))
+            parts.append(ids)
+        ids = b"".join(parts)
+        return self._keep(chunk, ids) if known else ids
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, packed little-endian in `dtype`."""
         if not self.cut:
             return self.whole(text)
         chunks = self.chunks(text)
-        parts = list(map(self.by_chunk.get, chunks))
+        parts = list(map(self.cache.get, chunks))
         if None in parts:
+            known = self.cache
             for k, part in enumerate(parts):
-                if part is not None:
-                    continue
-                chunk = chunks[k]
-                part = self.by_chunk.get(chunk)
                 if part is None:
-                    part = self._chunk(chunk)
+                    chunk = chunks[k]
+                    part = known.get(chunk) or self._chunk(chunk)
                     if part is None:
                         return self.whole(text)
-                    if len(self.by_chunk) >= CACHED:
-                        self.by_chunk.clear()
-                    if len(chunk) <= KEPT_LENGTH:
-                        self.by_chunk[chunk] = part
-                parts[k] = part
+                    parts[k] = part
         return b"".join(parts)
 
     def ids(self, text: str) -> np.ndarray:
