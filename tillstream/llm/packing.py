@@ -83,7 +83,11 @@ def shortest_pack_first(histogram: Mapping[int, int], max_len: int) -> list[tupl
                 room.pop(most, None)
                 most -= 1
             if most < length:
-                put(waiting, [length], max_len - length)
+                # One at a time, each new pattern would be filled before the next is opened.
+                each = max_len // length
+                for times, size in ((waiting // each, each), (1, waiting % each)):
+                    if times and size:
+                        put(times, [length] * size, max_len - size * length)
                 break
             count, pattern = room[most].pop()
             used = min(count, waiting)
