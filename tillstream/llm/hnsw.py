@@ -2,9 +2,9 @@
 
 Equal vectors are one node. Nodes are dealt to shards by hash; a task builds the graph of its shard and
 then takes all nodes as queries, in batches. Queries of a batch walk the graph together in numpy. A
-beam starts at a width at which the shard's audit passes: sampled queries against brute force, the beam
-doubled until enough of their nearest neighbours are found. The beam of a query is doubled again for as
-long as all it holds are links, so that large groups are found whole. Every link is verified by its
+beam starts at a width at which the shard's audit passes: sampled nodes against brute force, the beam
+doubled until enough of the links are found. The beam of a query is doubled again for as long as all
+it holds are links, so that large groups are found whole. Every link is verified by its
 cosine in double precision.
 
 A task gives each query's number of links and a spanning forest of all links it saw, at most
@@ -32,8 +32,8 @@ from tillstream.llm.components import components
 LEAST_COSINE = 0.95
 NEIGHBOURS = 12  # links of a node on upper levels; twice as many at the bottom
 BUILD_BEAM = 48
-FIRST_BEAM = 24
-AUDIT, AUDIT_NEAREST, AUDIT_RECALL = 48, 10, 0.95
+FIRST_BEAM = 16
+AUDIT, AUDIT_RECALL = 256, 0.99
 # Most nodes of a shard; more nodes make more shards than the shuffle has partitions.
 SHARD = 200_000
 _EXPANDED = 4
@@ -195,17 +195,19 @@ class Graph:
         ids[:, 1:][(ids[:, 1:] == ids[:, :-1])] = -1
         links[nodes] = self._spread(nodes, ids, scores.astype(np.float32), links.shape[1])
 
-    def audited_beam(self) -> int:
-        """The beam at which sampled queries find enough of their nearest neighbours."""
+    def audited_beam(self, least: float) -> int:
+        """The beam at which sampled nodes find enough of the nodes within `least`, themselves among
+        these, by brute force."""
         n = len(self.vectors)
         picked = np.unique(np.linspace(0, n - 1, AUDIT).astype(int))
         queries = self.vectors[picked]
-        nearest = _top(queries @ self.vectors.T, min(AUDIT_NEAREST, n))
+        wanted = queries @ self.vectors.T >= least
         beam = FIRST_BEAM
         while beam < n:
-            ids, _ = self.search(queries, beam)
-            hit = sum(np.isin(a, b).sum() for a, b in zip(nearest, ids))
-            if hit >= AUDIT_RECALL * nearest.size:
+            found = np.zeros_like(wanted)
+            for rows, nodes in self.within(queries, least, beam):
+                found[rows, nodes] = True
+            if (found & wanted).sum() >= AUDIT_RECALL * wanted.sum():
                 break
             beam *= 2
         return min(beam, n)
@@ -229,12 +231,12 @@ class Graph:
 class _Shard:
     """A shard's nodes of one length, its graph, and the forest of the links seen so far."""
 
-    def __init__(self, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, least: float):
         self.ids, self.copies = ids, copies
         self.exact = vectors.astype(np.float64)
         self.norms = np.sqrt((self.exact**2).sum(axis=1))
         self.graph = Graph((self.exact / self.norms[:, None]).astype(np.float32))
-        self.beam = self.graph.audited_beam()
+        self.beam = self.graph.audited_beam(least)
         self.trees = np.arange(len(ids))
 
     def answer(self, ids: np.ndarray, vectors: np.ndarray, least: float):
@@ -311,7 +313,7 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
                 for length, ids, _, values in matrix(batch, asked):
                     if length in parts:
                         gathered = [np.concatenate(x) for x in zip(*parts.pop(length))]
-                        ready[length] = _Shard(*gathered)
+                        ready[length] = _Shard(*gathered, least)
                     if length not in ready:
                         continue
                     found, counts, edges = ready[length].answer(ids, values, least)
