@@ -11,7 +11,7 @@ from tillstream.plans import batch
 from tillstream.session import conf_override
 from tillstream.sources import records
 
-WRITERS = {"raw_log_landing", "dim_upsert_latest", "dau_index_write", "order_wide_store", "doc_with_array"}
+WRITERS = {"order_wide_shard_counts", "raw_log_landing", "dim_upsert_latest", "dau_index_write", "order_wide_store", "doc_with_array"}
 
 
 def _plan(df) -> str:

@@ -240,13 +240,15 @@ def dau_project(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dau_index_write(spark: SparkSession, d: str) -> DataFrame:
-    """Day index written twice, as after a failed commit; the second write replaces the first."""
+    """Index of daily actives by day and device, each day written in two batches that overlap, and
+    the second one again, as after a failed commit."""
     path = workspace(spark, "dau-index")
     rows = _dau(spark, d)
-    files.write_days(rows, path)
-    files.write_days(rows, path)
-    index = spark.read.schema(rows.schema).parquet(path)
-    return index.groupBy("dt").agg(F.count(F.lit(1)).alias("dau"))
+    write = files.upsert_writer(path)
+    write(rows.filter("hr < '12'"), 0)
+    for _ in range(2):
+        write(rows.filter("hr >= '08'"), 1)
+    return files.upserted(spark, path, ["dt", "mid"]).select(*rows.columns)
 
 
 @query
@@ -367,8 +369,13 @@ def order_wide_latest_amount(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def order_wide_shard_counts(spark: SparkSession, d: str) -> DataFrame:
-    shard = F.pmod("order_detail_id", F.lit(8)).alias("shard")
-    return records.order_lines(spark, d).groupBy(shard).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Lines written to eight shards and counted from what was written."""
+    path = workspace(spark, "shards")
+    files.write_shards(records.order_lines(spark, d), path, "order_detail_id", 8)
+    stored = spark.read.parquet(path)
+    return stored.groupBy(F.col("shard").cast("long").alias("shard")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
 
 
 @query

@@ -190,7 +190,7 @@ SQL: dict[str, str] = {
     "order_time_parts": _sql(ORDERS, body="SELECT order_id, substr(create_time, 1, 10) AS create_date, substr(create_time, 12, 2) AS create_hour FROM ord"),
     "dau_dedup": _sql(EVENTS, body="SELECT mid, dt, ts_ms FROM dau"),
     "dau_project": _sql(EVENTS, body="SELECT * FROM dau"),
-    "dau_index_write": _sql(EVENTS, body="SELECT dt, count(*) AS dau FROM dau GROUP BY dt"),
+    "dau_index_write": _sql(EVENTS, body="SELECT * FROM dau"),
     "order_province_join": _sql(ORDERS, USERS, PROVINCES, body="""SELECT order_id, province_name, province_area_code,
         province_iso_code, province_iso_3166_2 FROM ord LEFT JOIN usr USING (user_id) LEFT JOIN prov USING (province_id)"""),
     "order_user_join": _sql(ORDERS, USERS, body="""SELECT order_id, ord.user_id, age_group AS user_age_group,
