@@ -20,6 +20,7 @@ other; an empty table gives no rows. Other columns are dropped.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,21 +82,20 @@ def fingerprint(text: Column, flags: Column) -> Column:
 
         def seeded(hashes: Column, seed: int) -> Column:
             """Signatures of one seed, densest first: each subset is drawn from the one before."""
+            def drawn(hashes: Column, rate: int) -> Column:
+                return F.filter(
+                    hashes, lambda h: F.pmod(F.xxhash64(h, F.lit(seed)), F.lit(rate)) == 0
+                )
+
             def signed(chosen: Column, level: int) -> Column:
-                sign = F.when(F.size(chosen) > 0, F.xxhash64(chosen["hash"], F.lit(seed)))
+                sign = F.when(F.size(chosen) > 0, F.xxhash64(chosen, F.lit(seed)))
                 if level + 1 == len(RATES):
                     return F.array(sign)
-                rate = RATES[level + 1]
-                rest = F.filter(chosen, lambda c: F.pmod(c.draw, F.lit(rate)) == 0)
-                return F.concat(
-                    F.array(sign), F.transform(F.array(rest), lambda r: signed(r, level + 1))[0]
-                )
+                rest = F.array(drawn(chosen, RATES[level + 1]))
+                return F.concat(F.array(sign), F.transform(rest, lambda r: signed(r, level + 1))[0])
 
-            drawn = F.transform(
-                hashes, lambda h: F.struct(h.alias("hash"), F.xxhash64(h, F.lit(seed)).alias("draw"))
-            )
-            first = F.filter(drawn, lambda c: F.pmod(c.draw, F.lit(RATES[0])) == 0)
-            return F.transform(F.array(first), lambda c: signed(c, 0))[0]
+            first = F.array(drawn(hashes, RATES[0]))
+            return F.transform(first, lambda c: signed(c, 0))[0]
 
         def both(hashes: Column) -> Column:
             made = F.flatten(F.array(*[seeded(hashes, seed) for seed in range(SEEDS)]))
@@ -150,9 +150,11 @@ def _bucket(key: Column, bounds: list[int]) -> Column:
     return whole * step + F.size(F.filter(fine, lambda b: b <= key))
 
 
-def with_next(docs: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """`docs` with `next_<c>` of the row that follows in the order of `key` and the columns, the
-    first row following the last.
+def with_next(
+    docs: DataFrame, key: str, columns: list[str], derive: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """`docs` with what `derive` adds to it and `next_<c>` of the row that follows in the order of
+    `key` and the columns of `docs`, the first row following the last.
 
     Rows are dealt to ranges of the key by quantiles, as many as the session's shuffle has
     partitions; each range also gets the first row of the next one. So rows move once, and nothing
@@ -173,7 +175,7 @@ def with_next(docs: DataFrame, key: str, columns: list[str]) -> DataFrame:
         (firsts[k - 1]["_bucket"], row["_key"], len(firsts) if k == 0 else 0)
         for k, row in enumerate(firsts)
     ]
-    order = ["_key", *columns]
+    order = ["_key", *[c for c in docs.columns if c != key]]
     heads = spark.createDataFrame(before, "_before int, _key long, _wrap int")
     extra = dealt.join(F.broadcast(heads), "_key").withColumn(
         "_nth", F.row_number().over(Window.partitionBy("_key").orderBy(*order))
@@ -185,7 +187,7 @@ def with_next(docs: DataFrame, key: str, columns: list[str]) -> DataFrame:
     # An added row comes last in its range.
     within = Window.partitionBy("_bucket").orderBy("_extra", *order)
     ahead = {f"next_{c}": F.lead(c).over(within) for c in columns}
-    return rows.withColumns(ahead).filter(~F.col("_extra")).drop("_key", "_bucket", "_extra")
+    return derive(rows).withColumns(ahead).filter(~F.col("_extra")).drop("_key", "_bucket", "_extra")
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -193,25 +195,22 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     `op6_imatch`), and how like they and the next document's are."""
     source = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     table = settled(lexicon_flags(lexicon(source, "text")), "lexicon").scalar()
-    # Higher-order functions take columns only, so a row carries the table (128 KB) while it is
-    # fingerprinted, and drops it before any shuffle.
     flags = F.col("_flags")
-    printed = (
-        source.withColumn("_flags", table)
-        .withColumn("print", fingerprint(F.col("text"), flags))
-        .drop("_flags")
+
+    def printed(rows: DataFrame, text: str, name: str) -> DataFrame:
+        # Higher-order functions take columns only, so a row carries the table (128 KB) while it is
+        # fingerprinted, and drops it before any shuffle.
+        carried = rows.withColumn("_flags", table)
+        return carried.withColumn(name, fingerprint(F.col(text), flags)).drop("_flags")
+
+    pairs = with_next(
+        source, "doc_id", ["text", "print"], lambda rows: printed(rows, "text", "print")
     )
-    pairs = with_next(printed, "doc_id", ["text", "print"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(
         F.substring(F.col("text"), F.lit(1), n - half),
         F.substring(F.col("next_text"), F.lit(1), half),
     )
-    return (
-        pairs.withColumn("n_chars", n.cast("long"))
-        .withColumn("edited", edited)
-        .withColumn("_flags", table)
-        .withColumn("edited_print", fingerprint(F.col("edited"), flags))
-        .drop("_flags")
-    )
+    told = pairs.withColumn("n_chars", n.cast("long")).withColumn("edited", edited)
+    return printed(told, "edited", "edited_print")
