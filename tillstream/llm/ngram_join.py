@@ -333,18 +333,23 @@ def _sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFrame:
     """(doc_id, members) of the documents in `wanted` (and a few more): whole sets, packed."""
     spark = docs.sparkSession
     bits = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
-    # The filter has a fixed size: numbers of its set bits, then a bitmap of FILTER_BITS / 8 bytes.
-    used = wanted.select(bits.alias("bit")).distinct().toArrow().column("bit").to_numpy()
-    flags = np.zeros(FILTER_BITS, bool)
-    flags[used] = True
-    shared = spark.sparkContext.broadcast(np.packbits(flags))
+    # The filter has a fixed size: at most FILTER_BITS / 32 words come to the driver, as one array.
+    words = (
+        wanted.select(bits.alias("bit"))
+        .groupBy(F.expr("bit div 32").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit % 32)")).alias("flags"))
+        .toArrow()
+    )
+    table = np.zeros(FILTER_BITS // 32, np.uint32)
+    table[words.column("word").to_numpy()] = words.column("flags").to_numpy().astype(np.uint32)
+    shared = spark.sparkContext.broadcast(table)
     source = _source(docs, text).withColumn("_bit", bits)
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
             bit = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((table[bit >> 3] >> (7 - (bit & 7))) & 1 == 1))
+            batch = batch.filter(pa.array((table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1))
             for part in pieces([batch], "_text", 2 << 20):
                 sets = [ngram_set(t, n).tobytes() for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
