@@ -14,8 +14,8 @@ pairs of rows. It is worked out in blocks of columns, one or more per task, and
   component. Then only pairs from different components are multiplied and verified. No link between
   components is lost, and a column of a thousand near copies costs a thousand pairs, not a million.
 
-How frequent an n-gram is only decides the order of columns, so an estimate does: the n-grams that recur
-within batches, as far as they make up more than 1 / `FREQUENT` of all entries (so at most `FREQUENT`).
+How frequent an n-gram is only decides the order of columns, so an estimate does: all entries are counted
+in `COUNTERS` counters by hash. A task counts what it reads and passes its counters on in chunks.
 
 N-grams are 64-bit hashes, and so is the identity of a row. Defined results: texts that are null or
 without a word have the empty set and no links; with fewer words than n the whole sequence is the only
@@ -25,6 +25,7 @@ gives no rows; other columns are left out.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,7 +40,9 @@ from tillstream.llm.components import components
 WORDS = 5
 # The ratio to reach, as a fraction: overlap / union >= TOP / BOTTOM.
 TOP, BOTTOM = 3, 4
-FREQUENT = 1 << 20
+# Counters of n-grams; their sums go to all tasks (8 MB).
+COUNTERS = 1 << 21
+_CHUNK = 1 << 13
 # Rows compared with one pivot by one task.
 GROUP = 2000
 # Bits of the filter over documents whose sets are asked for. More documents than it can tell apart
@@ -88,68 +91,78 @@ def prefix_length(n: int) -> int:
     return n - -(-TOP * n // BOTTOM) + 1
 
 
+def _counter(grams: np.ndarray) -> np.ndarray:
+    return (mixed(grams) >> np.uint64(64 - (COUNTERS - 1).bit_length())).astype(np.int64)
+
+
 def rows_of(docs: DataFrame, text: str, n: int) -> DataFrame:
-    """doc_id, `row` (identity of its set), `size`; n-grams that recur in a batch on its first row."""
+    """doc_id, `row` (identity of its set), `size`; and each task's counters, by `chunk`."""
+    names = ["doc_id", "row", "size", "chunk", "counts"]
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.uint32)
         for batch in pieces(batches, "_text", 2 << 20):
             sets = [ngram_set(t, n) for t in batch.column(1).to_pylist()]
-            everything = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-            values, counts = np.unique(everything, return_counts=True)
-            often = counts >= max(4, len(sets) // 250)
-            lists = [[] for _ in sets]
-            times = [[] for _ in sets]
-            lists[0] = values[often].view(np.int64).tolist()
-            times[0] = counts[often].tolist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([_identity(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(lists, pa.list_(pa.int64())),
-                    pa.array(times, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "row", "size", "grams", "times"],
-            )
+            used, times = np.unique(_counter(np.concatenate(sets)), return_counts=True)
+            counts[used] += times.astype(np.uint32)
+            nothing = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
+            rows = [pa.array([_identity(s) for s in sets], pa.int64())]
+            rows.append(pa.array([len(s) for s in sets], pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *rows, *nothing], names)
+        chunks = counts.reshape(-1, _CHUNK)
+        filled = np.flatnonzero(chunks.any(axis=1))
+        data = [zlib.compress(chunks[k].tobytes(), 1) for k in filled]
+        nothing = [pa.nulls(len(filled), pa.int64())] * 3
+        yield pa.RecordBatch.from_arrays(
+            [*nothing, pa.array(filled, pa.int32()), pa.array(data, pa.binary())], names
+        )
 
-    schema = "doc_id long, row long, size long, grams array<long>, times array<long>"
+    schema = "doc_id long, row long, size long, chunk int, counts binary"
     return _source(docs, text).mapInArrow(made, schema)
 
 
-def _source(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("_text"))
+def counters(rows: DataFrame) -> np.ndarray:
+    """The sums of all tasks' counters."""
+
+    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = np.frombuffer(zlib.decompress(data), np.uint32)
+                sums[chunk] = sums.get(chunk, 0) + part.astype(np.uint64)
+        most = np.uint64(2**32 - 1)
+        data = [np.minimum(v, most).astype(np.uint32).tobytes() for v in sums.values()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array(data, pa.binary())], ["chunk", "counts"]
+        )
 
+    parts = rows.filter("chunk is not null").select("chunk", "counts")
+    dealt = parts.repartition(partitions(rows.sparkSession), "chunk")
+    found = dealt.mapInArrow(summed, "chunk int, counts binary").toArrow()
+    out = np.zeros((COUNTERS // _CHUNK, _CHUNK), np.uint32)
+    for chunk, data in zip(found.column("chunk").to_pylist(), found.column("counts").to_pylist()):
+        out[chunk] = np.frombuffer(data, np.uint32)
+    return out.reshape(-1)
 
-def frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted n-grams with large counts, at most `FREQUENT` of them, and the counts."""
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    seen = rows.select(F.explode(F.arrays_zip("grams", "times")).alias("g"))
-    counts = seen.groupBy(F.col("g.grams").alias("gram")).agg(F.sum("g.times").alias("times"))
-    kept = counts.filter(F.col("times") >= max(16, -(-total // FREQUENT))).toArrow()
-    grams = kept.column("gram").to_numpy().view(np.uint64)
-    order = np.argsort(grams)
-    return grams[order], kept.column("times").to_numpy()[order]
+
+def _source(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("_text"))
 
 
-def _prefix(members: np.ndarray, often: np.ndarray, times: np.ndarray) -> np.ndarray:
+def _prefix(members: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The rarest members, equals in the order of their hash."""
     count = prefix_length(len(members))
-    if len(often):
-        spot = np.minimum(np.searchsorted(often, members), len(often) - 1)
-        hit = often[spot] == members
-        if hit.any():
-            weight = np.where(hit, times[spot], 0)
-            return members[np.argsort(weight, kind="stable")[:count]]
-    return members[:count]
+    return members[np.argsort(counts[_counter(members)], kind="stable")[:count]]
 
 
-def _blocks(docs: DataFrame, text: str, n: int, often: np.ndarray, times: np.ndarray) -> DataFrame:
+def _blocks(docs: DataFrame, text: str, n: int, counts: np.ndarray) -> DataFrame:
     """Entries of the matrix by block of columns: (block, entries), entries being packed arrays."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((often, times))  # at most FREQUENT entries
+    shared = spark.sparkContext.broadcast(counts)  # COUNTERS of them
     count = 4 * partitions(spark)
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, times = shared.value
+        counts = shared.value
         seen: set[int] = set()
         for batch in pieces(batches, "_text", 2 << 20):
             grams, rows, sizes = [], [], []
@@ -161,7 +174,7 @@ def _blocks(docs: DataFrame, text: str, n: int, often: np.ndarray, times: np.nda
                 if len(seen) >= 1_000_000:
                     seen.clear()
                 seen.add(row)
-                part = _prefix(members, often, times)
+                part = _prefix(members, counts)
                 grams.append(part)
                 rows.append(np.full(len(part), row, np.int64))
                 sizes.append(np.full(len(part), len(members), np.int64))
@@ -407,9 +420,9 @@ def _verified(docs: DataFrame, text: str, n: int, pairs: DataFrame, owners: Data
 
 def jaccard_components(docs: DataFrame, text: str = "text", n: int = WORDS) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of every document of `docs`."""
-    rows = settled(rows_of(docs, text, n), "rows")
-    often, times = frequent(rows)
-    columns = settled(_columns(_blocks(docs, text, n, often, times)), "columns")
+    read = settled(rows_of(docs, text, n), "rows")
+    columns = settled(_columns(_blocks(docs, text, n, counters(read))), "columns")
+    rows = read.filter("chunk is null").select("doc_id", "row", "size")
     owners = settled(
         rows.filter("size > 0").groupBy("row").agg(F.min("doc_id").alias("doc_id")).filter("doc_id is not null"),
         "owners",
