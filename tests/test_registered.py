@@ -14,7 +14,7 @@ def con(folder):
     return duck(folder)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", [n for n in queries() if n in oracle_sql()])
 def test_query_equals_sql(spark, folder, con, name):
     rows = spark_rows(queries()[name](spark, folder))
     assert difference(rows, duck_rows(con, oracle_sql()[name])) == ""
@@ -25,4 +25,7 @@ def test_entry_runs(spark):
 
 
 def test_each_sql_has_a_query():
-    assert set(oracle_sql()) == set(queries())
+    """Queries without SQL are those of the training-data operators, tested on their own."""
+    assert set(oracle_sql()) <= set(queries())
+    bare = set(queries()) - set(oracle_sql())
+    assert all(n == "pipeline" or n.startswith("op") for n in bare)
