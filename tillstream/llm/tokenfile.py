@@ -209,6 +209,8 @@ def read(spark, folder: str) -> DataFrame:
     base = totals.select("file", F.coalesce(F.sum("_ids").over(earlier), F.lit(0)).alias("base"))
 
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A worker that encoded before still holds words that reading has no use for.
+        encoder.cache_clear()
         for batch in batches:
             for row in batch.to_pylist():
                 words = np.frombuffer(row["words"], "<u8")
