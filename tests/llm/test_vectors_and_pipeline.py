@@ -79,6 +79,44 @@ def test_recall_of_a_graph():
     assert np.mean([np.isin(a, b).mean() for a, b in zip(exact, ids)]) >= 0.9
 
 
+def test_audited_beam_finds_nearest_and_outside_links():
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(3000, 32)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    graph = hnsw.Graph(vectors)
+    beam = graph.audited_beam(0.95)
+    queries_ = vectors[rng.integers(0, 3000, 100)]
+    exact = hnsw._top(queries_ @ vectors.T, 10)
+    ids, _ = graph.search(queries_, beam)
+    assert np.mean([np.isin(a, b).mean() for a, b in zip(exact, ids)]) >= 0.9
+    outside = vectors[1::10] + rng.normal(size=(300, 32)).astype(np.float32) * 0.05
+    outside /= np.linalg.norm(outside, axis=1)[:, None]
+    wanted = outside @ vectors.T >= 0.95
+    found = np.zeros_like(wanted)
+    for rows, nodes in graph.within(outside, 0.95 - 1e-5, beam):
+        found[rows, nodes] = True
+    assert wanted.sum() > 100 and (found & wanted).sum() >= 0.99 * wanted.sum()
+
+
+def test_audit_does_not_count_a_node_as_its_own_link(monkeypatch):
+    """A search that finds nothing but the queried node below a beam of 96: all links are missed."""
+    rng = np.random.default_rng(10)
+    vectors = rng.normal(size=(2000, 32)).astype(np.float32)
+    vectors[1000] = vectors[0] + 0.05 * rng.normal(size=32)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    graph = hnsw.Graph(vectors)
+    whole = graph.within
+
+    def only_itself(queries_, least, beam):
+        for rows, nodes in whole(queries_, least, beam):
+            same = np.einsum("nd,nd->n", queries_[rows], vectors[nodes]) > 0.9999
+            keep = same if beam < 96 else np.ones(len(rows), bool)
+            yield rows[keep], nodes[keep]
+
+    monkeypatch.setattr(graph, "within", only_itself)
+    assert graph.audited_beam(0.95) >= 96
+
+
 @pytest.mark.parametrize("name", [n for n in oracle_sql() if n.startswith("op")])
 def test_queries_equal_their_sql(spark, folder, name):
     rows = spark_rows(queries()[name](spark, folder))

@@ -2,8 +2,9 @@
 
 Equal vectors are one node. Nodes are dealt to shards by hash; a task builds the graph of its shard and
 then takes all nodes as queries, in batches. Queries of a batch walk the graph together in numpy. A
-beam starts at a width at which the shard's audit passes: sampled nodes against brute force, the beam
-doubled until enough of the links are found. The beam of a query is doubled again for as long as all
+beam starts at a width at which the shard's audit passes: sampled nodes, and copies of them moved to the
+edge of a link as queries from outside the shard, against brute force, the beam doubled until enough of
+the links are found; a node is not its own link. The beam of a query is doubled again for as long as all
 it holds are links, so that large groups are found whole. Every link is verified by its
 cosine in double precision.
 
@@ -32,7 +33,7 @@ from tillstream.llm.components import components
 LEAST_COSINE = 0.95
 NEIGHBOURS = 12  # links of a node on upper levels; twice as many at the bottom
 BUILD_BEAM = 48
-FIRST_BEAM = 16
+FIRST_BEAM = 24
 AUDIT, AUDIT_RECALL = 256, 0.99
 # Most nodes of a shard; more nodes make more shards than the shuffle has partitions.
 SHARD = 200_000
@@ -195,21 +196,43 @@ class Graph:
         ids[:, 1:][(ids[:, 1:] == ids[:, :-1])] = -1
         links[nodes] = self._spread(nodes, ids, scores.astype(np.float32), links.shape[1])
 
-    def audited_beam(self, least: float) -> int:
-        """The beam at which sampled nodes find enough of the nodes within `least`, themselves among
-        these, by brute force."""
+    def _audit_queries(self, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Queries and, of each, the place of itself (-1: none): copies of sampled nodes moved to a
+        cosine just above `least`, as queries from outside the graph, and the sampled nodes."""
         n = len(self.vectors)
         picked = np.unique(np.linspace(0, n - 1, AUDIT).astype(int))
-        queries = self.vectors[picked]
-        wanted = queries @ self.vectors.T >= least
+        nodes = self.vectors[picked]
+        aside = np.random.default_rng(7).normal(size=nodes.shape)
+        aside -= np.einsum("nd,nd->n", aside, nodes)[:, None] * nodes
+        aside /= np.maximum(np.linalg.norm(aside, axis=1), 1e-12)[:, None]
+        cosine = least + 0.1 * (1 - least)
+        moved = cosine * nodes + np.sqrt(1 - cosine**2) * aside
+        moved /= np.linalg.norm(moved, axis=1)[:, None]
+        yield moved.astype(np.float32), np.full(len(picked), -1)
+        yield nodes, picked
+
+    def audited_beam(self, least: float) -> int:
+        """The beam at which the links of queries from outside and of sampled nodes are found, by brute
+        force: enough of all links, and of each query's on average. No node counts as its own link."""
+        n = len(self.vectors)
         beam = FIRST_BEAM
-        while beam < n:
-            found = np.zeros_like(wanted)
-            for rows, nodes in self.within(queries, least, beam):
-                found[rows, nodes] = True
-            if (found & wanted).sum() >= AUDIT_RECALL * wanted.sum():
-                break
-            beam *= 2
+        for queries, own in self._audit_queries(least):
+            wanted = np.zeros((len(queries), n), bool)
+            for a in range(0, len(queries), 32):
+                wanted[a : a + 32] = queries[a : a + 32] @ self.vectors.T >= least
+            itself = np.flatnonzero(own >= 0)
+            wanted[itself, own[itself]] = False
+            links = wanted.sum(axis=1)
+            some = links > 0
+            while beam < n and some.any():
+                found = np.zeros_like(wanted)
+                for rows, nodes in self.within(queries, least - 1e-5, beam):
+                    found[rows, nodes] = True
+                hits = (found & wanted).sum(axis=1)
+                each = (hits[some] / links[some]).mean()
+                if min(hits.sum() / links.sum(), each) >= AUDIT_RECALL:
+                    break
+                beam *= 2
         return min(beam, n)
 
     def within(self, queries: np.ndarray, least: float, beam: int):
