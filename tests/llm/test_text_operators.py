@@ -133,6 +133,39 @@ def test_near_copies_of_odd_documents(odd_docs, no_docs):
     assert ngram_join.jaccard_components(no_docs).count() == 0
 
 
+def _words(first: int, last: int) -> str:
+    return " ".join(f"w{k}" for k in range(first, last))
+
+
+def test_near_copies_without_an_id(spark):
+    """The smallest near copies, which would be pivots, have no id; nothing is linked through them."""
+    texts = [(None, _words(0, 60)), (7, _words(0, 61)), (5, _words(0, 62)), (3, _words(500, 560))]
+    # These two are alike only through the text without an id between them.
+    texts += [(None, _words(1000, 1060)), (8, _words(1000, 1070)), (9, _words(990, 1060))]
+    texts += [(None, _words(200, 240)), (None, _words(200, 241))]
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    got = ngram_join.jaccard_components(docs).collect()
+    named = {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None}
+    assert named == brute_components(texts) and named[8][1] != named[9][1]
+    assert sorted((r.n_shingles, r.component_id) for r in got if r.doc_id is None) == [
+        (36, None), (37, None), (56, None), (56, None)
+    ]
+
+
+def test_one_id_on_two_texts(spark):
+    """Only the second text of id 2 is a near copy of id 1; the first shares a good part with it."""
+    other = f"{_words(0, 50)} {_words(100, 110)}"
+    texts = [(2, other), (2, _words(0, 61)), (1, _words(0, 60))]
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    got = multiset(ngram_join.jaccard_components(docs).collect())
+    by_row = brute_components(list(enumerate(t for _, t in texts)))
+    ids = [i for i, _ in texts]
+    least: dict = {}
+    for k, (_, root) in by_row.items():
+        least[root] = min(least.get(root, ids[k]), ids[k])
+    assert got == multiset((ids[k], size, least[root]) for k, (size, root) in by_row.items())
+
+
 def test_components_of_a_path(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 200), (200, 100), (7, 7)]
     rng = random.Random(2)

@@ -19,8 +19,9 @@ in `COUNTERS` counters by hash. A task counts what it reads and passes its count
 
 N-grams are 64-bit hashes, and so is the identity of a row. Defined results: texts that are null or
 without a word have the empty set and no links; with fewer words than n the whole sequence is the only
-member; documents with a null id are in no component (null); repeated rows are copies; an empty table
-gives no rows; other columns are left out.
+member; documents with a null id are in no component (null) and link no others; repeated rows are copies;
+different texts under one id are compared each on its own; an empty table gives no rows; other columns are
+left out.
 """
 
 from __future__ import annotations
@@ -196,7 +197,9 @@ def _blocks(docs: DataFrame, text: str, n: int, counts: np.ndarray) -> DataFrame
                 ["block", "entries"],
             )
 
-    return _source(docs, text).mapInArrow(made, "block long, entries binary")
+    # Documents without an id are in no component, so nothing is compared with them.
+    named = _source(docs, text).filter("doc_id is not null")
+    return named.mapInArrow(made, "block long, entries binary")
 
 
 def _columns(blocks: DataFrame) -> DataFrame:
@@ -343,7 +346,8 @@ def _cross_pairs(columns: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFrame:
-    """(doc_id, members) of the documents in `wanted` (and a few more): whole sets, packed."""
+    """(doc_id, row, members) of the documents in `wanted` (and a few more): whole sets, packed, with
+    their identity, as one id may stand on several texts."""
     spark = docs.sparkSession
     bits = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
     # The filter has a fixed size: at most FILTER_BITS / 32 words come to the driver, as one array.
@@ -356,7 +360,7 @@ def _sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFrame:
     table = np.zeros(FILTER_BITS // 32, np.uint32)
     table[words.column("word").to_numpy()] = words.column("flags").to_numpy().astype(np.uint32)
     shared = spark.sparkContext.broadcast(table)
-    source = _source(docs, text).withColumn("_bit", bits)
+    source = _source(docs, text).filter("doc_id is not null").withColumn("_bit", bits)
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -364,12 +368,14 @@ def _sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFrame:
             bit = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1))
             for part in pieces([batch], "_text", 2 << 20):
-                sets = [ngram_set(t, n).tobytes() for t in part.column(1).to_pylist()]
+                sets = [ngram_set(t, n) for t in part.column(1).to_pylist()]
+                rows = pa.array([_identity(s) for s in sets], pa.int64())
+                data = pa.array([s.tobytes() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sets, pa.binary())], ["doc_id", "members"]
+                    [part.column(0), rows, data], ["doc_id", "row", "members"]
                 )
 
-    return source.mapInArrow(made, "doc_id long, members binary")
+    return source.mapInArrow(made, "doc_id long, row long, members binary")
 
 
 def _verified(docs: DataFrame, text: str, n: int, pairs: DataFrame, owners: DataFrame) -> DataFrame:
@@ -381,7 +387,7 @@ def _verified(docs: DataFrame, text: str, n: int, pairs: DataFrame, owners: Data
     pairs = settled(pairs, "pairs")
     rows = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "row")
     wanted = settled(rows.join(owners, "row"), "wanted")
-    sets = _sets(docs, text, n, wanted.select("doc_id")).join(wanted, "doc_id")
+    sets = _sets(docs, text, n, wanted.select("doc_id")).join(wanted, ["doc_id", "row"])
     groups = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     groups = groups.withColumn("groups", F.ceil(F.col("n") / GROUP)).drop("n")
     dealt = pairs.join(groups, "a").select(
