@@ -75,6 +75,13 @@ def test_language_of_held_out_texts(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in langid.predict(odd_docs, None).collect()} == {"und"}
 
 
+def test_training_sample_has_a_window_once(spark):
+    rows = [(k, f"text of number {k} " * 3, "x") for k in range(40)] + [(k, "the same text", "x") for k in range(100, 400)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING")
+    parts = [r.part for r in langid.sample(docs, "text", "lang", 400, 1).collect()]
+    assert len(parts) == len(set(parts)) == 41
+
+
 def brute_components(texts: list[tuple]) -> dict:
     sets = {i: shingles(t) for i, t in texts if i is not None}
     parent = {i: i for i in sets}

@@ -163,13 +163,14 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample(labelled: DataFrame, text: str, label: str, windows: int, per_text: int) -> DataFrame:
-    """At most `windows` rows (label, window text) of each label, at hashed places of hashed texts."""
+    """At most `windows` different rows (label, window text) of each label, at hashed places of hashed
+    texts; a window of many copies of a text counts once."""
     own = F.col(text)
     length = F.length(own)
     spot = F.pmod(F.xxhash64(own, F.col("_part")), F.greatest(length - WINDOW // 2, F.lit(1)))
     cut = labelled.select(text, label, F.explode(F.sequence(F.lit(1), F.lit(per_text))).alias("_part"))
     part = F.substring(own, (spot + 1).cast("int"), F.lit(WINDOW))
-    chosen = cut.select(F.col(label).alias("label"), part.alias("part"))
+    chosen = cut.select(F.col(label).alias("label"), part.alias("part")).distinct()
     by = Window.partitionBy("label").orderBy(F.xxhash64("part", F.lit(7)), "part")
     return chosen.withColumn("_nth", F.row_number().over(by)).filter(F.col("_nth") <= windows).drop("_nth")
 
