@@ -19,6 +19,7 @@ from tillstream.llm import (
     suffix,
     tokencount,
     tokenfile,
+    vectorcodes,
 )
 from tillstream.llm.common import table
 from tillstream.session import workspace
@@ -122,6 +123,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors with whole-number components, and their errors."""
+    coded = vectorcodes.compress(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -135,6 +142,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_repeated_bytes,
         op10_token_counts,
+        op11_vector_codes,
     )
 }
 
