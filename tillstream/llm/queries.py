@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm import (
+    divergence,
     hnsw,
     imatch,
     langid,
@@ -129,6 +130,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, and the terms each uses in excess."""
+    return divergence.audit(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -143,6 +149,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_repeated_bytes,
         op10_token_counts,
         op11_vector_codes,
+        op12_source_divergence,
     )
 }
 
@@ -182,4 +189,4 @@ FROM docs LEFT JOIN kept USING (row)
 """
 
 
-SQL: dict[str, str] = {"op2_secret_scan": _secret_sql()}
+SQL: dict[str, str] = {"op2_secret_scan": _secret_sql(), "op12_source_divergence": divergence.SQL}
