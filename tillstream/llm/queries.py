@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillstream.llm import (
     divergence,
     hnsw,
+    htmltext,
     imatch,
     langid,
     mixing,
@@ -135,6 +136,12 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents", "text", "lang", "source"))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = htmltext.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -150,6 +157,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_token_counts,
         op11_vector_codes,
         op12_source_divergence,
+        op13_html_text,
     )
 }
 
