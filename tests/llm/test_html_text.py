@@ -116,8 +116,8 @@ def test_template_counts(spark):
             on[host, h].add(main)
     want = {(h, x, len(m) >= 0.2 * len(pages[h])) for (h, x), m in on.items() if len(m) >= 3}
     marked = frame.select(
-        "page_id", htmltext.host(frame.url).alias("host"), "html", frame.url.alias("key")
-    ).mapInArrow(htmltext._marked, "key string, host string, main long, hashes array<long>")
+        "page_id", htmltext.host(frame.url).alias("host"), "html", frame.url.cast("binary").alias("key")
+    ).mapInArrow(htmltext._marked, "key binary, host string, main long, hashes array<long>")
     got = {tuple(r) for r in htmltext.templates(marked, many=3).collect()}
     assert got == want and want
 

@@ -119,10 +119,12 @@ def containers(root: Node) -> list[Node]:
 
 
 def marks(root: Node) -> tuple[int, list[int]]:
-    """Hash of the page's main text, and of every block with text."""
+    """Hash of the page's main text, and of every element with text that can be a template: any block,
+    but with an article only boxes, as paragraphs there are never one."""
     inside = containers(root)
     main = inside[0].hash if len(inside) == 1 else root.hash
-    hashes = {n.hash for n in root.elements() if n.chars and (n.tag in BLOCK or "-" in n.tag)}
+    kinds = BOXES if inside else BLOCK
+    hashes = {n.hash for n in root.elements() if n.chars and (n.tag in kinds or "-" in n.tag)}
     return main, sorted(hashes)
 
 
@@ -235,10 +237,10 @@ def extract(
 ) -> DataFrame:
     """`page_id, url, text` of every page."""
     # Equal pages of one URL share a key, and what it brings.
-    key = F.md5(F.concat_ws("\n", F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))))
+    key = F.unhex(F.md5(F.concat_ws("\n", F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))))
     rows = pages.select("page_id", "url", "html", key.alias("key"), host(F.col("url")).alias("host"))
     named = rows.filter(F.col("host").isNotNull() & (F.length("html") > 0))
-    schema = "key string, host string, main long, hashes array<long>"
+    schema = "key binary, host string, main long, hashes array<long>"
     marked = settled(named.select("key", "host", "html").mapInArrow(_marked, schema), "marks")
     found = settled(templates(marked, many=many, everywhere=everywhere), "templates")
     own = marked.select("key", "host", F.explode("hashes").alias("hash")).join(found, ["host", "hash"])
