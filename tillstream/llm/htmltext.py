@@ -29,9 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import ARROW, pieces, settled
+from tillstream.llm.common import pieces, settled
 from tillstream.llm.htmltree import BLOCK, HEADINGS, Node, parse
-from tillstream.session import conf_override
 
 # A subtree recurs from so many pages on; it is everywhere from that share of the host's pages on.
 MANY_PAGES, EVERYWHERE = 5, 0.2
@@ -255,5 +254,4 @@ def extract(
     kind = rows.schema
     out = f"page_id {kind['page_id'].dataType.simpleString()}, url string, text string"
     joined = rows.join(lists, "key", "left").select("page_id", "url", "html", "recurring", "everywhere")
-    with conf_override(pages.sparkSession, ARROW):
-        return settled(joined.mapInArrow(_read, out), "texts")
+    return joined.mapInArrow(_read, out)
