@@ -14,7 +14,7 @@ from tillstream.session import build_session  # noqa: E402
 
 
 def main(folder: str, names: list[str]) -> int:
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(folder), oracle_sql(), 0
     for name, fn in queries().items():

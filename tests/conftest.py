@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
     return session
 

@@ -7,9 +7,13 @@ from datetime import datetime, timedelta
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tillstream.functions.jsontext import good_rows, parse_typed
+from tillstream.plans import streams
 from tillstream.plans.streams import Replay
-from tillstream.sinks import files
-from tillstream.streaming import jobs, run
+from tillstream.schemas import ORDER_DONE
+from tillstream.sinks import files, results
+from tillstream.sources import records, topics
+from tillstream.streaming import changes, jobs, run
 
 from .conftest import rows_of
 
@@ -81,20 +85,125 @@ def test_line_sent_twice_and_partners_in_different_batches(spark):
     assert pairs == [(1, 11), (1, 13), (2, 21)]
 
 
-def test_allocation_waits_for_the_whole_order(spark):
+PAIRS = (
+    "order_id BIGINT, create_time TIMESTAMP, order_detail_id BIGINT, line_cents BIGINT,"
+    " original_total_cents BIGINT, final_total_cents BIGINT, tm_id BIGINT, tm_name STRING"
+)
+
+
+def _pair(order, i, cents, original, final, when=DAY):
+    return (order, when, i, cents, original, final, i % 2, f"b{i % 2}")
+
+
+def _allocate(spark, replay, rows, late="4 days"):
+    """Land pairs, run both allocating queries, give the newest rows of the topic and the late rows."""
+    kind = _land(spark, replay, "P", PAIRS, rows)
+    stream = replay.stream("P", kind)
+    first = replay.drain(changes.order_done(stream, "D", replay.root, late), "done")
+    both = changes.wide_changes(stream, replay.stream("D", ORDER_DONE), late)
+    second = replay.drain(changes.send_changes(both, "W", root=replay.root), "wide")
+    schema = changes.change_schema(kind)
+    now = changes.read_changes(spark, "W", replay.root, schema).select(
+        "order_id", "order_detail_id", "final_detail_cents", "status"
+    )
+    return rows_of(now), schema, run.late_rows(spark, first) + run.late_rows(spark, second)
+
+
+def test_allocation_is_given_at_once_and_again_when_the_order_is_complete(spark):
     replay = Replay(spark, "split")
-    schema = ("order_id BIGINT, create_time TIMESTAMP, order_detail_id BIGINT, line_cents BIGINT,"
-              " original_total_cents BIGINT, final_total_cents BIGINT")
-    line = lambda i: (1, DAY, i, 4000, 12000, 10000)
-    path = replay.path("progress")
-    got = []
-    for lines in ([line(1), (2, DAY, 9, 500, 500, 450)], [line(2)], [line(3)]):
-        kind = _land(spark, replay, "W", schema, lines)
-        replay.drain(jobs.order_progress(replay.stream("W", kind), path))
-        view = jobs.allocated_view(replay.stored("W", kind), spark.read.parquet(path))
-        got.append(rows_of(view.select("order_id", "order_detail_id", "final_detail_cents")))
-    assert got[0] == got[1] == [(2, 9, 450)]
-    assert got[2] == [(1, 1, 3333), (1, 2, 3333), (1, 3, 3334), (2, 9, 450)]
+    got = [
+        _allocate(spark, replay, rows)[0]
+        for rows in (
+            [_pair(1, 1, 4000, 12000, 10000), _pair(2, 9, 500, 500, 450)],
+            [_pair(1, 2, 4000, 12000, 10000)],
+            [_pair(1, 3, 4000, 12000, 10000)],
+            # A line of nothing that comes after all others takes nothing.
+            [_pair(1, 4, 0, 12000, 10000)],
+        )
+    ]
+    whole = (2, 9, 450, "complete")
+    assert got[0] == [(1, 1, 3333, "open"), whole]
+    assert got[1] == [(1, 1, 3333, "open"), (1, 2, 3333, "open"), whole]
+    three = [(1, 1, 3333, "complete"), (1, 2, 3333, "complete"), (1, 3, 3334, "complete")]
+    assert got[2] == [*three, whole]
+    assert got[3] == [*three, (1, 4, 0, "complete"), whole]
+
+
+def test_changes_add_up_and_a_hot_order_is_split(spark):
+    """A third of all lines are of one order, which comes in two parts."""
+    replay = Replay(spark, "hot")
+    hot = [_pair(7, i, 100 + i, sum(100 + k for k in range(90)), 5003) for i in range(90)]
+    rest = [_pair(100 + k // 3, 1000 + k, 10, 30, 29) for k in range(180)]
+    _allocate(spark, replay, hot[::2] + rest[:90])
+    now, schema, late = _allocate(spark, replay, hot[1::2] + rest[90:])
+    paid: dict = {}
+    for order, _, cents, status in now:
+        assert status == "complete"
+        paid[order] = paid.get(order, 0) + cents
+    assert paid == {7: 5003, **{100 + k: 29 for k in range(60)}} and late == 0 and len(now) == 270
+    # Without looking back: the deltas of all messages give the same.
+    rows = good_rows(parse_typed(spark.read.parquet(replay.path("W")), schema))
+    sums = rows.groupBy("order_id").agg(F.sum("delta_cents")).collect()
+    assert {tuple(r) for r in sums} == set(paid.items())
+    # The join deals lines of the hot order by salt as well.
+    salted = rows.filter("order_id = 7").select(F.pmod("order_detail_id", F.lit(jobs.JOIN_SALTS)))
+    assert salted.distinct().count() == jobs.JOIN_SALTS
+
+
+def test_lines_after_the_watermark_are_counted(spark):
+    replay = Replay(spark, "late-lines")
+    _allocate(spark, replay, [_pair(1, 1, 50, 100, 90)], late="1 hour")
+    _allocate(spark, replay, [_pair(2, 2, 70, 70, 70, DAY + timedelta(days=2))], late="1 hour")
+    _allocate(spark, replay, [_pair(4, 5, 70, 70, 70, DAY + timedelta(days=2))], late="1 hour")
+    now, _, late = _allocate(spark, replay, [_pair(1, 3, 50, 100, 90)], late="1 hour")
+    # The order stays open, its late line has its share, and both queries counted it.
+    assert [r for r in now if r[0] == 1] == [(1, 1, 45, "open"), (1, 3, 45, "open")] and late >= 1
+
+
+def _sums(spark, replay, checkpoint, schema):
+    messages = topics.read_topic(spark, "W", root=replay.root, positions=True)
+    rows = good_rows(parse_typed(messages, schema, keep=["timestamp", "part", "pos"]))
+    replay.drain(jobs.trademark_sums(rows, replay.path("stat")), checkpoint)
+    return rows_of(results.read_results(spark, replay.path("stat")).select("tm_name", "amount_cents", "stat_time"))
+
+
+def test_results_outlive_the_checkpoint(spark):
+    """150 messages are summed up, the checkpoint is lost, 10 more come: nothing is lost or repeated."""
+    replay = Replay(spark, "manifest")
+    first, schema, _ = _allocate(spark, replay, [_pair(k, k, 10, 10, 9) for k in range(75)])
+    before = _sums(spark, replay, "one", schema)
+    assert sum(r[1] for r in before) == 75 * 9
+    _allocate(spark, replay, [_pair(k, k, 10, 10, 9) for k in range(100, 105)])
+    after = _sums(spark, replay, "two", schema)
+    assert sum(r[1] for r in after) == 80 * 9
+    # What was there before is untouched, times and all.
+    assert set(before) <= set(after)
+    assert _sums(spark, replay, "three", schema) == after
+    covered = results.manifest(spark, replay.path("stat")).agg(F.sum("n")).first()[0]
+    assert covered == spark.read.parquet(replay.path("W")).count()
+
+
+def test_batch_that_failed_before_its_manifest_is_written_again(spark):
+    replay = Replay(spark, "torn")
+    _, schema, _ = _allocate(spark, replay, [_pair(k, k, 10, 10, 9) for k in range(20)])
+    # A commit that left rows but no manifest does not count, and makes room for the next.
+    torn = spark.createDataFrame([(1, "b1", 999)], "tm_id BIGINT, tm_name STRING, amount_cents BIGINT")
+    torn.withColumn("stat_time", F.current_timestamp()).write.parquet(replay.path("stat/rows/commit=1"))
+    assert results.manifest(spark, replay.path("stat")).count() == 0
+    once = _sums(spark, replay, "sums", schema)
+    assert sum(r[1] for r in once) == 20 * 9
+    # The batch committed, but the query died before it knew: the same messages come again.
+    assert _sums(spark, replay, "sums-again", schema) == once
+
+
+def test_layers_restart_alone(spark, folder):
+    """In the registered run the wide join ends in the middle; its rows equal the batch's afterwards."""
+    flow = streams._layers(spark, folder)
+    wide = flow.wide()
+    assert wide.filter("status <> 'complete'").count() == 0
+    lines = records.order_lines(spark, folder).dropDuplicates(["order_id", "order_detail_id"])
+    orders = records.orders(spark, folder)
+    assert wide.count() == lines.join(orders, "order_id").count()
 
 
 def test_rocksdb_state_gives_the_same(spark):
@@ -106,15 +215,24 @@ def test_rocksdb_state_gives_the_same(spark):
     assert rows_of(jobs.daily_first(spark, replay.path("dau")).select("mid", "hr")) == [("a", "12"), ("b", "12")]
 
 
-def test_first_order_survives_a_restart(spark):
+def test_first_order_survives_a_restart_and_a_lost_checkpoint(spark):
     replay = Replay(spark, "first")
     schema = "order_id BIGINT, user_id BIGINT, create_time TIMESTAMP"
+    got: list = []
+
+    def go(checkpoint):
+        stream = replay.stream("O", kind)
+        flags = lambda b, i: got.extend(jobs.flag_batch(b, replay.path("state")).select("order_id", "if_first_order").collect())
+        replay.drain(jobs.per_batch(stream, flags, "append"), checkpoint)
+
     for rows in ([(1, 5, DAY), (2, 5, DAY - timedelta(hours=1))], [(3, 5, DAY + timedelta(days=9)), (4, 6, DAY)]):
         kind = _land(spark, replay, "O", schema, rows)
-        replay.drain(jobs.first_orders(replay.stream("O", kind), replay.path("state")))
-    firsts = files.upserted(spark, replay.path("state"), ["user_id"])
-    flags = jobs.flag_orders(replay.stored("O", kind), firsts)
-    assert rows_of(flags.select("order_id", "if_first_order")) == [(1, "0"), (2, "1"), (3, "0"), (4, "1")]
+        go("one")
+    want = [(1, "0"), (2, "1"), (3, "0"), (4, "1")]
+    assert sorted(tuple(r) for r in got) == want
+    got.clear()
+    go("two")  # all orders in one batch of a new query: the log knows them
+    assert sorted(tuple(r) for r in got) == want
 
 
 def test_batch_that_failed_after_its_write_is_not_counted_twice(spark):

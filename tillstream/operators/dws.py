@@ -33,6 +33,13 @@ def allocated_share() -> Column:
     )
 
 
+def last_paid_line() -> Column:
+    """Aggregate: the line that takes the remainder, the last by id of those that cost anything."""
+    return F.coalesce(
+        F.max(F.when(F.col("line_cents") > 0, F.col("order_detail_id"))), F.max("order_detail_id")
+    )
+
+
 def unique_lines(lines: DataFrame) -> DataFrame:
     """Order lines once each: a resent line has the id and the fields of the first."""
     return first_per_key(lines, LINE_KEY, [F.col("order_detail_id")], spread=True)
@@ -41,14 +48,14 @@ def unique_lines(lines: DataFrame) -> DataFrame:
 def allocate(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Wide rows with `final_detail_cents`: what each line paid, exact to the cent per order.
 
-    The last line by id takes the remainder. Lines must be unique by id (see `unique_lines`), and the
+    The last line by id takes the remainder (see `last_paid_line`). Lines must be unique by id (see `unique_lines`), and the
     totals of `orders` must be sums over them. One way for all orders: shares are summed per order
     before the shuffle, and the sums are joined back by order id, so no order is gathered in one
     task and a skewed one is split at run time.
     """
     shares = join_wide(orders, lines).withColumn("_share", allocated_share())
     ends = shares.groupBy("order_id").agg(
-        F.max("order_detail_id").alias("_last_id"), F.sum("_share").alias("_share_sum")
+        last_paid_line().alias("_last_id"), F.sum("_share").alias("_share_sum")
     )
     rest = F.col("final_total_cents") - F.col("_share_sum")
     extra = F.when(F.col("order_detail_id") == F.col("_last_id"), rest).otherwise(F.lit(0))

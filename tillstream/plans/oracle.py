@@ -332,6 +332,7 @@ for _stream, _batch in {
 
 # The store gives back every column of the wide table.
 SQL["order_wide_store"] = SQL["order_wide_join"]
+SQL["stream_layers_wide"] = SQL["order_wide_join"]
 
 SQL["stream_corrupt_side"] = _sql(EVENTS, body="""
     SELECT 'stored' AS kind, CAST(ts_ms AS VARCHAR) AS value FROM ev WHERE event_id % 50 <> 0

@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.jsontext import good_rows, json_of, parse_typed
 from ..functions.times import time_text
-from ..operators import ads, dims, dws
-from ..schemas import APP_LOG
+from ..operators import dims, dws
+from ..schemas import APP_LOG, ORDER_DONE
 from ..session import workspace
 from ..sinks import files
+from ..sinks.results import read_results
 from ..sources import records, topics
-from ..streaming import jobs, run
+from ..streaming import changes, jobs, layers, run
 from . import batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,10 +70,10 @@ class Replay:
         return good_rows(parse_typed(messages, schema)) if schema else messages
 
     def stored(self, topic: str, schema: T.StructType) -> DataFrame:
-        return good_rows(parse_typed(self.spark.read.parquet(self.path(topic)), schema))
+        return good_rows(parse_typed(self.spark.read.option("recursiveFileLookup", "true").parquet(self.path(topic)), schema))
 
-    def drain(self, writer, name: str = "job"):
-        ended = run.drain(self.spark, writer, self.path(f"checkpoint-{name}"))
+    def drain(self, writer, name: str = "job", **options):
+        ended = run.drain(self.spark, writer, self.path(f"checkpoint-{name}"), **options)
         BATCH_SECONDS.setdefault(self.label, []).extend(run.batch_seconds(ended))
         return ended
 
@@ -184,15 +185,19 @@ def _order_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_order_first_flag(spark: SparkSession, d: str) -> DataFrame:
+    """Orders flagged on their way into the DWD topic, against the users kept so far."""
     replay = Replay(spark, "first-order")
     rows = _order_rows(spark, d)
     replay.land(rows, "create_time", "ODS_ORDER_INFO", 3)
-    stream = replay.stream("ODS_ORDER_INFO", rows.schema)
-    replay.drain(jobs.first_orders(stream, replay.path("user-state")))
-    firsts = files.upserted(spark, replay.path("user-state"), ["user_id"])
-    return jobs.flag_orders(replay.stored("ODS_ORDER_INFO", rows.schema), firsts).select(
-        "order_id", "user_id", "if_first_order"
+    writer = jobs.order_facts(
+        replay.stream("ODS_ORDER_INFO", rows.schema),
+        lambda: dims.with_user_labels(records.users(spark, d), batch.AS_OF),
+        lambda: records.provinces(spark, d),
+        replay.path("user-state"), "DWD_ORDER_INFO", replay.root,
     )
+    replay.drain(writer)
+    return replay.stored("DWD_ORDER_INFO", T.StructType.fromDDL(
+        "order_id BIGINT, user_id BIGINT, if_first_order STRING"))
 
 
 @query
@@ -282,75 +287,135 @@ def stream_order_full_outer(spark: SparkSession, d: str) -> DataFrame:
     return jobs.unmatched(spark.read.parquet(replay.path("pairs")))
 
 
-@query
-def stream_order_split(spark: SparkSession, d: str) -> DataFrame:
-    """Lines arriving up to three days after their order, allocated when the order is complete."""
-    replay = Replay(spark, "split")
+def _allocation(spark: SparkSession, d: str, label: str) -> tuple[Replay, T.StructType]:
+    """Lines arriving up to three days after their order, in four slices, and the topic of changes that
+    the two allocating queries make of them slice by slice."""
+    replay = Replay(spark, label)
     lines = records.order_lines(spark, d)
-    pairs = dws.join_wide(records.orders_with_amounts(records.orders(spark, d), lines), lines)
-    wide = _line_times(pairs, 3 * 86400).select(
-        "order_id", "create_time", "order_detail_id", "line_time", "line_cents",
+    named = dims.add_sku(
+        dws.join_wide(records.orders_with_amounts(records.orders(spark, d), lines), lines),
+        batch.enriched_skus(spark, d),
+    )
+    pairs = _line_times(named, 3 * 86400).select(
+        "order_id", "create_time", "order_detail_id", "line_time", "line_cents", "tm_id", "tm_name",
         "original_total_cents", "final_total_cents",
     )
-    replay.land(wide, "line_time", "DWS_ORDER_PAIR", 4)
-    stream = replay.stream("DWS_ORDER_PAIR", wide.schema)
-    replay.drain(jobs.order_progress(stream, replay.path("progress"), late="4 days"))
-    stored = replay.stored("DWS_ORDER_PAIR", wide.schema)
-    progress = spark.read.parquet(replay.path("progress"))
-    return jobs.allocated_view(stored, progress).select(
+    for part in replay.stage(pairs, "line_time", "DWS_ORDER_PAIR", 4):
+        replay.append(part, "DWS_ORDER_PAIR")
+        stream = replay.stream("DWS_ORDER_PAIR", pairs.schema)
+        done = changes.order_done(stream, "DWS_ORDER_DONE", replay.root, late="4 days")
+        replay.drain(done, "done", empty_batches=False)
+        both = changes.wide_changes(stream, replay.stream("DWS_ORDER_DONE", ORDER_DONE), late="4 days")
+        sent = changes.send_changes(both, "DWS_ORDER_WIDE", root=replay.root)
+        replay.drain(sent, "wide", empty_batches=False)
+    return replay, changes.change_schema(pairs.schema)
+
+
+@query
+def stream_order_split(spark: SparkSession, d: str) -> DataFrame:
+    """What each line paid, from the newest message of each line on the topic of wide rows."""
+    replay, schema = _allocation(spark, d, "split")
+    return changes.read_changes(spark, "DWS_ORDER_WIDE", replay.root, schema).select(
         "order_id", "order_detail_id", "line_cents", "final_detail_cents"
     )
 
 
 @query
 def stream_trademark_sink(spark: SparkSession, d: str) -> DataFrame:
-    """Brand sums written batch by batch, added up over the batches."""
-    replay = Replay(spark, "trademark")
-    named = batch.allocated_lines(spark, d).join(
-        records.skus(spark, d).select("sku_id", "tm_id"), "sku_id", "left"
-    ).join(records.trademarks(spark, d), "tm_id", "left")
-    rows = named.select("create_time", "tm_id", "tm_name", "final_detail_cents")
-    replay.land(rows, "create_time", "DWS_ORDER_WIDE", 3)
-    stream = replay.stream("DWS_ORDER_WIDE", rows.schema)
-    replay.drain(jobs.trademark_sums(stream, replay.path("stat")))
-    stat = spark.read.parquet(replay.path("stat"))
+    """Brand sums from the topic of wide rows, in a result table. The query starts a second time
+    without its checkpoint, from the first message on: nothing is lost or repeated."""
+    replay, schema = _allocation(spark, d, "trademark")
+    for checkpoint in ("sums", "sums-anew"):
+        messages = topics.read_topic(
+            spark, "DWS_ORDER_WIDE", root=replay.root, per_trigger=replay.files, positions=True
+        )
+        rows = good_rows(parse_typed(messages, schema, keep=["timestamp", "part", "pos"]))
+        replay.drain(jobs.trademark_sums(rows, replay.path("stat")), checkpoint)
+    stat = read_results(spark, replay.path("stat"))
     return stat.groupBy("tm_id", "tm_name").agg(F.sum("amount_cents").alias("amount_cents"))
 
 
-@query
-def stream_layers(spark: SparkSession, d: str) -> DataFrame:
-    """All layers one after another, each a query of its own: change topic → ODS topics → wide
-    pairs → allocation → brand sums."""
-    replay = Replay(spark, "layers")
-    rows = records.orders_with_amounts(records.orders(spark, d), records.order_lines(spark, d))
+def _priced_orders(spark: SparkSession, d: str) -> DataFrame:
+    """All orders with their amounts, also those that no line belongs to: they are of nothing."""
+    rows, lines = records.orders(spark, d), records.order_lines(spark, d)
+    priced = records.orders_with_amounts(rows, lines).drop(*[c for c in rows.columns if c != "order_id"])
+    cents = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in priced.columns[1:]]
+    return rows.join(priced, "order_id", "left").select(*rows.columns, *cents)
+
+
+def run_layers(spark: SparkSession, d: str, label: str, slices: int = 3) -> layers.Layers:
+    """All layers started together on a change topic that grows; the wide join ends in the middle and
+    starts again alone. Raises if the watermark dropped anything."""
+    replay = Replay(spark, label)
+    rows = _priced_orders(spark, d)
     lines = _lines_with_time(spark, d, rows)
 
-    def changes(table: str, data: DataFrame, time: str) -> DataFrame:
+    def messages(table: str, data: DataFrame, time: str) -> DataFrame:
         body = json_of(F.lit(table).alias("table"), F.lit("insert").alias("type"), F.struct(*data.columns).alias("data"))
         return data.select(body.alias("value"), F.col(time).alias("at_time"))
 
-    both = changes("order_info", rows, "create_time").unionByName(
-        changes("order_detail", lines, "line_time"))
-    replay.land(both, "at_time", "DB_CHANGES", 3)
+    both = messages("order_info", rows, "create_time").unionByName(
+        messages("order_detail", lines, "line_time"))
+    parts = replay.stage(both, "at_time", "DB_CHANGES", slices)
+    flow = layers.Layers(
+        spark, replay.root, rows.schema, lines.schema,
+        users=lambda: dims.with_user_labels(records.users(spark, d), batch.AS_OF),
+        provinces=lambda: records.provinces(spark, d),
+        skus=lambda: batch.enriched_skus(spark, d),
+        state_partitions=max(1, replay.files // 2),
+    )
+    flow.prepare()
+    replay.append(parts[0], "DB_CHANGES")
+    queries = flow.start_all()
+    ended: list = []
+
+    def again(name: str) -> None:
+        ended.append(queries[name])
+        queries[name].stop()
+
+    try:
+        for number, part in enumerate(parts[1:], 1):
+            # The reader of the change topic is away while a slice lands, so it sees it whole.
+            queries["ods"].processAllAvailable()
+            again("ods")
+            if number == slices // 2:
+                again("dws_pairs")
+            replay.append(part, "DB_CHANGES")
+            queries["ods"] = flow.start("ods")
+            if number == slices // 2:
+                queries["dws_pairs"] = flow.start("dws_pairs")
+        layers.rest(queries)
+    finally:
+        layers.stop(queries)
+    seconds = [s for q in (*queries.values(), *ended) for s in run.batch_seconds(q)]
+    BATCH_SECONDS.setdefault(label, []).extend(seconds)
+    late = sum(run.late_rows(spark, q) for q in (*queries.values(), *ended))
+    if late:
+        raise RuntimeError(f"{late} rows came after the watermark")
+    return flow
+
+
+# The run of the layers in a session, which two queries look at from different ends.
+_RUNS: dict[tuple[str, str], layers.Layers] = {}
+
+
+def _layers(spark: SparkSession, d: str) -> layers.Layers:
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _RUNS:
+        _RUNS[key] = run_layers(spark, d, "layers")
+    return _RUNS[key]
 
-    ods_path, pairs_path = replay.path("ods"), replay.path("pairs")
-    replay.drain(jobs.route_changes(replay.stream("DB_CHANGES"), ods_path), "ods")
 
-    def ods_topic(topic: str, schema: T.StructType) -> DataFrame:
-        reader = spark.readStream.schema("key STRING, value STRING, topic STRING")
-        # Each micro-batch before wrote as many files per topic, so the two topics stay in step.
-        routed = reader.option("maxFilesPerTrigger", replay.files * 2).parquet(ods_path)
-        return good_rows(parse_typed(routed.filter(F.col("topic") == topic), schema))
+@query
+def stream_layers(spark: SparkSession, d: str) -> DataFrame:
+    """Brand sums at the end of all layers."""
+    flow = _layers(spark, d)
+    stat = read_results(spark, f"{flow.root}/ADS_TRADEMARK")
+    return stat.groupBy("tm_id", "tm_name").agg(F.sum("amount_cents").alias("amount_cents"))
 
-    joined = jobs.join_orders(
-        ods_topic("ODS_ORDER_INFO", rows.schema), ods_topic("ODS_ORDER_DETAIL", lines.schema))
-    replay.drain(jobs.store_wide(joined, pairs_path), "wide")
-
-    pairs = jobs.wide_view(spark, pairs_path)
-    stored = spark.readStream.schema(pairs.schema).parquet(pairs_path)
-    replay.drain(jobs.order_progress(stored, replay.path("progress")), "progress")
-    allocated = jobs.allocated_view(pairs, spark.read.parquet(replay.path("progress")))
-    sums = ads.amounts_by_sku_attribute(
-        ads.amounts_by_sku(allocated), records.skus(spark, d), "tm_id")
-    return sums.join(records.trademarks(spark, d), "tm_id", "left").select(
-        "tm_id", "tm_name", "amount_cents")
+
+@query
+def stream_layers_wide(spark: SparkSession, d: str) -> DataFrame:
+    """The whole wide table as the layers leave it on the topic of wide rows."""
+    wide = dws.order_wide(_layers(spark, d).wide())
+    return wide.withColumn("create_time", time_text(F.col("create_time")))

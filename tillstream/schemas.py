@@ -36,6 +36,8 @@ SPU = _texts("id spu_name")
 TRADEMARK = _texts("tm_id tm_name")
 CATEGORY3 = _texts("id name category2_id")
 USER_STATE = _texts("user_id if_consumed")
+# Orders of which all lines have come.
+ORDER_DONE = _struct(order_id=_LONG, create_time=T.TimestampType(), share_sum=_LONG, last_id=_LONG)
 
 # Column order of the wide table.
 ORDER_WIDE_COLUMNS = [

@@ -81,6 +81,27 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where, system = _file_system(spark, path)
+    return system.exists(where)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it isn't there."""
+    where, system = _file_system(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(where)] if system.exists(where) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    where, system = _file_system(spark, path)
+    system.mkdirs(where)
+
+
 def workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"

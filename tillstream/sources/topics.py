@@ -1,11 +1,12 @@
 """Message topics: Kafka in deployment, folders of parquet messages elsewhere.
 
-Both give the same columns, `key STRING, value STRING, timestamp TIMESTAMP`.
+Both give the same columns, `key STRING, value STRING, timestamp TIMESTAMP`, and where asked for the
+place of each message: `part STRING` (partition or file) and `pos BIGINT` in it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,6 +24,7 @@ def read_topic(
     group: str | None = None,
     per_trigger: int | None = None,
     starting: str = "latest",
+    positions: bool = False,
 ) -> DataFrame:
     """Stream of one or several topics.
 
@@ -40,15 +42,23 @@ def read_topic(
             reader = reader.option("kafka.group.id", group)
         if per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(per_trigger))
+        place = [
+            F.concat_ws("-", "topic", "partition").alias("part"), F.col("offset").alias("pos")
+        ]
         return reader.load().select(
-            F.col("key").cast("string"), F.col("value").cast("string"), "timestamp"
+            F.col("key").cast("string"), F.col("value").cast("string"), "timestamp",
+            *(place if positions else []),
         )
     if root is None:
         raise ValueError("give either Kafka servers or the root folder of the topics")
-    reader = spark.readStream.schema(MESSAGE)
+    # A topic that a batch writer fills has a folder for each batch.
+    reader = spark.readStream.schema(MESSAGE).option("recursiveFileLookup", "true")
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(per_trigger))
     streams = [reader.parquet(f"{root}/{name}") for name in names]
+    if positions:
+        place = [F.col("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("pos")]
+        streams = [stream.select("*", *place) for stream in streams]
     return reduce(DataFrame.unionByName, streams)
 
 
@@ -74,6 +84,30 @@ def append_messages(
     rows.write.mode("append").parquet(f"{root}/{topic}")
 
 
+def topic_batches(topic: str, root: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer of a topic folder: `key, value` rows, a replayed batch replacing itself.
+
+    A reader that saw the batch before its replay sees it twice, as with any at-least-once topic.
+    """
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        rows = messages.select("key", "value", F.current_timestamp().alias("timestamp"))
+        rows.write.mode("overwrite").parquet(f"{root}/{topic}/batch_id={batch_id}")
+
+    return write
+
+
+def topic_sink(
+    messages: DataFrame, topic: str, *, root: str | None = None, servers: str | None = None
+) -> DataStreamWriter:
+    """Append-only stream of `key, value` to a topic; exactly once into a folder."""
+    if servers:
+        return kafka_sink(messages, servers, topic)
+    rows = messages.select("key", "value", F.current_timestamp().alias("timestamp"))
+    writer = rows.writeStream.format("parquet").outputMode("append")
+    return writer.option("path", f"{root}/{topic}")
+
+
 def kafka_sink(messages: DataFrame, servers: str, topic: str | None = None) -> DataStreamWriter:
     """Send `key, value` messages to a topic, or each to the topic in its own `topic` column.
 

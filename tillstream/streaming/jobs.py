@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions.jsontext import corrupt_rows, good_rows, parse_typed
+from ..functions.jsontext import corrupt_rows, good_rows, keyed_json, parse_typed
 from ..operators import dims, dws, ods
 from ..operators.keyed import first_per_key, latest_per_key
-from ..sinks.files import batch_writer, upsert_writer
+from ..session import folder_exists
+from ..sinks.files import BatchWriter, batch_writer, upsert_writer
+from ..sinks.results import result_writer
+from ..sources import topics
 
 # Copies of each order on the join's order side: the lines of a hot order spread over that many
 # tasks.
@@ -100,37 +103,45 @@ def sliding_counts(log_lines: DataFrame, path: str, size: str, slide: str, late:
 # ---- orders --------------------------------------------------------------------------------
 
 
-def first_orders(orders: DataFrame, path: str) -> DataStreamWriter:
-    """Each user's first order, kept in state for good as the user state table is.
+def flag_batch(batch: DataFrame, path: str) -> DataFrame:
+    """Orders of a batch with `if_first_order`, the first ones of new users added to the log at `path`.
 
-    Only users of the batch are touched, and each reaches the state as one row per map task.
+    A user's first order is the earliest of the first batch the user comes with. A replay, or a query
+    started anew, finds it in the log and flags it again, so it does not matter that the log is written
+    before the flags are. Each user reaches the lookup as one row per map task, and orders are matched
+    by their id, not by user.
     """
-    first = orders.groupBy("user_id").agg(F.min(F.struct("create_time", "order_id")).alias("f"))
-    rows = first.select("user_id", F.col("f.order_id").alias("order_id"))
-    return per_batch(rows, upsert_writer(path), "update")
-
-
-def flag_orders(orders: DataFrame, first_order_rows: DataFrame) -> DataFrame:
-    """`if_first_order` of stored orders, from the rows `first_orders` keeps."""
-    marks = first_order_rows.select("order_id", F.lit("1").alias("_first"))
+    spark = batch.sparkSession
+    firsts = batch.groupBy("user_id").agg(F.min(F.struct("create_time", "order_id")).alias("_f"))
+    firsts = firsts.select("user_id", F.col("_f.order_id").alias("order_id"))
+    new = firsts
+    if folder_exists(spark, path):
+        log = spark.read.schema("user_id BIGINT, order_id BIGINT").parquet(path)
+        known = log.groupBy("user_id").agg(F.min("order_id").alias("_known"))
+        found = firsts.join(known, "user_id", "left")
+        new = found.filter(F.col("_known").isNull()).drop("_known")
+        firsts = found.select(F.coalesce("_known", "order_id").alias("order_id"))
+    new.select("user_id", "order_id").write.mode("append").parquet(path)
+    marks = firsts.select("order_id", F.lit("1").alias("_first"))
     return (
-        orders.join(marks, "order_id", "left")
+        batch.join(marks, "order_id", "left")
         .withColumn("if_first_order", F.coalesce("_first", F.lit("0")))
         .drop("_first")
     )
 
 
-def _enriched(path: str, keys: list[str], enrich: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+def _enriched(
+    write_batch: BatchWriter, keys: list[str], enrich: Callable[[DataFrame], DataFrame]
+) -> BatchWriter:
     """Batch writer that collapses copies within the batch, map-side first, and then enriches.
 
     A row resent many times so reaches the stateful layers behind as one row per batch: the newest
     where the messages' `timestamp` was kept, else any, as copies are alike.
     """
-    write_batch = batch_writer(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if "timestamp" in batch.columns:
-            once = latest_per_key(batch, keys, [F.col("timestamp").desc()])
+            once = latest_per_key(batch, keys, [F.col("timestamp").desc()]).drop("timestamp")
         else:
             once = batch.dropDuplicates(keys)
         once.persist()
@@ -142,6 +153,11 @@ def _enriched(path: str, keys: list[str], enrich: Callable[[DataFrame], DataFram
     return write
 
 
+def _as_messages(write_batch: BatchWriter, key: str) -> BatchWriter:
+    """Rows to messages keyed by a column."""
+    return lambda rows, batch_id: write_batch(keyed_json(rows, key), batch_id)
+
+
 def enrich_orders(
     orders: DataFrame,
     users: Callable[[], DataFrame],
@@ -149,7 +165,13 @@ def enrich_orders(
     path: str,
 ) -> DataStreamWriter:
     """Orders with province and user labels. The dimensions are read anew for every batch."""
+    enrich = _order_labels(users, provinces)
+    return per_batch(orders, _enriched(batch_writer(path), ["order_id"], enrich), "append")
+
 
+def _order_labels(
+    users: Callable[[], DataFrame], provinces: Callable[[], DataFrame]
+) -> Callable[[DataFrame], DataFrame]:
     def enrich(rows: DataFrame) -> DataFrame:
         people = dims.seen_only(users(), rows, "user_id").select(
             "user_id", "province_id", F.col("age_group").alias("user_age_group"),
@@ -157,16 +179,43 @@ def enrich_orders(
         )
         return dims.add_province(rows.join(people, "user_id", "left"), provinces())
 
-    return per_batch(orders, _enriched(path, ["order_id"], enrich), "append")
+    return enrich
+
+
+def order_facts(
+    orders: DataFrame,
+    users: Callable[[], DataFrame],
+    provinces: Callable[[], DataFrame],
+    state: str,
+    topic: str,
+    root: str,
+) -> DataStreamWriter:
+    """DWD orders as a topic: first-order flag, province and user labels."""
+    labels = _order_labels(users, provinces)
+
+    def enrich(rows: DataFrame) -> DataFrame:
+        return labels(flag_batch(rows, state))
+
+    write = _as_messages(topics.topic_batches(topic, root), "order_id")
+    return per_batch(orders, _enriched(write, ["order_id"], enrich), "append")
+
+
+def line_facts(
+    lines: DataFrame, skus: Callable[[], DataFrame], topic: str, root: str
+) -> DataStreamWriter:
+    """DWD order lines as a topic, with the names of their sku."""
+    write = _as_messages(topics.topic_batches(topic, root), "order_id")
+    return per_batch(lines, _enriched(write, dws.LINE_KEY, _sku_names(skus)), "append")
 
 
 def enrich_lines(lines: DataFrame, skus: Callable[[], DataFrame], path: str) -> DataStreamWriter:
     """Order lines with the names of their sku; the dimension is read anew for every batch."""
+    write = _enriched(batch_writer(path), dws.LINE_KEY, _sku_names(skus))
+    return per_batch(lines, write, "append")
 
-    def enrich(rows: DataFrame) -> DataFrame:
-        return dims.add_sku(rows, dims.seen_only(skus(), rows, "sku_id"))
 
-    return per_batch(lines, _enriched(path, dws.LINE_KEY, enrich), "append")
+def _sku_names(skus: Callable[[], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    return lambda rows: dims.add_sku(rows, dims.seen_only(skus(), rows, "sku_id"))
 
 
 def _salted_sides(orders: DataFrame, lines: DataFrame, late: str, salts: int) -> tuple[DataFrame, DataFrame]:
@@ -241,62 +290,26 @@ def unmatched(joined_rows: DataFrame, salts: int = JOIN_SALTS) -> DataFrame:
     return bare.unionByName(lost)
 
 
-# ---- allocation ----------------------------------------------------------------------------
-
-
-def order_progress(wide: DataFrame, path: str, late: str = "1 hour") -> DataStreamWriter:
-    """Running sums per order, three numbers however many lines it has.
-
-    Keyed by the order's time too, so that the watermark can end its state. `late` must be longer
-    than the join's time bound and lateness together, as a pair comes that much after its order.
-    Lines are unique by id.
-    """
-    shares = wide.withColumn("_share", dws.allocated_share()).withWatermark("create_time", late)
-    sums = shares.groupBy(
-        "order_id", "create_time", "original_total_cents", "final_total_cents"
-    ).agg(
-        F.sum("line_cents").alias("seen_cents"),
-        F.sum("_share").alias("share_sum"),
-        F.max("order_detail_id").alias("last_id"),
-    )
-    return per_batch(sums, batch_writer(path), "update")
+# ---- ADS -----------------------------------------------------------------------------------
 
 
-def allocated_view(wide: DataFrame, progress: DataFrame) -> DataFrame:
-    """Every line that has come with what it paid, and the `status` of its order.
+def trademark_sums(changes: DataFrame, path: str, late: str | None = None) -> DataStreamWriter:
+    """Brand sums of each batch of allocation changes, in a result table (`sinks.results`).
 
-    Lines of an `open` order, of which some are missing yet or were lost to the watermark, have their
-    rounded share. Once the order is `complete`, its last line by id takes the remainder as well.
+    `changes` carry `delta_cents`, the message's `timestamp` and place. A batch's `stat_time` is its
+    newest message, so a replay gives the same. From a topic that may repeat messages give `late`: a
+    line's change is then taken once.
     """
-    newest = latest_per_key(progress, ["order_id"], [F.col("batch_id").desc()]).select(
-        "order_id",
-        "share_sum",
-        "last_id",
-        (F.col("seen_cents") == F.col("original_total_cents")).alias("_complete"),
-    )
-    complete = F.coalesce("_complete", F.lit(False))
-    rest = F.col("final_total_cents") - F.col("share_sum")
-    is_last = complete & (F.col("order_detail_id") == F.col("last_id"))
-    return (
-        wide.withColumn("_share", dws.allocated_share())
-        .join(newest, "order_id", "left")
-        .withColumn("final_detail_cents", F.col("_share") + F.when(is_last, rest).otherwise(F.lit(0)))
-        .withColumn("status", F.when(complete, "complete").otherwise("open"))
-        .drop("_share", "share_sum", "last_id", "_complete")
-    )
-
-
-# ---- ADS -----------------------------------------------------------------------------------
-
-
-def trademark_sums(allocated: DataFrame, path: str) -> DataStreamWriter:
-    """Brand sums of each batch, written with the batch as one unit; a replay replaces them."""
+    if late:
+        changes = changes.withWatermark("create_time", late).dropDuplicatesWithinWatermark(
+            [*dws.LINE_KEY, "version"]
+        )
 
-    def sums(batch: DataFrame) -> DataFrame:
-        # `stat_time` is when the batch was summed up, as the result table has it.
-        return batch.groupBy("tm_id", "tm_name").agg(
-            F.sum("final_detail_cents").alias("amount_cents"),
-            F.current_timestamp().alias("stat_time"),
+    def sums(rows: DataFrame) -> DataFrame:
+        brands = rows.groupBy("tm_id", "tm_name").agg(
+            F.sum("delta_cents").alias("amount_cents"), F.max("timestamp").alias("stat_time")
         )
+        # One row per brand by now, so the window sees a handful.
+        return brands.withColumn("stat_time", F.max("stat_time").over(Window.partitionBy()))
 
-    return per_batch(allocated, batch_writer(path, sums), "append")
+    return per_batch(changes, result_writer(path, sums), "append")

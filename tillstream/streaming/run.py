@@ -18,15 +18,20 @@ def start(
     interval: str | None = None,
     state_partitions: int | None = None,
     rocksdb: bool | None = None,
+    empty_batches: bool = True,
 ) -> StreamingQuery:
     """Start a query: every `interval`, or once over all that is available.
 
     The number of state partitions is fixed with the first batch of a checkpoint; by default it
     follows the cores of the cluster. On a cluster state lives in RocksDB, outside the heap; in
-    local mode, where it is small, in memory.
+    local mode, where it is small, in memory. Without `empty_batches` a watermark that moves on its own
+    starts no batch: for queries whose results never wait for it.
     """
     partitions = state_partitions or spark.sparkContext.defaultParallelism
-    conf = {"spark.sql.shuffle.partitions": str(partitions)}
+    conf = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.streaming.noDataMicroBatches.enabled": str(empty_batches).lower(),
+    }
     if rocksdb if rocksdb is not None else not spark.sparkContext.master.startswith("local"):
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     writer = writer.option("checkpointLocation", checkpoint)
