@@ -34,7 +34,7 @@ def test_dedupe_keeps_one_row_per_key_before_the_shuffle(spark, folder):
 def test_day_reaches_the_scan(spark, folder):
     dau, orders = (_plan(queries()[n](spark, folder)) for n in ("dau_total", "order_amount_day"))
     assert "GreaterThanOrEqual(ts,2024-01-15" in dau
-    assert "GreaterThanOrEqual(o_orderdate,1996-09-17" in orders
+    assert "GreaterThanOrEqual(dt,1996-09-17" in orders and "PartitionFilters: [isnotnull(part" in orders
 
 
 def test_scan_reads_needed_columns_only(spark, folder):

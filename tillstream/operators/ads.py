@@ -52,21 +52,24 @@ def amounts_by_user_attribute(user_amounts: DataFrame, users: DataFrame, attribu
     )
 
 
-def batch_trademark_amounts(allocated: DataFrame, skus: DataFrame, trademarks: DataFrame) -> DataFrame:
-    """Brand sums per batch, with the day standing for the batch: the brand result table's rows."""
-    sums = (
-        allocated.join(skus.select("sku_id", "tm_id"), "sku_id", "left")
-        .groupBy("dt", "tm_id")
-        .agg(F.sum("final_detail_cents").alias(AMOUNT))
-    )
-    return sums.join(trademarks, "tm_id", "left").select(
-        F.col("dt").alias("stat_time"),
-        F.col("tm_id").cast("string").alias("trademark_id"),
-        F.col("tm_name").alias("trademark_name"),
-        AMOUNT,
+def daily_amounts(wide: DataFrame, key: str, id_name: str, name: str) -> DataFrame:
+    """Rows of a result table from stored wide rows: per day and brand (`tm`) or SPU (`spu`) what was
+    paid, with the day standing for the time of the batch."""
+    return (
+        wide.groupBy("dt", F.col(f"{key}_id").cast("string").alias(id_name), F.col(f"{key}_name").alias(name))
+        .agg(F.sum("final_detail_amount").cast("decimal(16,2)").alias("amount"))
+        .withColumn("stat_time", F.col("dt").cast("timestamp"))
     )
 
 
+def stored_amounts(stored: DataFrame) -> DataFrame:
+    """Rows of a result table in cents, with the day of `stat_time` as text."""
+    return stored.withColumns({
+        "stat_time": F.date_format("stat_time", "yyyy-MM-dd"),
+        AMOUNT: (F.col("amount") * 100).cast("bigint"),
+    }).drop("amount", "dt")
+
+
 def trademark_topn(stat: DataFrame, start: str, end: str, n: int) -> DataFrame:
     """Top brands of the result table between two times, both exclusive."""
     return (

@@ -72,14 +72,16 @@ def _kpi(df: DataFrame, kpi: tuple[str, str], value: str) -> DataFrame:
     )
 
 
-def kpi_total(dau: DataFrame, new_devices: DataFrame, day_orders: DataFrame) -> DataFrame:
+def kpi_total(
+    dau: DataFrame, new_devices: DataFrame, day_orders: DataFrame, amount: str = "final_total_cents"
+) -> DataFrame:
     """Three key figures of a day: active devices, new devices, order amount in cents."""
     return (
         _kpi(dau_total(dau), KPI_DAU, "dau")
         .unionByName(
             _kpi(new_devices.agg(F.sum("new_devices").alias("n")), KPI_NEW_DEVICE, "n")
         )
-        .unionByName(_kpi(order_amount_total(day_orders), KPI_ORDER_AMOUNT, "order_amount_cents"))
+        .unionByName(_kpi(order_amount_total(day_orders, amount), KPI_ORDER_AMOUNT, "order_amount_cents"))
     )
 
 

@@ -13,7 +13,9 @@ from ..operators.keyed import latest_per_key
 from ..schemas import APP_LOG
 from ..session import workspace
 from ..sinks import files
+from ..sinks.days import DayStore
 from ..sources import records
+from .stored import once, shop_stores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -240,15 +242,14 @@ def dau_project(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dau_index_write(spark: SparkSession, d: str) -> DataFrame:
-    """Index of daily actives by day and device, each day written in two batches that overlap, and
-    the second one again, as after a failed commit."""
-    path = workspace(spark, "dau-index")
-    rows = _dau(spark, d)
-    write = files.upsert_writer(path)
-    write(rows.filter("hr < '12'"), 0)
+    """Index of daily actives by day and device: two batches that overlap, and the second one again, as
+    after a failed commit. A day's devices lie in the folder of the day."""
+    rows = _dau(spark, d).withColumn("dt", F.to_date("dt"))
+    index = DayStore(spark, workspace(spark, "dau-index"), rows.schema, ("mid",))
+    index.merge(rows.filter("hr < '12'"), "morning")
     for _ in range(2):
-        write(rows.filter("hr >= '08'"), 1)
-    return files.upserted(spark, path, ["dt", "mid"]).select(*rows.columns)
+        index.merge(rows.filter("hr >= '08'"), "day")
+    return index.read().withColumn("dt", F.date_format("dt", "yyyy-MM-dd"))
 
 
 @query
@@ -338,31 +339,43 @@ def order_wide_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dws.dedup_lines(seen_twice).select("order_detail_id", "order_id", "sku_id", "line_cents")
 
 
-def _with_resent(spark: SparkSession, d: str) -> DataFrame:
-    """Wide rows of which every fifth order was sent again a minute later with a new status."""
+def _resent_store(spark: SparkSession, d: str) -> DayStore:
+    """Wide rows merged into their days, then every fifth order again, a minute later with a new status,
+    and that change a second time, as after a failed commit."""
+    rows = _pairs(spark, d).select(
+        "order_detail_id", "order_id", "order_status", "create_time", "line_cents",
+        F.to_date("dt").alias("dt"),
+    )
     minute = F.make_dt_interval(mins=F.lit(1))
-    first = F.struct("order_status", "create_time")
-    again = F.struct(
-        F.lit("RESENT").alias("order_status"), (F.col("create_time") + minute).alias("create_time")
+    again = rows.filter("order_id % 5 = 0").withColumns(
+        {"order_status": F.lit("RESENT"), "create_time": F.col("create_time") + minute}
     )
-    versions = F.when(F.col("order_id") % 5 == 0, F.array(first, again)).otherwise(F.array(first))
-    rows = _pairs(spark, d).withColumn("_version", F.explode(versions))
-    return rows.withColumns(
-        {c: F.col(f"_version.{c}") for c in ("order_status", "create_time")}
-    ).drop("_version")
+
+    def build() -> DayStore:
+        store = DayStore(
+            spark, workspace(spark, "resent"), rows.schema, ("order_id", "order_detail_id"),
+            "create_time", shop_stores(spark, d).wide.grain,
+        )
+        store.merge(rows, "first")
+        for _ in range(2):
+            store.merge(again, "again")
+        return store
+
+    return once(spark, d, "resent", build)
 
 
 @query
 def order_wide_latest(spark: SparkSession, d: str) -> DataFrame:
-    return dws.latest_lines(_with_resent(spark, d)).select(
-        "order_detail_id", "dt", "order_status", time_text(F.col("create_time")).alias("create_time")
+    return _resent_store(spark, d).read().select(
+        "order_detail_id", F.date_format("dt", "yyyy-MM-dd").alias("dt"), "order_status",
+        time_text(F.col("create_time")).alias("create_time"),
     )
 
 
 @query
 def order_wide_latest_amount(spark: SparkSession, d: str) -> DataFrame:
     """Sums over the newest versions, so that a resent row counts once."""
-    return dws.latest_lines(_with_resent(spark, d)).groupBy("dt").agg(
+    return _resent_store(spark, d).read().groupBy(F.date_format("dt", "yyyy-MM-dd").alias("dt")).agg(
         F.sum("line_cents").alias("amount_cents"), F.count(F.lit(1)).alias("n_lines")
     )
 
@@ -380,14 +393,9 @@ def order_wide_shard_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def order_wide_store(spark: SparkSession, d: str) -> DataFrame:
-    """The whole wide table written by day in store types and read back, in cents and text again."""
-    path = workspace(spark, "order-wide")
-    wide = full_wide(spark, d)
-    rows = dws.store_types(wide)
-    files.write_days(rows, path, "dt")
-    return dws.from_store(spark.read.schema(rows.schema).parquet(path)).select(
-        *wide.columns
-    ).withColumn("create_time", time_text(F.col("create_time")))
+    """The whole wide table as it is stored, in cents and text again."""
+    wide = shop_stores(spark, d).wide_rows()
+    return wide.withColumn("create_time", time_text(F.col("create_time")))
 
 
 @query
@@ -416,23 +424,15 @@ def order_detail_unmatched(spark: SparkSession, d: str) -> DataFrame:
 # ---- ADS -----------------------------------------------------------------------------------
 
 
-def _trademark_stat(
-    spark: SparkSession, d: str, first: str | None = None, last: str | None = None
-) -> DataFrame:
-    return ads.batch_trademark_amounts(
-        allocated_lines(spark, d, first, last), records.skus(spark, d), records.trademarks(spark, d)
-    )
-
-
 @query
 def trademark_batch_amount(spark: SparkSession, d: str) -> DataFrame:
-    return _trademark_stat(spark, d)
+    return ads.stored_amounts(shop_stores(spark, d).trademarks.read())
 
 
 @query
 def trademark_topn(spark: SparkSession, d: str) -> DataFrame:
-    """Top brands strictly between two times; the days are given to the order scan as well."""
-    stat = _trademark_stat(spark, d, STAT_START, STAT_END)
+    """Top brands strictly between two times, from the stored sums of these days."""
+    stat = ads.stored_amounts(shop_stores(spark, d).trademarks.read(STAT_START, STAT_END))
     return ads.trademark_topn(stat, STAT_START, STAT_END, TOP_N)
 
 
@@ -443,21 +443,16 @@ def trademark_topn_xy(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def spu_amount(spark: SparkSession, d: str) -> DataFrame:
-    sums = ads.amounts_by_sku_attribute(
-        ads.amounts_by_sku(allocated_lines(spark, d)), records.skus(spark, d), "spu_id"
-    )
-    return sums.join(records.spus(spark, d), "spu_id", "left").select(
-        "spu_id", "spu_name", "amount_cents"
-    )
+    stat = ads.stored_amounts(shop_stores(spark, d).spus.read())
+    sums = stat.groupBy("spu_id", "spu_name").agg(F.sum("amount_cents").alias("amount_cents"))
+    return sums.withColumn("spu_id", F.col("spu_id").cast("bigint"))
 
 
 @query
 def category_amount(spark: SparkSession, d: str) -> DataFrame:
-    sums = ads.amounts_by_sku_attribute(
-        ads.amounts_by_sku(allocated_lines(spark, d)), records.skus(spark, d), "category3_id"
-    )
-    return sums.join(records.categories(spark, d), "category3_id", "left").select(
-        "category3_id", "category3_name", "amount_cents", "line_count"
+    wide = shop_stores(spark, d).wide_rows()
+    return wide.groupBy("category3_id", "category3_name").agg(
+        F.sum("final_detail_cents").alias("amount_cents"), F.count(F.lit(1)).alias("line_count")
     )
 
 
@@ -556,22 +551,24 @@ def new_device_day(spark: SparkSession, d: str) -> DataFrame:
     return serving.new_devices_by_day(records.app_events(spark, d))
 
 
+PAID = "final_detail_cents"
+
+
 @query
 def order_amount_day(spark: SparkSession, d: str) -> DataFrame:
-    return serving.order_amount_total(_orders(spark, d, ORDER_DAY))
+    return serving.order_amount_total(shop_stores(spark, d).wide_rows(ORDER_DAY), PAID)
 
 
 @query
 def order_amount_hour(spark: SparkSession, d: str) -> DataFrame:
-    return serving.order_amount_by_hour(_orders(spark, d, ORDER_DAY))
+    return serving.order_amount_by_hour(shop_stores(spark, d).wide_rows(ORDER_DAY), PAID)
 
 
 @query
 def order_amount_hour_compare(spark: SparkSession, d: str) -> DataFrame:
     hour = F.date_format("create_time", "HH").alias("hr")
-    hourly = _orders(spark, d, previous_day(ORDER_DAY), ORDER_DAY).groupBy("dt", hour).agg(
-        F.sum("final_total_cents").alias("amount")
-    )
+    rows = shop_stores(spark, d).wide_rows(previous_day(ORDER_DAY), ORDER_DAY)
+    hourly = rows.groupBy("dt", hour).agg(F.sum(PAID).alias("amount"))
     return serving.compare_hours(spark, hourly, "amount", ORDER_DAY)
 
 
@@ -581,7 +578,7 @@ def kpi_total(spark: SparkSession, d: str) -> DataFrame:
         F.col("dt") == DAU_DAY
     )
     return serving.kpi_total(
-        _dau(spark, d, DAU_DAY), new_devices, _orders(spark, d, ORDER_DAY)
+        _dau(spark, d, DAU_DAY), new_devices, shop_stores(spark, d).wide_rows(ORDER_DAY), PAID
     )
 
 
@@ -656,11 +653,12 @@ def detail_search_page(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def detail_search_day(spark: SparkSession, d: str) -> DataFrame:
-    """First page of one day's wide rows with the keyword."""
-    rows = records.orders(spark, d, ORDER_DAY)
-    wide = dims.add_sku(dws.join_wide(rows, records.order_lines(spark, d)), enriched_skus(spark, d))
-    hits = search.wide_hits(wide, ORDER_DAY, KEYWORD)
-    return search.page(hits, [F.col("order_detail_id")], 0, 10).select(
+    """First page of one day's wide rows with the keyword, from the day's files."""
+    hits = search.wide_hits(shop_stores(spark, d).wide_rows(ORDER_DAY), ORDER_DAY, KEYWORD)
+    first = search.page(hits, [F.col("order_detail_id")], 0, 10)
+    # The stored row has the unit price, rounded; the line's own amount is that of the line.
+    lines = records.order_lines(spark, d).select("order_id", "order_detail_id", "line_cents")
+    return first.join(lines.dropDuplicates(dws.LINE_KEY), dws.LINE_KEY).select(
         "order_detail_id", "order_id", "user_id", "sku_name", "tm_name", "line_cents", "dt"
     )
 

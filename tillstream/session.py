@@ -102,6 +102,24 @@ def make_folder(spark: SparkSession, path: str) -> None:
     system.mkdirs(where)
 
 
+def replace_folder(spark: SparkSession, source: str | None, target: str) -> None:
+    """Put a folder in the place of another; without a source the other just goes."""
+    where, system = _file_system(spark, target)
+    if system.exists(where) and not system.delete(where, True):
+        raise OSError(f"{target} can't be replaced")
+    if source:
+        system.mkdirs(where.getParent())
+        if not system.rename(_file_system(spark, source)[0], where):
+            raise OSError(f"{source} can't be moved to {target}")
+
+
+def file_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Size and time of the last change of a file, or of a folder's files together."""
+    where, system = _file_system(spark, path)
+    statuses = list(system.listStatus(where))
+    return sum(s.getLen() for s in statuses), max((s.getModificationTime() for s in statuses), default=0)
+
+
 def workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
