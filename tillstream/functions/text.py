@@ -1,12 +1,23 @@
-"""Keyword matching on whole words, any language."""
+"""Keyword matching on whole words, any language.
+
+A word is a run of letters, digits and underscores. Scripts written without blanks have no whole words: a
+keyword in one is found wherever its characters stand side by side.
+"""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
-_WORD_CHAR = r"[\p{L}\p{N}_]"
+# Scripts written without blanks between words.
+SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_WORD_CHAR = rf"[\p{{L}}\p{{N}}_&&[^{SCRIPTS}]]"
+_RUN = rf"[{SCRIPTS}]+|{_WORD_CHAR}+"
+_UNSPACED = re.compile(
+    "^[฀-໿က-႟ក-៿々〇぀-ヿㇰ-ㇿ㐀-䶿"
+    "一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff]+$"
+)
 
 
 def _pattern(words: str) -> str:
@@ -14,8 +25,11 @@ def _pattern(words: str) -> str:
     is the dearer test and would otherwise be made at every character."""
     parts = words.split()
     letters = "".join(sorted({re.escape(w[0]) for w in parts}))
-    alternatives = "|".join(re.escape(w) for w in parts)
-    return rf"(?iu)(?=[{letters}])(?<!{_WORD_CHAR})({alternatives})(?!{_WORD_CHAR})"
+    alternatives = "|".join(
+        re.escape(w) if _UNSPACED.match(w) else rf"(?<!{_WORD_CHAR}){re.escape(w)}(?!{_WORD_CHAR})"
+        for w in parts
+    )
+    return rf"(?iu)(?=[{letters}])({alternatives})"
 
 
 def matches_any_word(text: Column, words: str) -> Column:
@@ -26,3 +40,22 @@ def matches_any_word(text: Column, words: str) -> Column:
 def highlight(text: Column, words: str, before: str = "<em>", after: str = "</em>") -> Column:
     """Wrap each whole-word occurrence of any of `words`."""
     return F.regexp_replace(text, _pattern(words), f"{before}$1{after}")
+
+
+def runs(text: Column) -> Column:
+    """Lower-case runs of word characters, cut where a script without blanks begins or ends."""
+    return F.regexp_extract_all(F.lower(text), F.lit(_RUN), F.lit(0))
+
+
+def run_terms(run: Column) -> Column:
+    """Terms of a run: itself, or of a script without blanks every two characters that stand side by
+    side, the last one alone."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length(run)), lambda i: F.substring(run, i, F.lit(2)))
+    return F.when(run.rlike(rf"^[{SCRIPTS}]"), pairs).otherwise(F.array(run))
+
+
+def query_terms(spark: SparkSession, word: str) -> list[list[str]]:
+    """Terms of each run of a word, found as those of the texts are."""
+    found = spark.range(1).select(F.transform(runs(F.lit(word)), run_terms)).first()[0]
+    # A longer run is known by its pairs; the last character alone says no more.
+    return [terms[:-1] if len(terms) > 1 else terms for terms in found]

@@ -6,7 +6,7 @@ No join here forces a broadcast. Spark broadcasts a side by itself when its meas
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.people import age_group, gender_name
 
@@ -34,6 +34,26 @@ def seen_only(dim: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return dim.join(rows.select(key).distinct(), key, "left_semi")
 
 
+def versions(log: DataFrame, key: str, at: str = "valid_from") -> DataFrame:
+    """Rows of a change log with the time up to which each was valid, null for the current one.
+
+    Of several changes of a key at one time any is taken.
+    """
+    order = Window.partitionBy(key).orderBy(at)
+    return log.dropDuplicates([key, at]).withColumn("valid_to", F.lead(at).over(order))
+
+
+def as_of(rows: DataFrame, valid: DataFrame, key: str, time: str) -> DataFrame:
+    """Rows with the version of their dimension row that was valid at their time, if there was one."""
+    right = valid.withColumnRenamed(key, "_key")
+    on = (
+        (rows[key] == F.col("_key"))
+        & (rows[time] >= F.col("valid_from"))
+        & (F.col("valid_to").isNull() | (rows[time] < F.col("valid_to")))
+    )
+    return rows.join(right, on, "left").drop("_key", "valid_from", "valid_to")
+
+
 def add_province(orders: DataFrame, provinces: DataFrame) -> DataFrame:
     columns = ["province_id", "province_name", "province_area_code", "province_iso_code", "province_iso_3166_2"]
     return orders.join(provinces.select(*columns), "province_id", "left")

@@ -3,29 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import highlight, matches_any_word
+from .postings import PostingIndex
 
 
-def must_match(df: DataFrame, clauses: dict[str, str], at_least: dict[str, int] | None = None) -> DataFrame:
-    """Rows matching every clause (any word of it) and every unscored lower bound."""
-    for column, low in (at_least or {}).items():
+def _at_least(df: DataFrame, bounds: dict[str, int] | None) -> DataFrame:
+    for column, low in (bounds or {}).items():
         df = df.filter(F.col(column) >= low)
-    for column, words in clauses.items():
-        df = df.filter(matches_any_word(F.col(column), words))
     return df
 
 
-def should_match(df: DataFrame, clauses: Sequence[tuple[str, str]], at_least: dict[str, int] | None = None) -> DataFrame:
+def must_match(
+    df: DataFrame, index: PostingIndex, key: str, clauses: dict[str, str], at_least: dict[str, int] | None = None
+) -> DataFrame:
+    """Rows matching every clause (any word of it) and every unscored lower bound: the postings of the
+    clauses are intersected, the searched columns are not read."""
+    rows = _at_least(df, at_least)
+    for column, words in clauses.items():
+        rows = rows.join(index.any_word(column, words).withColumnRenamed("key", key), key, "left_semi")
+    return rows
+
+
+def should_match(
+    df: DataFrame, index: PostingIndex, key: str, clauses: Sequence[tuple[str, str]], at_least: dict[str, int] | None = None
+) -> DataFrame:
     """Rows matching at least one clause and every lower bound."""
-    for column, low in (at_least or {}).items():
-        df = df.filter(F.col(column) >= low)
-    hit = F.lit(False)
-    for column, words in clauses:
-        hit = hit | matches_any_word(F.col(column), words)
-    return df.filter(hit)
+    hits = [index.any_word(column, words) for column, words in clauses]
+    keys = reduce(DataFrame.unionByName, hits).distinct().withColumnRenamed("key", key)
+    return _at_least(df, at_least).join(keys, key, "left_semi")
 
 
 def with_highlight(df: DataFrame, column: str, words: str) -> DataFrame:

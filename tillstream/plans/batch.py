@@ -10,6 +10,7 @@ from ..functions.jsontext import good_rows, json_of, keyed_json, parse_typed
 from ..functions.times import event_time_parts, order_time_parts, previous_day, time_text
 from ..operators import ads, dims, dwd, dws, ods, search, serving
 from ..operators.keyed import latest_per_key
+from ..operators.postings import PostingIndex
 from ..schemas import APP_LOG
 from ..session import workspace
 from ..sinks import files
@@ -593,9 +594,22 @@ def event_sliding_counts(spark: SparkSession, d: str) -> DataFrame:
 # ---- search --------------------------------------------------------------------------------
 
 
+def document_index(spark: SparkSession, d: str) -> PostingIndex:
+    """Index of the documents' texts, languages and sources."""
+
+    def build() -> PostingIndex:
+        index = PostingIndex(spark, workspace(spark, "postings"))
+        index.add(records.table(spark, d, "documents"), "doc_id", ["text", "lang", "source"], 0)
+        return index
+
+    return once(spark, d, "postings", build, ["documents"])
+
+
 def _hits(spark: SparkSession, d: str) -> DataFrame:
     return search.must_match(
         records.table(spark, d, "documents"),
+        document_index(spark, d),
+        "doc_id",
         {"text": DOC_WORDS, "lang": DOC_LANGS},
         {"n_chars": DOC_MIN_CHARS},
     )
@@ -610,6 +624,8 @@ def keyword_match(spark: SparkSession, d: str) -> DataFrame:
 def keyword_should(spark: SparkSession, d: str) -> DataFrame:
     return search.should_match(
         records.table(spark, d, "documents"),
+        document_index(spark, d),
+        "doc_id",
         [("text", "que der"), ("source", "src1")],
         {"n_chars": DOC_MIN_CHARS},
     ).select("doc_id", "lang", "source", "n_chars")

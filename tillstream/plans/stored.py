@@ -63,9 +63,11 @@ class ShopStores:
 _BUILT: dict[tuple, object] = {}
 
 
-def once(spark: SparkSession, d: str, name: str, build: Callable[[], Built]) -> Built:
+def once(
+    spark: SparkSession, d: str, name: str, build: Callable[[], Built], sources: list[str] = SOURCES
+) -> Built:
     """What `build` makes of a folder's tables, made once as long as the files stay as they are."""
-    state = tuple(file_state(spark, f"{d}/{source}.parquet") for source in SOURCES)
+    state = tuple(file_state(spark, f"{d}/{source}.parquet") for source in sources)
     key = (spark.sparkContext.applicationId, d, name, state)
     if key not in _BUILT:
         _BUILT[key] = build()

@@ -39,6 +39,20 @@ USER_STATE = _texts("user_id if_consumed")
 # Orders of which all lines have come.
 ORDER_DONE = _struct(order_id=_LONG, create_time=T.TimestampType(), share_sum=_LONG, last_id=_LONG)
 
+# Dimension topics: name of the table, its key, and its messages.
+DIMENSIONS = {
+    "ODS_BASE_PROVINCE": ("province", "province_id", _struct(
+        province_id=_LONG, province_name=_TEXT, region_id=_TEXT, province_area_code=_TEXT,
+        province_iso_code=_TEXT, province_iso_3166_2=_TEXT)),
+    "ODS_USER_INFO": ("user", "user_id", _struct(
+        user_id=_LONG, user_level=_TEXT, birthday=T.DateType(), gender=_TEXT, province_id=_LONG)),
+    "ODS_SKU_INFO": ("sku", "sku_id", _struct(
+        sku_id=_LONG, spu_id=_LONG, price_cents=_LONG, sku_name=_TEXT, tm_id=_LONG, category3_id=_TEXT)),
+    "ODS_SPU_INFO": ("spu", "spu_id", _struct(spu_id=_LONG, spu_name=_TEXT)),
+    "ODS_BASE_TRADEMARK": ("trademark", "tm_id", _struct(tm_id=_LONG, tm_name=_TEXT)),
+    "ODS_BASE_CATEGORY3": ("category3", "category3_id", _struct(category3_id=_TEXT, category3_name=_TEXT)),
+}
+
 # Column order of the wide table.
 ORDER_WIDE_COLUMNS = [
     "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id",
