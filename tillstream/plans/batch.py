@@ -268,6 +268,21 @@ def order_user_join(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def order_user_level(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with the level their user had at the time: every third user changed it once."""
+    people = records.users(spark, d).select("user_id", "user_level")
+    log = people.withColumn("valid_from", F.lit("1900-01-01").cast("timestamp")).unionByName(
+        people.filter("user_id % 3 = 0").withColumns(
+            {"user_level": F.lit("VIP"), "valid_from": F.lit(STATE_DAY).cast("timestamp")}
+        )
+    )
+    valid = dims.versions(log, "user_id")
+    return dims.as_of(records.orders(spark, d), valid, "user_id", "create_time").select(
+        "order_id", "user_id", "user_level"
+    )
+
+
 @query
 def detail_sku_join(spark: SparkSession, d: str) -> DataFrame:
     return dims.add_sku(records.order_lines(spark, d), enriched_skus(spark, d)).select(

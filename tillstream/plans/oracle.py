@@ -337,3 +337,26 @@ SQL["stream_layers_wide"] = SQL["order_wide_join"]
 SQL["stream_corrupt_side"] = _sql(EVENTS, body="""
     SELECT 'stored' AS kind, CAST(ts_ms AS VARCHAR) AS value FROM ev WHERE event_id % 50 <> 0
     UNION ALL SELECT 'corrupt', substr('{"ts":' || ts_ms || ',', 1, 20) FROM ev WHERE event_id % 50 = 0""")
+
+SQL["stream_sku_late_names"] = SQL["sku_enrich"]
+SQL["order_user_level"] = _sql(ORDERS, USERS, body="""
+    SELECT order_id, user_id, CASE WHEN user_id % 3 = 0 AND create_ts >= TIMESTAMP '1998-01-01' THEN 'VIP'
+           ELSE user_level END AS user_level
+    FROM ord LEFT JOIN usr USING (user_id)""")
+
+
+def _loaded(dimension: str, source: str, key: str, number: str, label: str) -> str:
+    return (
+        f"SELECT DISTINCT '{dimension}' AS dimension, CAST({key} AS VARCHAR) AS key,"
+        f" {label} || CASE WHEN {number} % 3 = 0 THEN '+' ELSE '' END AS label FROM {source}"
+    )
+
+
+SQL["stream_dim_loaders"] = _sql(PROVINCES, USERS, SKUS, body=" UNION ALL ".join((
+    _loaded("province", "prov", "province_id", "province_id", "province_name"),
+    _loaded("user", "usr", "user_id", "user_id", "user_level"),
+    _loaded("sku", "sku", "sku_id", "sku_id", "sku_name"),
+    _loaded("spu", "sku", "spu_id", "spu_id", "spu_name"),
+    _loaded("trademark", "sku", "tm_id", "tm_id", "tm_name"),
+    _loaded("category3", "sku", "category3_id", "length(category3_id)", "category3_name"),
+)))

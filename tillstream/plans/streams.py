@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.jsontext import good_rows, json_of, parse_typed
 from ..functions.times import time_text
 from ..operators import dims, dws
-from ..schemas import APP_LOG, ORDER_DONE
+from ..schemas import APP_LOG, DIMENSIONS, ORDER_DONE
 from ..session import workspace
 from ..sinks import files
 from ..sinks.results import read_results
 from ..sources import records, topics
-from ..streaming import changes, jobs, layers, run
+from ..streaming import changes, dimensions, jobs, layers, run
 from . import batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +156,57 @@ def stream_dim_upsert(spark: SparkSession, d: str) -> DataFrame:
     return current.select("user_id", "user_level", "age_group", "gender_name")
 
 
+def _load(replay: Replay, topic: str, *parts: DataFrame) -> None:
+    """Send rows to a dimension's topic, a micro-batch for each part, and let its loader run."""
+    for rows in parts:
+        message = rows.select(F.lit(None).alias("key"), json_of(*rows.columns).alias("value"))
+        topics.append_messages(message.coalesce(1), topic, replay.root)
+    stream = topics.read_topic(replay.spark, topic, root=replay.root, per_trigger=1, positions=True)
+    replay.drain(dimensions.load(stream, topic, replay.path("dims")), topic)
+
+
+@query
+def stream_dim_loaders(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the six dimensions after their loaders ran twice, the second time with every third row
+    renamed."""
+    replay = Replay(spark, "dim-loaders")
+    tables = {
+        "ODS_BASE_PROVINCE": (records.provinces, "province_name"),
+        "ODS_USER_INFO": (records.users, "user_level"),
+        "ODS_SKU_INFO": (records.skus, "sku_name"),
+        "ODS_SPU_INFO": (records.spus, "spu_name"),
+        "ODS_BASE_TRADEMARK": (records.trademarks, "tm_name"),
+        "ODS_BASE_CATEGORY3": (records.categories, "category3_name"),
+    }
+    out = None
+    for topic, (read, label) in tables.items():
+        name, key, _ = DIMENSIONS[topic]
+        rows = read(spark, d)
+        number = F.length(key) if name == "category3" else F.col(key)
+        renamed = rows.filter(number % 3 == 0).withColumn(label, F.concat(label, F.lit("+")))
+        _load(replay, topic, rows, renamed)
+        part = dimensions.current(spark, replay.path("dims"), name).select(
+            F.lit(name).alias("dimension"), F.col(key).cast("string").alias("key"), F.col(label).alias("label")
+        )
+        out = out.unionByName(part) if out is not None else part
+    return out
+
+
+@query
+def stream_sku_late_names(spark: SparkSession, d: str) -> DataFrame:
+    """Skus come before their brands, SPUs and categories, which give them their names afterwards."""
+    replay = Replay(spark, "late-names")
+    for topic, rows in (
+        ("ODS_SKU_INFO", records.skus(spark, d)), ("ODS_SPU_INFO", records.spus(spark, d)),
+        ("ODS_BASE_CATEGORY3", records.categories(spark, d)), ("ODS_BASE_TRADEMARK", records.trademarks(spark, d)),
+    ):
+        _load(replay, topic, rows)
+    return dimensions.named_skus(spark, replay.path("dims")).select(
+        "sku_id", "spu_id", "price_cents", "sku_name", "tm_id", "category3_id",
+        "category3_name", "spu_name", "tm_name",
+    )
+
+
 @query
 def stream_dau_dedup(spark: SparkSession, d: str) -> DataFrame:
     replay = Replay(spark, "dau")

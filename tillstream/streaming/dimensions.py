@@ -46,7 +46,7 @@ def valid(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def _newest(rows: DataFrame, key: str) -> DataFrame:
     """Of each key of a batch the change that counts, with its time."""
-    newest = latest_per_key(rows, [key], [F.col("timestamp").desc(), F.col("part").desc(), F.col("pos").desc()])
+    newest = latest_per_key(rows, [key], [F.col(c).desc() for c in PLACE])
     return newest.withColumnRenamed("timestamp", "valid_from").drop("part", "pos")
 
 
@@ -55,8 +55,7 @@ def load(messages: DataFrame, topic: str, root: str) -> DataStreamWriter:
     spark = messages.sparkSession
     name, key, schema = DIMENSIONS[topic]
     rows = good_rows(parse_typed(messages, schema, keep=PLACE)).filter(F.col(key).isNotNull())
-    store = result_writer(f"{root}/{name}", lambda batch: _newest(batch.drop("part", "pos").withColumns(
-        {"part": F.lit(""), "pos": F.lit(0)}), key))
+    store = result_writer(f"{root}/{name}", lambda batch: _newest(batch, key))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
