@@ -20,15 +20,17 @@ _RUN_STEP = 1 << 32
 
 
 def postings(docs: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """`field, term, key, positions`: run and place in the run, as one number each. Terms of a document
-    are put together within it, so a frequent term is no group anywhere."""
+    """`field, term, key, at`, one row per occurrence: `at` is the run and the place in it as one number.
+
+    Nothing is grouped, so a frequent term is no group anywhere; sorted, the repeats cost the files little.
+    """
     texts = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields)))
     rows = docs.select(F.col(key).alias("key"), texts.alias("t")).select("key", "t.field", runs(F.col("t.text")).alias("runs"))
     placed = rows.select("key", "field", F.posexplode("runs").alias("run", "text")).select(
         "key", "field", "run", F.posexplode(run_terms(F.col("text"))).alias("offset", "term")
     )
     at = F.col("run").cast("bigint") * F.lit(_RUN_STEP) + F.col("offset")
-    return placed.groupBy("field", "term", "key").agg(F.collect_list(at).alias("positions"))
+    return placed.select("field", "term", "key", at.alias("at"))
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,7 @@ class PostingIndex:
     key_type: str = "BIGINT"
 
     def _postings(self) -> DataFrame:
-        schema = f"field STRING, term STRING, key {self.key_type}, positions ARRAY<BIGINT>, batch INT, bucket INT"
+        schema = f"field STRING, term STRING, key {self.key_type}, at BIGINT, batch INT, bucket INT"
         return self.spark.read.schema(schema).parquet(f"{self.path}/postings")
 
     def _keys(self) -> DataFrame:
@@ -89,8 +91,8 @@ class PostingIndex:
         # Every term must stand where the word has it, seen from the same start.
         starts = [
             self._read(field, [term]).select(
-                "key", F.lit(number).alias("n"), F.explode("positions").alias("at")
-            ).select("key", "n", self._start(F.col("at"), run, offset, len(terms) > 1).alias("start"))
+                "key", F.lit(number).alias("n"), self._start(F.col("at"), run, offset, len(terms) > 1).alias("start")
+            )
             for number, (run, offset, term) in enumerate(
                 (r, o, t) for r, run_ in enumerate(terms) for o, t in enumerate(run_)
             )

@@ -74,10 +74,11 @@ class DayStore:
         if folder_exists(self.spark, f"{staged}/_SUCCESS"):
             return self._publish(staged)
         new = rows.select(*self.schema.fieldNames()).withColumn("_new", F.lit(1))
-        new.persist()
+        both, merging = new, folder_exists(self.spark, self.path)
+        if merging:
+            new.persist()
         try:
-            both = new
-            if folder_exists(self.spark, self.path):
+            if merging:
                 # As many values as the calendar has days at most.
                 touched = [r[0] for r in new.select(self._part(F.col("dt"))).distinct().collect()]
                 both = self.read_parts(touched).withColumn("_new", F.lit(0)).unionByName(new)
@@ -85,7 +86,8 @@ class DayStore:
             merged = latest_per_key(both, ["dt", *self.keys], [*order, F.col("_new").desc()], spread=True)
             self._write(merged.drop("_new"), staged)
         finally:
-            new.unpersist()
+            if merging:
+                new.unpersist()
         return self._publish(staged)
 
     def replace(self, rows: DataFrame, parts: Sequence[str], commit: str) -> None:
