@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.text import highlight, matches_any_word, query_terms
 from tillstream.operators.postings import PostingIndex, postings
-from tillstream.operators.search import must_match, should_match
+from tillstream.operators.search import must_match, page, page_after, should_match
 from tillstream.plans import batch
 from tillstream.session import workspace
 
@@ -90,3 +90,17 @@ def test_search_reads_postings_only(spark, folder):
     # Of the documents neither texts nor languages are filtered; the postings' folders are chosen by term.
     assert documents and all("text:string" not in line for line in documents)
     assert "PartitionFilters: [bucket" in plan and "In(term" in plan
+
+
+def test_pages_by_key_equal_pages_by_offset(spark):
+    rows = spark.range(997).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 50 != 7, F.col("id") * 31 % 13).alias("n")
+    )
+    last, number, seen = None, 0, []
+    while got := page_after(rows, ["n", "k"], last, 100).collect():
+        assert got == page(rows.dropna(), [F.col("n"), F.col("k")], number, 100).collect()
+        last, number, seen = (got[-1].n, got[-1].k), number + 1, seen + got
+    assert len(seen) == rows.dropna().count()
+    # A page far behind keeps as many rows as the first.
+    plan = page_after(rows, ["n", "k"], (12, 900), 100)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=100" in plan

@@ -46,6 +46,23 @@ def page(df: DataFrame, order: Sequence[Column], number: int, size: int) -> Data
     return df.orderBy(*order).offset(number * size).limit(size)
 
 
+def page_after(df: DataFrame, keys: Sequence[str], last: Sequence | None, size: int) -> DataFrame:
+    """The `size` rows that follow the key `last` (None: the first ones) by ascending `keys`.
+
+    Whatever page it is, each task keeps `size` rows. Keys must be unique together; rows with a null in
+    one are on no page.
+    """
+    rows = df.dropna(subset=list(keys))
+    if last is not None:
+        after, equal = F.lit(False), F.lit(True)
+        for key, value in zip(keys, last):
+            after = after | (equal & (F.col(key) > F.lit(value)))
+            equal = equal & (F.col(key) == F.lit(value))
+        # The first key's bound alone can be pushed to the scan.
+        rows = rows.filter(F.col(keys[0]) >= F.lit(last[0])).filter(after)
+    return rows.orderBy(*keys).limit(size)
+
+
 def total_hits(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"))
 

@@ -657,6 +657,14 @@ def keyword_page(spark: SparkSession, d: str) -> DataFrame:
     return search.page(hits, [F.col("n_chars"), F.col("doc_id")], 1, 20)
 
 
+@query
+def keyword_page_after(spark: SparkSession, d: str) -> DataFrame:
+    """The second page by the key of the last row of the first."""
+    hits, keys = _hits(spark, d).select("doc_id", "lang", "n_chars"), ["n_chars", "doc_id"]
+    seen = search.page_after(hits, keys, None, 20).select(*keys).collect()
+    return search.page_after(hits, keys, tuple(seen[-1]) if seen else None, 20)
+
+
 def _detail_hits(spark: SparkSession, d: str) -> DataFrame:
     return search.detail_hits(records.order_lines(spark, d), records.skus(spark, d), KEYWORD)
 

@@ -338,6 +338,7 @@ SQL["stream_corrupt_side"] = _sql(EVENTS, body="""
     SELECT 'stored' AS kind, CAST(ts_ms AS VARCHAR) AS value FROM ev WHERE event_id % 50 <> 0
     UNION ALL SELECT 'corrupt', substr('{"ts":' || ts_ms || ',', 1, 20) FROM ev WHERE event_id % 50 = 0""")
 
+SQL["keyword_page_after"] = SQL["keyword_page"]
 SQL["stream_sku_late_names"] = SQL["sku_enrich"]
 SQL["order_user_level"] = _sql(ORDERS, USERS, body="""
     SELECT order_id, user_id, CASE WHEN user_id % 3 = 0 AND create_ts >= TIMESTAMP '1998-01-01' THEN 'VIP'
