@@ -8,7 +8,7 @@ import pytest
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from tests.compare import difference, duck, duck_rows, spark_rows
-from tillstream.llm import hnsw
+from tillstream.llm import hnsw, mixing
 
 from .conftest import shingles, texts_of
 from .test_text_operators import brute_spans
@@ -153,3 +153,36 @@ def test_stages(spark, folder, odd_docs, no_docs):
 def test_pipeline(spark, folder):
     packed = corpus_pipeline.run(spark, folder).collect()
     assert packed and max(r.offset + r.length for r in packed) <= 2048
+
+
+def test_near_copies_go_by_row_not_by_id(spark):
+    """One id on two texts: each text is judged on its own, and one text of each group stays."""
+    def words(first, last):
+        return " ".join(f"w{k}" for k in range(first, last))
+
+    rows = [
+        (1, words(0, 60), "x", "s", 1),
+        (2, words(0, 61), "x", "s", 1),  # near copy of 1
+        (2, words(900, 960), "x", "s", 1),  # alone, under the same id
+        (3, words(500, 560), "x", "s", 1),
+        (3, words(500, 561), "x", "s", 1),  # both texts of 3 are copies of each other
+        (4, words(700, 760), "x", "s", 1),
+        (4, words(700, 760), "x", "t", 1),  # same id and text, other source
+        (5, "", "x", "s", 0),
+        (None, words(0, 60), "x", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    got = corpus_pipeline.near_copies(spark, docs, "").collect()
+    left = sorted((r.doc_id or 0, r.text) for r in got if r.doc_id != 3)
+    assert left == sorted(
+        [(0, words(0, 60)), (1, words(0, 60)), (2, words(900, 960)), (4, words(700, 760)), (5, "")]
+    )
+    assert [r.doc_id for r in got].count(3) == 1
+    assert {r.source for r in got if r.doc_id == 4} == {"s"}
+
+
+def test_rows_without_an_id_are_drawn_each_on_its_own(spark):
+    rows = [(None, f"text {k} of some words", "x", "s", 1) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    drawn = mixing.mix(mixing.labelled(docs), fraction=0.5).count()
+    assert 120 < drawn < 280

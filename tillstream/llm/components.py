@@ -45,6 +45,8 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components are not finished after {most_rounds} rounds")
     leaves = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return leaves.union(roots)

@@ -111,7 +111,8 @@ def mix(
     """Draw documents so that about `fraction` of all tokens are kept at the target shares.
 
     `docs` has `doc_id`, the `DIMENSIONS` and `tokens`; `targets` may give shares by label for any
-    dimension, the others are tempered. Adds `probability`.
+    dimension, the others are tempered. Adds `probability`. A document is drawn by a hash of its id and,
+    where `docs` has it, its `text`: rows without an id are drawn each by their text, equal rows together.
     """
     cells = (
         docs.groupBy(*DIMENSIONS)
@@ -142,5 +143,6 @@ def mix(
     # The table has one row per cell and has just been on the driver.
     joined = docs.drop("probability").join(F.broadcast(table), same)
     joined = joined.drop(*[f"_mix_{d}" for d in DIMENSIONS])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
+    drawn_by = [c for c in ("doc_id", "text") if c in docs.columns]
+    draw = F.pmod(F.xxhash64(*drawn_by, F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
     return joined.filter(draw < F.col("probability"))

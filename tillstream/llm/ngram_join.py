@@ -11,8 +11,13 @@ pairs of rows. It is worked out in blocks of columns, one or more per task, and
   discarded.
 * Within a column not all pairs are multiplied. First every row is paired with the column's pivot
   of like size, and each row's best pair is verified over its whole sets. Rows so linked are one
-  component. Then only pairs from different components are multiplied and verified. No link between
-  components is lost, and a column of a thousand near copies costs a thousand pairs, not a million.
+  component, and a column whose rows are all of one is done. In the columns left open rows are paired with
+  their neighbours, by size and then in an order by hash, and linked rows are contracted after each round.
+* What is then open is multiplied block by block in the tasks: each pair of rows of different components
+  whose sizes and places of the common entry still allow a link. Rows of overlap a link needs, alpha, are
+  3/7 of both sizes, so a common entry is looked for among the first n - alpha + 1 of either row. A column
+  of more than `TILE` rows is cut into tiles, so no task holds a hot column. No link between components is
+  lost, and a column of a thousand near copies costs thousands of pairs, not a million.
 
 How frequent an n-gram is only decides the order of columns, so an estimate does: all entries are counted
 in `COUNTERS` counters by hash. A task counts what it reads and passes its counters on in chunks.
@@ -46,6 +51,10 @@ COUNTERS = 1 << 21
 _CHUNK = 1 << 13
 # Rows compared with one pivot by one task.
 GROUP = 2000
+# Rows of an open column that one task pairs with each other, or with as many others.
+TILE = 8192
+# Pairs of rows looked at together within a tile.
+STEP = 1 << 20
 # Bits of the filter over documents whose sets are asked for. More documents than it can tell apart
 # let more rows pass; they are dropped by the join that follows.
 FILTER_BITS = 1 << 25
@@ -97,8 +106,9 @@ def _counter(grams: np.ndarray) -> np.ndarray:
 
 
 def rows_of(docs: DataFrame, text: str, n: int) -> DataFrame:
-    """doc_id, `row` (identity of its set), `size`; and each task's counters, by `chunk`."""
-    names = ["doc_id", "row", "size", "chunk", "counts"]
+    """doc_id, `digest` of its text, `row` (identity of its set), `size`; and each task's counters, by
+    `chunk`."""
+    names = ["doc_id", "digest", "row", "size", "chunk", "counts"]
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.uint32)
@@ -109,17 +119,17 @@ def rows_of(docs: DataFrame, text: str, n: int) -> DataFrame:
             nothing = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
             rows = [pa.array([_identity(s) for s in sets], pa.int64())]
             rows.append(pa.array([len(s) for s in sets], pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *rows, *nothing], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *rows, *nothing], names)
         chunks = counts.reshape(-1, _CHUNK)
         filled = np.flatnonzero(chunks.any(axis=1))
         data = [zlib.compress(chunks[k].tobytes(), 1) for k in filled]
-        nothing = [pa.nulls(len(filled), pa.int64())] * 3
+        nothing = [pa.nulls(len(filled), t) for t in (pa.int64(), pa.string(), pa.int64(), pa.int64())]
         yield pa.RecordBatch.from_arrays(
             [*nothing, pa.array(filled, pa.int32()), pa.array(data, pa.binary())], names
         )
 
-    schema = "doc_id long, row long, size long, chunk int, counts binary"
-    return _source(docs, text).mapInArrow(made, schema)
+    schema = "doc_id long, digest string, row long, size long, chunk int, counts binary"
+    return _source(docs, text).withColumn("digest", F.md5("_text")).mapInArrow(made, schema)
 
 
 def counters(rows: DataFrame) -> np.ndarray:
@@ -166,7 +176,7 @@ def _blocks(docs: DataFrame, text: str, n: int, counts: np.ndarray) -> DataFrame
         counts = shared.value
         seen: set[int] = set()
         for batch in pieces(batches, "_text", 2 << 20):
-            grams, rows, sizes = [], [], []
+            grams, rows, sizes, spots = [], [], [], []
             for text in batch.column(1).to_pylist():
                 members = ngram_set(text, n)
                 row = _identity(members)
@@ -178,18 +188,19 @@ def _blocks(docs: DataFrame, text: str, n: int, counts: np.ndarray) -> DataFrame
                 part = _prefix(members, counts)
                 grams.append(part)
                 rows.append(np.full(len(part), row, np.int64))
-                sizes.append(np.full(len(part), len(members), np.int64))
+                sizes.append(np.full(len(part), len(members), np.int32))
+                spots.append(np.arange(len(part), dtype=np.int32))
             if not grams:
                 continue
             gram = np.concatenate(grams)
             block = (mixed(gram) % np.uint64(count)).astype(np.int64)
             order = np.argsort(block, kind="stable")
             gram, block = gram[order], block[order]
-            row, size = np.concatenate(rows)[order], np.concatenate(sizes)[order]
+            row, size, spot = (np.concatenate(x)[order] for x in (rows, sizes, spots))
             starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
             ends = np.r_[starts[1:], len(block)]
             data = [
-                gram[a:b].tobytes() + row[a:b].tobytes() + size[a:b].astype("<i4").tobytes()
+                b"".join(x[a:b].tobytes() for x in (gram, row, size, spot))
                 for a, b in zip(starts, ends)
             ]
             yield pa.RecordBatch.from_arrays(
@@ -203,33 +214,34 @@ def _blocks(docs: DataFrame, text: str, n: int, counts: np.ndarray) -> DataFrame
 
 
 def _columns(blocks: DataFrame) -> DataFrame:
-    """Columns with two rows or more: (col, weight, rows, sizes); equal columns of a task are one with
-    their number as weight. Rows are ordered by size."""
+    """Columns with two rows or more: (col, weight, rows, sizes, spots); equal columns of a task are one
+    with their number as weight and the first of their places in each row. Rows are ordered by size."""
     spark = blocks.sparkSession
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, rows, sizes = [], [], []
+        grams, rows, sizes, spots = [], [], [], []
         for batch in batches:
             for data in batch.column(1):
                 view = data.as_buffer()
-                k = view.size // 20
+                k = view.size // 24
                 grams.append(np.frombuffer(view, np.uint64, k))
                 rows.append(np.frombuffer(view, np.int64, k, 8 * k))
-                sizes.append(np.frombuffer(view, "<i4", k, 16 * k))
+                sizes.append(np.frombuffer(view, np.int32, k, 16 * k))
+                spots.append(np.frombuffer(view, np.int32, k, 20 * k))
         if not grams:
             return
-        gram, row, size = map(np.concatenate, (grams, rows, sizes))
+        gram, row, size, spot = map(np.concatenate, (grams, rows, sizes, spots))
         order = np.argsort(gram, kind="stable")
         # Columns of one row say nothing; dropped before the rest is put in order.
         gram = gram[order]
         twin = np.zeros(len(gram), bool)
         twin[1:] = gram[1:] == gram[:-1]
         twin[:-1] |= twin[1:]
-        gram, row, size = gram[twin], row[order][twin], size[order][twin]
+        gram, row, size, spot = gram[twin], *(x[order][twin] for x in (row, size, spot))
         order = np.lexsort((row, size, gram))
-        gram, row, size = gram[order], row[order], size[order]
+        gram, row, size, spot = (x[order] for x in (gram, row, size, spot))
         fresh = np.r_[True, (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])][: len(gram)]
-        gram, row, size = gram[fresh], row[fresh], size[fresh]
+        gram, row, size, spot = (x[fresh] for x in (gram, row, size, spot))
         starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])[: len(gram)]
         ends = np.r_[starts[1:], len(gram)]
         keep = ends - starts > 1
@@ -238,7 +250,14 @@ def _columns(blocks: DataFrame) -> DataFrame:
             return
         sums = np.add.reduceat(mixed(row.view(np.uint64)), np.c_[starts, ends].ravel()[:-1])[::2]
         key = mixed(sums + (ends - starts).astype(np.uint64))
-        _, first, weight = np.unique(key, return_index=True, return_counts=True)
+        _, first, same, weight = np.unique(
+            key, return_index=True, return_inverse=True, return_counts=True
+        )
+        by_key = np.split(np.argsort(same, kind="stable"), np.cumsum(weight)[:-1])
+
+        def least(k: int) -> np.ndarray:
+            return np.minimum.reduce([spot[starts[c] : ends[c]] for c in by_key[k]])
+
         for a in range(0, len(first), 20_000):
             part = first[a : a + 20_000]
             yield pa.RecordBatch.from_arrays(
@@ -247,13 +266,14 @@ def _columns(blocks: DataFrame) -> DataFrame:
                     pa.array(weight[a : a + 20_000], pa.int64()),
                     pa.array([row[starts[k] : ends[k]] for k in part], pa.list_(pa.int64())),
                     pa.array([size[starts[k] : ends[k]] for k in part], pa.list_(pa.int32())),
+                    pa.array([least(k) for k in range(a, a + len(part))], pa.list_(pa.int32())),
                 ],
-                ["col", "weight", "rows", "sizes"],
+                ["col", "weight", "rows", "sizes", "spots"],
             )
 
     dealt = blocks.repartition(4 * partitions(spark), "block")
     return dealt.mapInArrow(
-        made, "col long, weight long, rows array<long>, sizes array<int>"
+        made, "col long, weight long, rows array<long>, sizes array<int>, spots array<int>"
     )
 
 
@@ -312,38 +332,154 @@ def _pivot_pairs(columns: DataFrame) -> DataFrame:
     )
 
 
-def _cross_pairs(columns: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): pairs of rows in different components that may link."""
-    entries = columns.select(
-        "col", "weight", F.explode(F.arrays_zip("rows", "sizes")).alias("e")
-    ).select("col", "weight", F.col("e.rows").alias("row"), F.col("e.sizes").cast("long").alias("size"))
-    told = entries.join(found.withColumnRenamed("node", "row"), "row", "left").withColumn(
-        "component", F.coalesce("component", "row")
+def _entries(columns: DataFrame) -> DataFrame:
+    """(col, row, weight, size, spot). A column may come from several tasks under one name."""
+    single = columns.select("col", "weight", F.explode(F.arrays_zip("rows", "sizes", "spots")).alias("e"))
+    return single.groupBy("col", F.col("e.rows").alias("row")).agg(
+        F.sum("weight").alias("weight"),
+        F.first("e.sizes").alias("size"),
+        F.min("e.spots").alias("spot"),
+    )
+
+
+def _open(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """Entries of the columns that hold rows of two components, with `component` and the column's
+    number of `parts`."""
+    told = (
+        entries.select("col", "row", "weight", "size", "spot")
+        .join(found.withColumnRenamed("node", "row"), "row", "left")
+        .withColumn("component", F.coalesce("component", "row"))
     )
-    mixed_columns = (
+    columns = (
         told.groupBy("col")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.ceil(F.count(F.lit(1)) / TILE).alias("parts"),
+        )
         .filter("least <> most")
-        .select("col")
+        .select("col", "parts")
     )
-    open_ = settled(told.join(mixed_columns, "col"), "open")
-    a, b = open_.alias("x"), open_.alias("y")
-    near = "3 * greatest(x.size, y.size) <= 4 * least(x.size, y.size)"
-    assert (TOP, BOTTOM) == (3, 4)
-    pairs = a.join(b, F.expr(f"x.col = y.col and x.component < y.component and {near}"))
-    return (
-        pairs.groupBy(
-            F.col("x.row").alias("a"),
-            F.col("y.row").alias("b"),
-            F.col("x.size").alias("a_size"),
-            F.col("y.size").alias("b_size"),
+    return settled(told.join(columns, "col"), "open")
+
+
+def _part():
+    return F.pmod(F.xxhash64("row"), F.col("parts"))
+
+
+def _neighbours(open_: DataFrame, by_size: bool) -> DataFrame:
+    """(a, b): for each row of an open column the neighbour of another component it most often has."""
+    place = F.col("size").cast("long") if by_size else F.xxhash64("row", F.lit(1))
+    spark = open_.sparkSession
+    dealt = (
+        open_.select("col", _part().alias("part"), place.alias("place"), "row", "component", "weight")
+        .repartition(partitions(spark), "col", "part")
+        .sortWithinPartitions("col", "part", "place", "row")
+    )
+
+    def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.stack([batch.column(c).to_numpy() for c in ("col", "part", "row", "component", "weight")])
+            if last is not None:
+                rows = np.concatenate([last, rows], axis=1)
+            last = rows[:, -1:]
+            x, y = rows[:, :-1], rows[:, 1:]
+            side = (x[0] == y[0]) & (x[1] == y[1]) & (x[3] != y[3])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v[side], pa.int64()) for v in (x[2], y[2], x[4])], ["a", "b", "count"]
+            )
+
+    pairs = dealt.mapInArrow(made, "a long, b long, count long")
+    both = pairs.union(pairs.select("b", "a", "count"))
+    best = Window.partitionBy("b").orderBy(F.desc("count"), "a")
+    chosen = both.groupBy("a", "b").agg(F.sum("count").alias("count"))
+    chosen = chosen.withColumn("nth", F.row_number().over(best)).filter("nth = 1")
+    return chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _multiplied(rows: np.ndarray) -> Iterator[np.ndarray]:
+    """Pairs (a, b) of one tile whose sizes and places allow a link. `rows`: row, size, spot, component,
+    part, ordered by size; rows of one part only pair with each other where the tile has but one."""
+    row, size, spot, component, part = rows
+    ends = np.searchsorted(size, BOTTOM * size // TOP, "right")
+    count = ends - np.arange(len(row)) - 1
+    total = np.cumsum(count)
+    mixed_parts = part[0] != part.min() or part.min() != part.max()
+    start = 0
+    while start < len(row):
+        stop = max(start + 1, np.searchsorted(total, (total[start - 1] if start else 0) + STEP, "right"))
+        x = np.repeat(np.arange(start, stop), count[start:stop])
+        before = np.repeat(np.cumsum(count[start:stop]) - count[start:stop], count[start:stop])
+        y = x + 1 + np.arange(len(x)) - before
+        both = size[x] + size[y]
+        need = -(-TOP * both // (TOP + BOTTOM))
+        keep = (component[x] != component[y]) & (spot[x] <= size[x] - need) & (spot[y] <= size[y] - need)
+        if mixed_parts:
+            keep &= part[x] != part[y]
+        yield np.stack([row[x[keep]], row[y[keep]]])
+        start = stop
+
+
+def _cross_pairs(open_: DataFrame) -> DataFrame:
+    """(a, b): pairs of rows in different components that may link; the product of open columns."""
+    spark = open_.sparkSession
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    tiles = (
+        open_.withColumn("part", _part())
+        .withColumn("other", other)
+        .select(
+            "col", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+            "row", F.col("size").cast("long").alias("size"), F.col("spot").cast("long").alias("spot"),
+            "component", "part",
         )
-        # A column may occur in several tasks under one name; its rows then pair more than once.
-        .agg(F.sum("x.weight").alias("count"))
-        .filter(_possible("count", "a_size", "b_size"))
-        .select("a", "b")
+        .repartition(4 * partitions(spark), "col", "low", "high")
+        .sortWithinPartitions("col", "low", "high", "size", "row")
     )
 
+    def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        pairs: list[np.ndarray] = []
+        waiting = 0
+
+        def sent() -> pa.RecordBatch:
+            out = np.unique(np.concatenate(pairs, axis=1), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], ["a", "b"])
+
+        def finished(stop: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal waiting
+            if held:
+                for found in _multiplied(np.concatenate(held, axis=1)):
+                    pairs.append(found)
+                    waiting += found.shape[1]
+                    if waiting > STEP:
+                        yield sent()
+                        pairs.clear()
+                        waiting = 0
+                held.clear()
+            if stop and pairs:
+                yield sent()
+
+        key = None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("col", "low", "high")])
+            values = ("row", "size", "spot", "component", "part")
+            rows = np.stack([batch.column(c).to_numpy() for c in values])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for begin, end in zip(np.r_[0, cuts], np.r_[cuts, batch.num_rows]):
+                if begin == end:
+                    continue
+                now = tuple(keys[:, begin])
+                if now != key:
+                    yield from finished(False)
+                    key = now
+                held.append(rows[:, begin:end])
+        yield from finished(True)
+
+    return tiles.mapInArrow(made, "a long, b long").distinct()
+
 
 def _sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFrame:
     """(doc_id, row, members) of the documents in `wanted` (and a few more): whole sets, packed, with
@@ -385,9 +521,6 @@ def _verified(docs: DataFrame, text: str, n: int, pairs: DataFrame, owners: Data
     """
     spark = docs.sparkSession
     pairs = settled(pairs, "pairs")
-    rows = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "row")
-    wanted = settled(rows.join(owners, "row"), "wanted")
-    sets = _sets(docs, text, n, wanted.select("doc_id")).join(wanted, ["doc_id", "row"])
     groups = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     groups = groups.withColumn("groups", F.ceil(F.col("n") / GROUP)).drop("n")
     dealt = pairs.join(groups, "a").select(
@@ -396,7 +529,9 @@ def _verified(docs: DataFrame, text: str, n: int, pairs: DataFrame, owners: Data
     heads = groups.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"))
     # A pivot comes first in each of its groups.
     asked = dealt.withColumn("order", F.lit(1)).unionByName(heads.withColumn("order", F.lit(0)))
-    sent = asked.join(sets.select(F.col("row").alias("b"), "members"), "b")
+    asked = settled(asked.withColumnRenamed("b", "row").join(owners, "row"), "asked")
+    sets = _sets(docs, text, n, asked.select("doc_id"))
+    sent = asked.join(sets, ["doc_id", "row"]).withColumnRenamed("row", "b")
     ordered = sent.repartition(partitions(spark), "a", "part").sortWithinPartitions(
         "a", "part", "order"
     )
@@ -426,33 +561,42 @@ def _verified(docs: DataFrame, text: str, n: int, pairs: DataFrame, owners: Data
 
 def jaccard_components(docs: DataFrame, text: str = "text", n: int = WORDS) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of every document of `docs`."""
+    return jaccard_groups(docs, text, n).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_groups(docs: DataFrame, text: str = "text", n: int = WORDS) -> DataFrame:
+    """As `jaccard_components`, with `digest`, the MD5 of the text, and `group`, the component's own
+    number: two components have the same `component_id` if one id stands on a text of each. `group` is
+    null for a null id and for a text without words."""
     read = settled(rows_of(docs, text, n), "rows")
     columns = settled(_columns(_blocks(docs, text, n, counters(read))), "columns")
-    rows = read.filter("chunk is null").select("doc_id", "row", "size")
+    rows = read.filter("chunk is null").select("doc_id", "digest", "row", "size")
     owners = settled(
         rows.filter("size > 0").groupBy("row").agg(F.min("doc_id").alias("doc_id")).filter("doc_id is not null"),
         "owners",
     )
     best = Window.partitionBy("b").orderBy(F.desc("count"), "a")
     first = _pivot_pairs(columns).withColumn("nth", F.row_number().over(best)).filter("nth = 1")
-    first = settled(first.select("a", "b"), "first")
-    links = settled(_verified(docs, text, n, first, owners), "links")
-    found = settled(components(links), "found")
-    second = _cross_pairs(columns, found)
-    tried = first.union(first.select("b", "a"))
-    second = second.join(tried, ["a", "b"], "left_anti")
-    more = settled(_verified(docs, text, n, second, owners), "links")
-    final = components(links.union(more))
+    links = settled(_verified(docs, text, n, first.select("a", "b"), owners), "links")
+    open_ = _open(_entries(columns), components(links))
+    for by_size in (True, False):
+        more = settled(_verified(docs, text, n, _neighbours(open_, by_size), owners), "links")
+        links = links.union(more)
+        open_ = _open(open_, components(links))
+    links = links.union(settled(_verified(docs, text, n, _cross_pairs(open_), owners), "links"))
+    final = settled(components(links), "found")
     named = (
         final.join(owners.withColumnRenamed("row", "node"), "node")
         .groupBy("component")
         .agg(F.min("doc_id").alias("component_id"))
         .join(final, "component")
-        .select(F.col("node").alias("row"), "component_id")
+        .select(F.col("node").alias("row"), "component_id", F.col("component").alias("group"))
     )
     # Rows without a link, too, stand for the smallest id among their copies.
     classes = owners.join(named, "row", "left").select(
-        "row", F.coalesce("component_id", "doc_id").alias("component_id")
+        "row",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("group", "row").alias("group"),
     )
     return rows.join(classes, "row", "left").select(
         "doc_id",
@@ -461,4 +605,6 @@ def jaccard_components(docs: DataFrame, text: str = "text", n: int = WORDS) -> D
         .when(F.col("size") == 0, F.col("doc_id"))
         .otherwise(F.col("component_id"))
         .alias("component_id"),
+        "digest",
+        F.when(F.col("doc_id").isNotNull() & (F.col("size") > 0), F.col("group")).alias("group"),
     )
