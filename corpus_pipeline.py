@@ -1,14 +1,16 @@
 """From raw documents to packed sequences, in five stages.
 
 1. language ID: documents without a recognisable language go, missing labels are filled in.
-2. n-gram Jaccard join: of each group of near copies the document with the smallest id stays.
+2. n-gram Jaccard join: of each group of near copies the document with the smallest id stays, under
+   one id the text with the smaller digest.
 3. secret scan: secrets are masked in the text.
 4. mixing: documents are drawn so that sources, languages and topics come near their target shares.
 5. packing: the rest is cut into sequences of 2048 tokens.
 
 Each stage takes (spark, docs, sf_dir); `run` writes what it returns and reads it again for the next.
 All but the last return the columns of `documents`. Documents with a null id are kept by the second
-stage, as they belong to no group; rows equal in all columns stay once there.
+stage, as they belong to no group, and so are texts without words; of rows equal in id and text one
+stays there, the least by its other columns.
 """
 
 from __future__ import annotations
@@ -37,11 +39,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies."""
-    found = ngram_join.jaccard_components(docs)
-    leaders = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(leaders, "doc_id", "left_semi").dropDuplicates(COLUMNS)
+    found = ngram_join.jaccard_groups(docs).filter("doc_id is not null")
+    first = F.min(F.struct("doc_id", "digest")).alias("first")
+    leaders = found.filter("group is not null").groupBy("group").agg(first).select("first.*")
+    wordless = found.filter("group is null").select("doc_id", "digest")
+    stay = leaders.union(wordless).distinct()
+    keyed = docs.select(*COLUMNS, F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    kept = keyed.join(stay, ["doc_id", "digest"], "left_semi")
+    others = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    once = kept.groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("other"))
     unnamed = docs.select(*COLUMNS).filter(F.col("doc_id").isNull())
-    return kept.unionByName(unnamed)
+    return once.select("doc_id", "text", "other.*").select(*COLUMNS).unionByName(unnamed)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
