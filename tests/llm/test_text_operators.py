@@ -131,6 +131,15 @@ def test_near_copies_against_all_pairs(spark, seed):
     assert got == brute_components(texts)
 
 
+def test_hot_columns_are_cut_into_tiles(spark, monkeypatch):
+    """Columns of more rows than a tile holds: every pair of a column still meets in one of its tiles."""
+    monkeypatch.setattr(ngram_join, "TILE", 3)
+    texts = near_copies(3)
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()}
+    assert got == brute_components(texts)
+
+
 def test_near_copies_of_odd_documents(odd_docs, no_docs):
     rows = ngram_join.jaccard_components(odd_docs).collect()
     assert len(rows) == odd_docs.count()
