@@ -24,8 +24,10 @@ _LATIN_END = "\u0250"
 _LATIN_SPACE = re.compile("[\x85\xa0]")
 _CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _WORD_ONLY = re.compile(r"[^ \t-\r]+")
-# Most entries of a cache; a full one is emptied and fills again.
-CACHED = 500_000
+# Most bytes of a worker's cache; a full one is emptied and fills again.
+CACHED_BYTES = 256 << 20
+# What Python needs for an entry beside its letters and ids: two objects and a place in the table.
+_ENTRY_BYTES = 152
 # Longer chunks are not kept.
 KEPT_LENGTH = 40
 
@@ -63,6 +65,7 @@ class Encoder:
         self.words = regex.compile(WORD_LEVEL if lower else BYTE_LEVEL).findall
         # Ids of chunks and of words; a word alone is a chunk.
         self.cache: dict[str, bytes] = {}
+        self._held = 0
 
     def _packed(self, ids: list[int]) -> bytes:
         return array(self.dtype.char, ids).tobytes()
@@ -72,8 +75,10 @@ class Encoder:
 
     def _keep(self, piece: str, ids: bytes) -> bytes:
         if len(piece) <= KEPT_LENGTH:
-            if len(self.cache) >= CACHED:
+            self._held += len(piece) + len(ids) + _ENTRY_BYTES
+            if self._held > CACHED_BYTES:
                 self.cache.clear()
+                self._held = 0
             self.cache[piece] = ids
         return ids
 
@@ -132,16 +137,15 @@ class Encoder:
         if not self.cut:
             return self.whole(text)
         chunks = self.chunks(text)
-        parts = list(map(self.cache.get, chunks))
-        if None in parts:
-            known = self.cache
-            for k, part in enumerate(parts):
-                if part is None:
-                    chunk = chunks[k]
-                    part = known.get(chunk) or self._chunk(chunk)
-                    if part is None:
-                        return self.whole(text)
-                    parts[k] = part
+        known = self.cache
+        parts = list(map(known.get, chunks))
+        k = -1
+        for _ in range(parts.count(None)):
+            k = parts.index(None, k + 1)
+            part = known.get(chunks[k]) or self._chunk(chunks[k])
+            if part is None:
+                return self.whole(text)
+            parts[k] = part
         return b"".join(parts)
 
     def ids(self, text: str) -> np.ndarray:
