@@ -23,7 +23,7 @@ from tillstream.llm import (
     tokenfile,
     vectorcodes,
 )
-from tillstream.llm.common import table
+from tillstream.llm.common import settled, table
 from tillstream.session import workspace
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -77,7 +77,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = workspace(spark, "tokens")
     tokenfile.write(docs, public_tokenizers.path(BYTE_BPE), 0, folder)
     read = tokenfile.read(spark, folder)
-    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    told = read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    # Read under the limits of `settled`: ids stay in the tasks, four numbers a document are kept.
+    return settled(told, "token_places")
 
 
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,8 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import partitions, pieces
+from tillstream.llm.common import ARROW, partitions, pieces
 from tillstream.llm.tokens import encoder
+from tillstream.session import conf_override
 
 BLOCK = 256
 # Ids after which a row of documents is closed.
@@ -175,7 +176,7 @@ def encode_rows(docs: DataFrame, path: str, end_id: int, text: str = "text") ->
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             return pa.RecordBatch.from_arrays(arrays, names)
 
-        for batch in batches:
+        for batch in pieces(batches, "_text", 2 << 20):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = tokens.encode(text) + end
                 doc_ids.append(doc_id)
@@ -194,7 +195,8 @@ def encode_rows(docs: DataFrame, path: str, end_id: int, text: str = "text") ->
 
 def write(docs: DataFrame, path: str, end_id: int, folder: str, text: str = "text") -> None:
     """Write the token files of `docs` to `folder`. The words are packed; no further compression."""
-    encode_rows(docs, path, end_id, text).write.option("compression", "none").parquet(folder)
+    with conf_override(docs.sparkSession, ARROW):
+        encode_rows(docs, path, end_id, text).write.option("compression", "none").parquet(folder)
 
 
 def read(spark, folder: str) -> DataFrame:
@@ -212,19 +214,21 @@ def read(spark, folder: str) -> DataFrame:
         # A worker that encoded before still holds words that reading has no use for.
         encoder.cache_clear()
         for batch in batches:
-            for row in batch.to_pylist():
-                words = np.frombuffer(row["words"], "<u8")
-                ids = unpack(words, np.array(row["offsets"], np.int64), row["n_ids"])
+            held = {name: batch.column(name) for name in batch.schema.names}
+            for k in range(batch.num_rows):
+                words = np.frombuffer(held["words"][k].as_buffer(), "<u8")
+                offsets = held["offsets"][k].values.to_numpy(False)
+                ids = unpack(words, offsets, held["n_ids"][k].as_py())
+                lengths = held["lengths"][k].values.to_numpy(False).astype(np.int64)
+                ends = np.cumsum(lengths)
+                starts = ends - lengths
                 data = memoryview(ids.astype("<u4").tobytes())
-                ends = np.cumsum(row["lengths"])
-                starts = ends - np.array(row["lengths"])
-                first = row["file_start"]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(row["doc_ids"], pa.int64()),
-                        pa.array([row["file"]] * len(starts), pa.int32()),
-                        pa.array(starts + first, pa.int64()),
-                        pa.array(row["lengths"], pa.int64()),
+                        held["doc_ids"][k].values,
+                        pa.array(np.full(len(starts), held["file"][k].as_py(), np.int32)),
+                        pa.array(starts + held["file_start"][k].as_py()),
+                        pa.array(lengths),
                         pa.array([data[4 * a : 4 * b] for a, b in zip(starts, ends)], pa.binary()),
                     ],
                     ["doc_id", "file", "within", "n_tokens", "ids"],
