@@ -116,7 +116,13 @@ def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the bytes of strings of 400 that also start elsewhere."""
     kept = suffix.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
     return kept.select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+        # A cut inside a character leaves bytes that are no text; each is shown as U+FFFD.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 
