@@ -35,5 +35,10 @@ def in_days(column: Column, first: str, last: str) -> Column:
     return (column >= F.lit(first).cast("timestamp_ntz")) & (column < F.lit(end).cast("timestamp_ntz"))
 
 
+def date_range(column: Column, first: str, last: str) -> Column:
+    """Whole days `first`..`last` on a date column."""
+    return column.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+
+
 def previous_day(day: str) -> str:
     return (date.fromisoformat(day) - timedelta(days=1)).isoformat()

@@ -57,7 +57,7 @@ def hour_map(hourly: DataFrame, value: str) -> DataFrame:
 
 
 def new_devices_by_day(events: DataFrame) -> DataFrame:
-    """Devices seen for the first time ever, per day."""
+    """Devices seen for the first time ever, per day, from all events; `sinks.first_seen` keeps them."""
     first = events.groupBy("mid").agg(F.min("ts").alias("ts"))
     return first.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("dt")).agg(
         F.count(F.lit(1)).alias("new_devices")

@@ -16,7 +16,7 @@ from ..session import workspace
 from ..sinks import files
 from ..sinks.days import DayStore
 from ..sources import records
-from .stored import once, shop_stores
+from .stored import first_seen, once, shop_stores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -564,7 +564,7 @@ def dau_hour_map(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def new_device_day(spark: SparkSession, d: str) -> DataFrame:
-    return serving.new_devices_by_day(records.app_events(spark, d))
+    return first_seen(spark, d, DAU_DAY).new_by_day()
 
 
 PAID = "final_detail_cents"
@@ -590,9 +590,7 @@ def order_amount_hour_compare(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def kpi_total(spark: SparkSession, d: str) -> DataFrame:
-    new_devices = serving.new_devices_by_day(records.app_events(spark, d)).filter(
-        F.col("dt") == DAU_DAY
-    )
+    new_devices = first_seen(spark, d, DAU_DAY).new_by_day(DAU_DAY)
     return serving.kpi_total(
         _dau(spark, d, DAU_DAY), new_devices, shop_stores(spark, d).wide_rows(ORDER_DAY), PAID
     )

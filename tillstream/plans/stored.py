@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..operators import ads, dws
 from ..session import file_state, workspace
 from ..sinks.days import DayStore, grain_for
+from ..sinks.first_seen import FirstSeen
+from ..sources import records
 
 _MONEY = T.DecimalType(16, 2)
 Built = TypeVar("Built")
@@ -90,3 +92,18 @@ def shop_stores(spark: SparkSession, d: str) -> ShopStores:
         return stores
 
     return once(spark, d, "shop", build)
+
+
+def first_seen(spark: SparkSession, d: str, today: str) -> FirstSeen:
+    """First days of the devices in the event log: what came before `today` in one go, then the day itself,
+    and what came after it."""
+
+    def build() -> FirstSeen:
+        events, day = records.app_events(spark, d).select("mid", "ts"), F.to_date("ts")
+        store, at = FirstSeen(spark, workspace(spark, "first-seen")), F.lit(today).cast("date")
+        store.merge(events.filter(day < at), "before")
+        store.merge(records.app_events(spark, d, today).select("mid", "ts"), today)
+        store.merge(events.filter(day > at), "after")
+        return store
+
+    return once(spark, d, f"first-seen-{today}", build, ["events"])
