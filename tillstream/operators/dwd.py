@@ -16,6 +16,24 @@ def daily_first_events(events: DataFrame) -> DataFrame:
     return first_per_key(parted, ["mid", "dt"], [F.col("ts"), F.col("event_id")])
 
 
+def kept_actives(events: DataFrame, kept: str = "24 hours") -> DataFrame:
+    """Daily actives as a state gives them that forgets a device's day once nothing came for `kept`.
+
+    Each event that comes in (`arrived`) moves the end, so a device is active once per day as long as no gap
+    is greater; after one it counts again, also for a day long past. One row per device, day and stretch:
+    its first event by arrival, when that came, when the state ends, and the number of events. On a stream
+    with a watermark on `arrived` this is the state itself.
+    """
+    by_day = events.select("mid", "ts_ms", "event_id", "arrived", F.date_format("ts", "yyyy-MM-dd").alias("dt"))
+    stretches = by_day.groupBy("mid", "dt", F.session_window("arrived", kept).alias("_kept")).agg(
+        F.min(F.struct("arrived", "ts_ms", "event_id")).alias("_first"), F.count(F.lit(1)).alias("n_events")
+    )
+    return stretches.select(
+        "mid", "dt", F.col("_first.ts_ms").alias("ts_ms"), F.col("_first.arrived").alias("arrived"),
+        F.col("_kept.end").alias("kept_until"), "n_events",
+    )
+
+
 def dau_rows(first_events: DataFrame) -> DataFrame:
     return first_events.select(*DAU_COLUMNS)
 

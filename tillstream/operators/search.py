@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..functions.text import highlight, matches_any_word
+from .ads import shares
 from .postings import PostingIndex
 
 
@@ -79,3 +81,33 @@ def wide_hits(wide: DataFrame, day: str, keyword: str) -> DataFrame:
     """Wide rows of a day, and with the keyword in the sku name unless it is empty."""
     hits = wide.filter(F.col("dt") == day)
     return hits.filter(matches_any_word(F.col("sku_name"), keyword)) if keyword else hits
+
+
+@dataclass(frozen=True)
+class DetailSearch:
+    """Wide rows of a day with a keyword in the sku name (all if it is empty): how many there are, how they
+    divide, and pages of `size` rows by ascending `keys`, each taken from the key the last one ended with."""
+
+    wide: DataFrame
+    day: str
+    keyword: str
+    keys: tuple[str, ...]
+    size: int
+
+    def hits(self) -> DataFrame:
+        return wide_hits(self.wide, self.day, self.keyword)
+
+    def total(self) -> DataFrame:
+        return total_hits(self.hits())
+
+    def shares(self, attribute: str) -> DataFrame:
+        """Rows per value of a user attribute, and their share."""
+        counts = self.hits().groupBy(attribute).agg(F.count(F.lit(1)).alias("n"))
+        return shares(counts, attribute, "n")
+
+    def page(self, last: Sequence | None = None) -> DataFrame:
+        """The rows after the key `last`, the first ones without it."""
+        return page_after(self.hits(), self.keys, last, self.size)
+
+    def key_of(self, row: Row) -> tuple:
+        return tuple(row[key] for key in self.keys)

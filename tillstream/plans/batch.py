@@ -236,6 +236,25 @@ def dau_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dwd.daily_first_events(records.app_events(spark, d)).select("mid", "dt", "ts_ms")
 
 
+def late_events(spark: SparkSession, d: str) -> DataFrame:
+    """Log events of which a third comes in at once, a third after 23 and a third after 48 hours."""
+    hours = F.element_at(F.array(F.lit(0), F.lit(23), F.lit(48)), (F.col("event_id") % 3 + 1).cast("int"))
+    return records.app_events(spark, d).select(
+        "mid", "ts", "ts_ms", "event_id", (F.col("ts") + F.make_dt_interval(hours=hours)).alias("arrived")
+    )
+
+
+def shown_actives(rows: DataFrame) -> DataFrame:
+    times = {c: time_text(F.col(c)) for c in ("arrived", "kept_until")}
+    return rows.withColumns(times)
+
+
+@query
+def dau_kept_actives(spark: SparkSession, d: str) -> DataFrame:
+    """Daily actives by a state that ends 24 hours after a device's last event came in."""
+    return shown_actives(dwd.kept_actives(late_events(spark, d)))
+
+
 @query
 def dau_project(spark: SparkSession, d: str) -> DataFrame:
     return _dau(spark, d)
@@ -700,6 +719,38 @@ def detail_search_day(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _detail_form(spark: SparkSession, d: str) -> search.DetailSearch:
+    return search.DetailSearch(
+        shop_stores(spark, d).wide_rows(ORDER_DAY), ORDER_DAY, KEYWORD, ("order_detail_id", "order_id"), 3
+    )
+
+
+@query
+def detail_form_total(spark: SparkSession, d: str) -> DataFrame:
+    return _detail_form(spark, d).total()
+
+
+@query
+def detail_form_gender_share(spark: SparkSession, d: str) -> DataFrame:
+    return _detail_form(spark, d).shares("user_gender")
+
+
+@query
+def detail_form_age_share(spark: SparkSession, d: str) -> DataFrame:
+    return _detail_form(spark, d).shares("user_age_group")
+
+
+@query
+def detail_form_page(spark: SparkSession, d: str) -> DataFrame:
+    """The second page, by the key of the last row of the first."""
+    form = _detail_form(spark, d)
+    seen = form.page().select(*form.keys).collect()
+    return form.page(form.key_of(seen[-1]) if seen else None).select(
+        "order_detail_id", "order_id", "user_id", "sku_name", "tm_name", "final_detail_cents", "user_age_group",
+        "user_gender", "dt",
+    )
+
+
 def _detail_share(spark: SparkSession, d: str, attribute: str) -> DataFrame:
     """Share of a user attribute among the lines a keyword search finds."""
     per_order = _detail_hits(spark, d).groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))

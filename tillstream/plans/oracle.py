@@ -361,3 +361,33 @@ SQL["stream_dim_loaders"] = _sql(PROVINCES, USERS, SKUS, body=" UNION ALL ".join
     _loaded("trademark", "sku", "tm_id", "tm_id", "tm_name"),
     _loaded("category3", "sku", "category3_id", "length(category3_id)", "category3_name"),
 )))
+
+_FORM = f"""form AS (
+  SELECT order_detail_id, s.order_id, s.user_id, sku_name, tm_name, final_detail_cents,
+         age_group AS user_age_group, gender_name AS user_gender, dt
+  FROM split s JOIN sku USING (sku_id) LEFT JOIN person p ON p.user_id = s.user_id
+  WHERE dt = '1996-09-17' AND {_word('sku_name', 'red')})"""
+
+
+def _form(body: str) -> str:
+    return _sql(*_SPL, USERS, SKUS, _FORM, body=body)
+
+
+SQL["detail_form_total"] = _form("SELECT count(*) AS total FROM form")
+SQL["detail_form_gender_share"] = _form(_share("form", "user_gender"))
+SQL["detail_form_age_share"] = _form(_share("form", "user_age_group"))
+SQL["detail_form_page"] = _form("SELECT * FROM form ORDER BY order_detail_id, order_id LIMIT 3 OFFSET 3")
+
+SQL["dau_kept_actives"] = _sql(EVENTS, """late AS (
+  SELECT *, ts + to_hours(CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 23 ELSE 48 END) AS came FROM ev),
+gaps AS (
+  SELECT *, CASE WHEN came - lag(came) OVER (PARTITION BY mid, dt ORDER BY came, ts_ms, event_id) <= INTERVAL 24 HOUR
+                 THEN 0 ELSE 1 END AS begins FROM late),
+stretch AS (
+  SELECT *, sum(begins) OVER (PARTITION BY mid, dt ORDER BY came, ts_ms, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nr FROM gaps)""", body="""
+  SELECT mid, dt, first(ts_ms ORDER BY came, ts_ms, event_id) AS ts_ms,
+         strftime(min(came), '%Y-%m-%d %H:%M:%S') AS arrived,
+         strftime(max(came) + INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S') AS kept_until, count(*) AS n_events
+  FROM stretch GROUP BY mid, dt, nr""")
+SQL["stream_dau_kept_actives"] = SQL["dau_kept_actives"]

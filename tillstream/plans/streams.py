@@ -215,6 +215,21 @@ def stream_dau_dedup(spark: SparkSession, d: str) -> DataFrame:
     return jobs.daily_first(spark, replay.path("dau")).select("mid", "dt", "ts_ms")
 
 
+@query
+def stream_dau_kept_actives(spark: SparkSession, d: str) -> DataFrame:
+    """The same as a stream in the order events came in; a last one, ten days on, ends all states."""
+    replay = Replay(spark, "dau-kept")
+    rows = batch.late_events(spark, d)
+    replay.land(rows, "arrived", "APP_EVENT", 3)
+    last = rows.agg(F.max("arrived").alias("arrived")).select(
+        F.lit("none").alias("mid"), "arrived", F.col("arrived").alias("ts"), F.lit(0).cast("bigint").alias("ts_ms"),
+        F.lit(-1).cast("bigint").alias("event_id"),
+    ).withColumn("arrived", F.col("arrived") + F.expr("INTERVAL 10 DAYS")).select(*rows.columns)
+    replay.append(last.select(F.lit(None).alias("key"), json_of(*last.columns).alias("value")), "APP_EVENT")
+    replay.drain(jobs.kept_actives(replay.stream("APP_EVENT", rows.schema), replay.path("actives")))
+    return batch.shown_actives(spark.read.parquet(replay.path("actives")))
+
+
 @query
 def stream_sliding_counts(spark: SparkSession, d: str) -> DataFrame:
     replay = Replay(spark, "sliding")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.jsontext import corrupt_rows, good_rows, keyed_json, parse_typed
-from ..operators import dims, dws, ods
+from ..operators import dims, dwd, dws, ods
 from ..operators.keyed import first_per_key, latest_per_key
 from ..session import folder_exists
 from ..sinks.files import BatchWriter, batch_writer, upsert_writer
@@ -81,6 +81,13 @@ def first_events(log_lines: DataFrame, path: str, state_kept: str = "1 day") ->
     return per_batch(first.select("mid", "first.*"), batch_writer(path), "update")
 
 
+def kept_actives(events: DataFrame, path: str, kept: str = "24 hours", late: str = "1 hour") -> DataStreamWriter:
+    """Daily actives whose state lives until `kept` after the device's last event of the day came in. A row is
+    written when its state ends; `first_events` tells the first event at once."""
+    rows = dwd.kept_actives(events.withWatermark("arrived", late), kept)
+    return append_files(rows, path)
+
+
 def daily_first(spark: SparkSession, path: str) -> DataFrame:
     """Current DAU rows from the batches written by `first_events`."""
     rows = spark.read.parquet(path)
