@@ -11,6 +11,7 @@ from tillstream.functions.jsontext import good_rows, parse_typed
 from tillstream.plans import streams
 from tillstream.plans.streams import Replay
 from tillstream.schemas import ORDER_DONE
+from tillstream.session import folder_names
 from tillstream.sinks import files, results
 from tillstream.sources import records, topics
 from tillstream.streaming import changes, jobs, run
@@ -284,3 +285,14 @@ def test_interval_trigger(spark):
     finally:
         query.stop()
     assert spark.read.parquet(replay.path("events")).count() == 1
+
+
+def test_staged_messages_go_once_they_have_landed_and_topics_lie_in_the_small_codec(spark):
+    replay = Replay(spark, "staged")
+    rows = spark.range(1000).select("id", F.timestamp_seconds(F.col("id")).alias("at_time")).repartition(
+        2 * replay.files, "id")
+    replay.land(rows, "at_time", "T", 3)
+    assert folder_names(spark, replay.path("staged-T")) == []
+    assert spark.read.parquet(replay.path("T")).count() == 1000
+    files = [name for name in folder_names(spark, replay.path("T")) if name.endswith(".parquet")]
+    assert len(files) <= 3 * replay.files and all(".zstd." in name for name in files)
