@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import ads, dims, dwd, dws, ods, search, serving
-from tillstream.plans import batch
+from tillstream.plans import batch, stored
 from tillstream.sinks import files
 from tillstream.sources import records
 
@@ -211,3 +211,37 @@ def test_changes_without_a_type_pass(spark):
 def test_bands_follow_the_greatest_value(spark):
     df = spark.createDataFrame([(0,), (599,), (6000,)], "v BIGINT")
     assert rows_of(ads.value_bands(df, "v")) == [(0, 0), (599, 0), (6000, 5)]
+
+
+def test_lines_move_once_where_no_order_is_hot(spark):
+    """Orders, lines and skus that come twice, lines of nothing and lines without order or sku."""
+    orders = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c")], "order_id BIGINT, order_status STRING")
+    rows = [(10, 1, 7, 1, 100, 33), (11, 1, 8, 2, 50, 17), (11, 1, 8, 2, 50, 17), (12, 1, None, 1, 0, 0),
+            (20, 2, 7, 1, 10, 5), (21, 2, 9, 1, 20, 9), (30, None, 7, 1, 5, 5), (40, 9, 7, 1, 5, 5)]
+    lines = spark.createDataFrame(rows, "order_detail_id BIGINT, order_id BIGINT, sku_id BIGINT, sku_num BIGINT, line_cents BIGINT, paid_cents BIGINT")
+    skus = spark.createDataFrame(
+        [(7, 1, "x", 4, "K"), (8, 1, "y", 4, None), (8, 2, "z", 5, "K")],
+        "sku_id BIGINT, spu_id BIGINT, sku_name STRING, tm_id BIGINT, category3_id STRING")
+    names = [spark.createDataFrame(r, k) for r, k in (
+        ([("K", "k")], "category3_id STRING, category3_name STRING"), ([(4, "four")], "tm_id BIGINT, tm_name STRING"),
+        ([(1, "one")], "spu_id BIGINT, spu_name STRING"))]
+    once = dws.unique_lines(lines)
+    before = dims.add_sku(
+        dws.allocate(records.orders_with_amounts(orders, once), once), dims.enrich_skus(skus, *names))
+    moved = dws.allocate_by_order(orders, dims.with_skus(lines, skus))
+    now = dims.add_listed_skus(moved, *names)
+    columns = sorted(set(before.columns) & set(now.columns))
+    assert {"final_detail_cents", "benefit_reduce_cents", "freight_cents", "sku_name", "spu_name", "tm_name", "category3_name"} <= set(columns)
+    assert rows_of(now.select(columns)) == rows_of(before.select(columns)) and now.count() == 8
+    assert not dws.has_hot_order(lines, 4) and dws.has_hot_order(lines, 3)
+
+
+def test_resent_store_builds_no_other_store(spark, folder, monkeypatch):
+    monkeypatch.setattr(stored, "_BUILT", {})
+
+    def built(*_):
+        raise AssertionError("the wide table is not needed")
+
+    monkeypatch.setattr(batch, "shop_stores", built)
+    got = batch.order_wide_latest_amount(spark, folder)
+    assert got.agg(F.sum("n_lines")).first()[0] == records.order_lines(spark, folder).count()

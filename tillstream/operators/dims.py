@@ -71,3 +71,20 @@ def add_user(orders: DataFrame, labelled_users: DataFrame) -> DataFrame:
 def add_sku(lines: DataFrame, enriched_skus: DataFrame) -> DataFrame:
     columns = ["sku_id", "sku_name", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"]
     return lines.join(enriched_skus.select(*columns), "sku_id", "left")
+
+
+def with_skus(lines: DataFrame, skus: DataFrame) -> DataFrame:
+    """Lines with the sku rows of their sku as an array, so that there are as many lines as before; see
+    `add_listed_skus`."""
+    columns = ["spu_id", "sku_name", "tm_id", "category3_id"]
+    listed = skus.groupBy("sku_id").agg(F.collect_list(F.struct(*columns)).alias("_skus"))
+    return lines.join(listed, "sku_id", "left")
+
+
+def add_listed_skus(
+    rows: DataFrame, categories: DataFrame, trademarks: DataFrame, spus: DataFrame
+) -> DataFrame:
+    """What `add_sku` gives, from the arrays of `with_skus`: the names are looked up last, from tables of a
+    few rows."""
+    named = rows.select("*", F.explode_outer("_skus").alias("_sku")).select("*", "_sku.*").drop("_sku", "_skus")
+    return enrich_skus(named, categories, trademarks, spus)

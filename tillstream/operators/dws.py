@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.money import prorate, to_decimal
 from ..schemas import ORDER_WIDE_COLUMNS, ORDER_WIDE_MONEY
@@ -10,6 +10,9 @@ from .keyed import first_per_key, latest_per_key
 
 LINE_KEY = ["order_id", "order_detail_id"]
 
+# Lines from which on an order is too much for one task.
+HOT_LINES = 100_000
+
 
 def join_wide(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Each order line with its order. A skewed order is split at run time."""
@@ -66,6 +69,35 @@ def allocate(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
+def has_hot_order(lines: DataFrame, most: int = HOT_LINES) -> bool:
+    """Whether an order has more than `most` lines; counted in the map tasks first."""
+    counts = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+    return not counts.filter(F.col("n") > most).isEmpty()
+
+
+def allocate_by_order(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """`allocate` of `unique_lines`, with the totals of the orders, where no order is hot.
+
+    Lines move once, by order: they are made unique, summed and allocated where they then lie.
+    """
+    by_order = Window.partitionBy("order_id")
+    once = first_per_key(lines.repartition("order_id"), LINE_KEY, [F.col("order_detail_id")])
+    totals = once.withColumns({
+        "original_total_cents": F.sum("line_cents").over(by_order),
+        "final_total_cents": F.sum("paid_cents").over(by_order),
+    }).drop("paid_cents")
+    shares = totals.join(orders, "order_id").withColumns({
+        "benefit_reduce_cents": F.col("original_total_cents") - F.col("final_total_cents"),
+        "freight_cents": F.lit(0).cast("bigint"),
+        "_share": allocated_share(),
+    })
+    paid = F.when(F.col("line_cents") > 0, F.col("order_detail_id"))
+    last = F.coalesce(F.max(paid).over(by_order), F.max("order_detail_id").over(by_order))
+    rest = F.col("final_total_cents") - F.sum("_share").over(by_order)
+    extra = F.when(F.col("order_detail_id") == last, rest).otherwise(F.lit(0))
+    return shares.withColumn("final_detail_cents", F.col("_share") + extra).drop("_share")
+
+
 def unit_price(wide: DataFrame) -> DataFrame:
     return wide.withColumn(
         "sku_price_cents", prorate(F.col("line_cents"), F.lit(1).cast("bigint"), F.col("sku_num"))

@@ -16,7 +16,7 @@ from ..session import workspace
 from ..sinks import files
 from ..sinks.days import DayStore
 from ..sources import records
-from .stored import first_seen, once, shop_stores
+from .stored import first_seen, line_grain, once, shop_stores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -343,18 +343,22 @@ def new_customers_anti(spark: SparkSession, d: str) -> DataFrame:
 
 def full_wide(spark: SparkSession, d: str) -> DataFrame:
     """The whole wide table, in cents and with `create_time` as a timestamp."""
-    lines = dws.unique_lines(records.order_lines(spark, d))
-    flagged = dwd.flag_first_orders(records.orders(spark, d))
-    facts = records.orders_with_amounts(flagged, lines)
+    lines = records.order_lines(spark, d)
+    facts = dwd.flag_first_orders(records.orders(spark, d))
     # One lookup of the user gives both the province key and the labels.
     people = _users(spark, d).select(
         "user_id", "province_id", F.col("age_group").alias("user_age_group"),
         F.col("gender_name").alias("user_gender"),
     )
-    facts = facts.join(people, "user_id", "left")
-    facts = dims.add_province(facts, records.provinces(spark, d))
-    allocated = dws.allocate(facts, lines)
-    return dws.order_wide(dims.add_sku(allocated, enriched_skus(spark, d)))
+    facts = dims.add_province(facts.join(people, "user_id", "left"), records.provinces(spark, d))
+    if dws.has_hot_order(lines):
+        once = dws.unique_lines(lines)
+        allocated = dws.allocate(records.orders_with_amounts(facts, once), once)
+        return dws.order_wide(dims.add_sku(allocated, enriched_skus(spark, d)))
+    # Skus join the narrow lines, so the wide rows stay where their order is.
+    allocated = dws.allocate_by_order(facts, dims.with_skus(lines, records.skus(spark, d)))
+    names = (read(spark, d) for read in (records.categories, records.trademarks, records.spus))
+    return dws.order_wide(dims.add_listed_skus(allocated, *names))
 
 
 @query
@@ -389,7 +393,7 @@ def _resent_store(spark: SparkSession, d: str) -> DayStore:
     def build() -> DayStore:
         store = DayStore(
             spark, workspace(spark, "resent"), rows.schema, ("order_id", "order_detail_id"),
-            "create_time", shop_stores(spark, d).wide.grain,
+            "create_time", line_grain(spark, d),
         )
         store.merge(rows, "first")
         for _ in range(2):

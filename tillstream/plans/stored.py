@@ -76,18 +76,21 @@ def once(
     return _BUILT[key]
 
 
+def line_grain(spark: SparkSession, d: str) -> str:
+    """Grain of a store of order lines by the day of their order: orders give the number of days, and the
+    files' row counts that of the lines."""
+    size = spark.read.parquet(f"{d}/lineitem.parquet").count()
+    days = spark.read.parquet(f"{d}/orders.parquet").agg(F.count_distinct(F.to_date("o_orderdate"))).first()[0]
+    return grain_for(size, days)
+
+
 def shop_stores(spark: SparkSession, d: str) -> ShopStores:
     """The stores of a folder's tables."""
     from .batch import full_wide
 
     def build() -> ShopStores:
         rows = dws.store_types(full_wide(spark, d))
-        # Orders give the number of days, and the files' row counts that of the lines.
-        size = spark.read.parquet(f"{d}/lineitem.parquet").count()
-        days = spark.read.parquet(f"{d}/orders.parquet").agg(
-            F.count_distinct(F.to_date("o_orderdate"))
-        ).first()[0]
-        stores = ShopStores.at(spark, workspace(spark, "stores"), rows.schema, grain_for(size, days))
+        stores = ShopStores.at(spark, workspace(spark, "stores"), rows.schema, line_grain(spark, d))
         stores.merge(rows, "load")
         return stores
 

@@ -83,7 +83,9 @@ class DayStore:
                 touched = [r[0] for r in new.select(self._part(F.col("dt"))).distinct().collect()]
                 both = self.read_parts(touched).withColumn("_new", F.lit(0)).unionByName(new)
             order = [F.col(self.version).desc()] if self.version else []
-            merged = latest_per_key(both, ["dt", *self.keys], [*order, F.col("_new").desc()], spread=True)
+            # Rows that lie by a part of the key already, as after a join, stay where they are: a hot part is
+            # split by the join, and only then they move by the whole key.
+            merged = latest_per_key(both, ["dt", *self.keys], [*order, F.col("_new").desc()])
             self._write(merged.drop("_new"), staged)
         finally:
             if merging:
