@@ -88,3 +88,15 @@ def test_words_match_whole_and_in_any_language(spark):
     marked = [r[0] for r in df.select(text.highlight(F.col("t"), "red sea")).collect()]
     assert marked[0] == "<em>Red</em> <em>Sea</em>, <em>red</em>"
     assert marked[1] == "reddish <em>sea</em>" and marked[3] == "leSea"
+
+
+def test_runs_are_told_apart_as_by_the_plain_classes_and_scripts_looked_up_last(spark):
+    """Every character of the first planes beside a letter, a digit, a blank and a Han character."""
+    plain = rf"[{text.SCRIPTS}]+|[\p{{L}}\p{{N}}_&&[^{text.SCRIPTS}]]+"
+    chars = spark.range(0x20, 0x30000).filter("id not between 55296 and 57343").select(
+        F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    texts = chars.select(F.concat(F.lit("Ab"), "c", F.lit("9 "), "c", F.lit("中_"), "c", "c").alias("t"))
+    old = F.regexp_extract_all(F.lower("t"), F.lit(plain), F.lit(0))
+    assert texts.count() > 190_000 and texts.filter(text.runs(F.col("t")) != old).isEmpty()
+    plan = texts.select(text.run_terms(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ascii(" in plan

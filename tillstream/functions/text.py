@@ -12,8 +12,10 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 # Scripts written without blanks between words.
 SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-_WORD_CHAR = rf"[\p{{L}}\p{{N}}_&&[^{SCRIPTS}]]"
-_RUN = rf"[{SCRIPTS}]+|{_WORD_CHAR}+"
+# ASCII first: the script of a character is looked up for others only.
+_WORD_CHAR = rf"[a-zA-Z0-9_[\p{{L}}\p{{N}}&&[^{SCRIPTS}]]]"
+_UNSPACED_CHAR = rf"[\x{{80}}-\x{{10FFFF}}&&[{SCRIPTS}]]"
+_RUN = rf"{_WORD_CHAR}+|{_UNSPACED_CHAR}+"
 _UNSPACED = re.compile(
     "^[฀-໿က-႟ក-៿々〇぀-ヿㇰ-ㇿ㐀-䶿"
     "一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff]+$"
@@ -51,7 +53,8 @@ def run_terms(run: Column) -> Column:
     """Terms of a run: itself, or of a script without blanks every two characters that stand side by
     side, the last one alone."""
     pairs = F.transform(F.sequence(F.lit(1), F.length(run)), lambda i: F.substring(run, i, F.lit(2)))
-    return F.when(run.rlike(rf"^[{SCRIPTS}]"), pairs).otherwise(F.array(run))
+    unspaced = (F.ascii(run) > 127) & run.rlike(rf"^{_UNSPACED_CHAR}")
+    return F.when(unspaced, pairs).otherwise(F.array(run))
 
 
 def query_terms(spark: SparkSession, word: str) -> list[list[str]]:
