@@ -107,3 +107,21 @@ def test_packing_of_many_is_tight(spark):
     for inside in filled.values():
         assert sorted(inside)[0][0] == 0 and sum(n for _, n in inside) <= 2048
     assert lengths.sum() > 0.93 * 2048 * len(filled)
+
+
+def test_frequent_words_outlive_a_full_cache(monkeypatch):
+    """A small cache: ids stay those of the library, and what each text repeats is never dropped."""
+    monkeypatch.setattr(tokens, "CACHED_BYTES", 20_000)
+    encoder = tokens.Encoder(BYTE)
+    for k in range(200):
+        text = "the sea" + "".join(f" w{chr(97 + k % 26)}{chr(97 + j)}q{'x' * (k // 26)}" for j in range(20))
+        expected = encoder.library.encode(text, add_special_tokens=False).ids
+        assert encoder.ids(text).tolist() == expected
+        assert encoder._known(" sea") is not None
+        held = [*encoder.cache.items(), *encoder._older.items()]
+        assert sum(len(p) + len(i) + 152 for p, i in held) <= 20_000
+
+
+def test_a_worker_keeps_room_for_others():
+    """Two or three workers of an executor share what Spark's heap leaves: about 900 MB of 3000."""
+    assert tokens.CACHED_BYTES <= 160 << 20

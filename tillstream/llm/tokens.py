@@ -24,8 +24,9 @@ _LATIN_END = "\u0250"
 _LATIN_SPACE = re.compile("[\x85\xa0]")
 _CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _WORD_ONLY = re.compile(r"[^ \t-\r]+")
-# Most bytes of a worker's cache; a full one is emptied and fills again.
-CACHED_BYTES = 256 << 20
+# Most bytes of a worker's cache. It has two halves: when the newer one is full, the older one goes; what
+# is met again moves to the newer one, so that frequent words stay.
+CACHED_BYTES = 160 << 20
 # What Python needs for an entry beside its letters and ids: two objects and a place in the table.
 _ENTRY_BYTES = 152
 # Longer chunks are not kept.
@@ -65,6 +66,7 @@ class Encoder:
         self.words = regex.compile(WORD_LEVEL if lower else BYTE_LEVEL).findall
         # Ids of chunks and of words; a word alone is a chunk.
         self.cache: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._held = 0
 
     def _packed(self, ids: list[int]) -> bytes:
@@ -76,12 +78,18 @@ class Encoder:
     def _keep(self, piece: str, ids: bytes) -> bytes:
         if len(piece) <= KEPT_LENGTH:
             self._held += len(piece) + len(ids) + _ENTRY_BYTES
-            if self._held > CACHED_BYTES:
-                self.cache.clear()
+            if self._held > CACHED_BYTES // 2:
+                self._older, self.cache = self.cache, {}
                 self._held = 0
             self.cache[piece] = ids
         return ids
 
+    def _known(self, piece: str) -> bytes | None:
+        ids = self.cache.get(piece)
+        if ids is None and (ids := self._older.pop(piece, None)) is not None:
+            self._keep(piece, ids)
+        return ids
+
     def _merged(self, letters: str) -> bytes:
         """Ids of one word in the byte-level alphabet, by the library's model."""
         return self._packed([t.id for t in self.model.tokenize(letters)])
@@ -92,6 +100,8 @@ class Encoder:
         New words are kept. A chunk of several words is kept when all of them were known before, so
         that rare words don't fill the cache with their punctuation.
         """
+        if (ids := self._known(chunk)) is not None:
+            return ids
         last = chunk[-1]
         plain = chunk.isascii()
         latin = plain or (max(chunk) < _LATIN_END and not _LATIN_SPACE.search(chunk))
@@ -101,14 +111,14 @@ class Encoder:
             core = core.lower() if self.lower else core
             body = core[1:] if core[:1] == " " else core
             if body.isalpha():
-                ids = self.cache.get(core)
+                ids = self._known(core)
                 known = ids is not None
                 if not known:
                     word = core if plain else core.encode().decode("latin-1")
                     ids = self._keep(core, self._merged(word.translate(ALPHABET)))
                 if last not in ".,":
                     return self._keep(chunk, ids) if self.lower else ids
-                mark = self.cache.get(last) or self._keep(last, self._merged(last))
+                mark = self._known(last) or self._keep(last, self._merged(last))
                 return self._keep(chunk, ids + mark) if known else ids + mark
         if "<" in chunk and any(s in chunk for s in self.special):
             return self.whole(chunk)
@@ -123,7 +133,7 @@ class Encoder:
         words = self.words(chunk.lower() if self.lower else chunk)
         parts, known = [], True
         for word in words:
-            ids = self.cache.get(word)
+            ids = self._known(word)
             if ids is None:
                 known = False
                 letters = word if plain else word.encode().decode("latin-1")
