@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -278,6 +279,16 @@ def test_repeats_of_odd_documents_and_tiles(spark, odd_docs, no_docs, monkeypatc
     assert sorted(starts) == list(range(5000 - 399))
 
 
+def test_repeats_of_a_long_text_need_little_memory():
+    data = np.random.default_rng(3).integers(97, 101, 4 << 20, np.uint8).tobytes()
+    tracemalloc.start()
+    for parts, ends, _, _ in suffix._tiled([data]):
+        suffix.anchors(parts, ends)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 150 << 20
+
+
 def test_raking_meets_marginals():
     rng = np.random.default_rng(5)
     tokens = rng.integers(50, 500, 24).astype(float)
