@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.llm import imatch, langid, mixing, ngram_join, secrets, suffix
+from tillstream.llm.common import settled
 from tillstream.llm.components import components
 
 from .conftest import DOCS, multiset, shingles, texts_of
@@ -141,6 +142,39 @@ def test_hot_columns_are_cut_into_tiles(spark, monkeypatch):
     assert got == brute_components(texts)
 
 
+def test_sketches_never_tell_a_link_apart():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        n = int(rng.integers(1, 400))
+        pool = rng.integers(0, 1 << 63, 2 * n, np.uint64)
+        sets = [np.unique(pool[: int(rng.integers(max(1, 3 * n // 4), n + 1))]), np.unique(pool[:n])]
+        sets.append(np.unique(np.r_[sets[1][: len(sets[1]) // 2], pool[n:]])[: len(sets[1])])
+        x, y = np.array([0, 1]), np.array([1, 2])
+        bits = ngram_join.differing([ngram_join.sketch(s) for s in sets], x, y)
+        apart = [len(np.setxor1d(sets[a], sets[b])) for a, b in zip(x, y)]
+        assert (bits <= apart).all()
+
+
+def test_texts_that_share_passages_are_not_compared(spark, monkeypatch):
+    """Texts of passages that many have: hundreds of pairs share rare n-grams, none can link."""
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    passages = [" ".join(rng.choices(vocabulary, k=40)) for _ in range(30)]
+    texts = [(k, " ".join(rng.sample(passages, 8))) for k in range(80)]
+    asked = []
+
+    def counted(frame, label):
+        out = settled(frame, label)
+        asked.extend([out.count()] if label == "pairs" else [])
+        return out
+
+    monkeypatch.setattr(ngram_join, "settled", counted)
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()}
+    assert got == brute_components(texts)
+    assert sum(asked) < 40
+
+
 def test_near_copies_of_odd_documents(odd_docs, no_docs):
     rows = ngram_join.jaccard_components(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -12,12 +12,16 @@ pairs of rows. It is worked out in blocks of columns, one or more per task, and
 * Within a column not all pairs are multiplied. First every row is paired with the column's pivot
   of like size, and each row's best pair is verified over its whole sets. Rows so linked are one
   component, and a column whose rows are all of one is done. In the columns left open rows are paired with
-  their neighbours, by size and then in an order by hash, and linked rows are contracted after each round.
+  their neighbours, by size and in an order by hash, and linked rows are contracted.
 * What is then open is multiplied block by block in the tasks: each pair of rows of different components
   whose sizes and places of the common entry still allow a link. Rows of overlap a link needs, alpha, are
   3/7 of both sizes, so a common entry is looked for among the first n - alpha + 1 of either row. A column
-  of more than `TILE` rows is cut into tiles, so no task holds a hot column. No link between components is
-  lost, and a column of a thousand near copies costs thousands of pairs, not a million.
+  of more than `TILE` rows is cut into tiles, so no task holds a hot column. First each row's nearest row of
+  another component is verified and linked rows are contracted, then all pairs that are left. No link
+  between components is lost, and a column of a thousand near copies costs thousands of pairs, not a million.
+* A row has a parity sketch: one or two bits for each member, each the parity of how many members hash to
+  it. Every member that only one of two rows has changes one bit at most, so rows whose sketches differ in
+  more bits than a link leaves members apart can't link, and their sets are never sent.
 
 How frequent an n-gram is only decides the order of columns, so an estimate does: all entries are counted
 in `COUNTERS` counters by hash. A task counts what it reads and passes its counters on in chunks.
@@ -33,6 +37,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +59,9 @@ GROUP = 2000
 # Rows of an open column that one task pairs with each other, or with as many others.
 TILE = 8192
 # Pairs of rows looked at together within a tile.
-STEP = 1 << 20
+STEP = 1 << 18
+# Bits of a sketch: the next power of two to the number of members, within these.
+SKETCH_LEAST, SKETCH_MOST = 64, 1 << 15
 # Bits of the filter over documents whose sets are asked for. More documents than it can tell apart
 # let more rows pass; they are dropped by the join that follows.
 FILTER_BITS = 1 << 25
@@ -79,17 +86,68 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def ngram_set(text: str | None, n: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams of a text."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    size = min(n, len(words))
-    out = np.full(len(words) - size + 1, size, np.uint64)
-    for k in range(size):
+def ngram_sets(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
+    """Sorted distinct hashes of the word n-grams of each text."""
+    lists = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    lengths = [len(words) for words in lists]
+    words = chain.from_iterable(lists)
+    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, sum(lengths))
+    grams = _hashed(hashes, n)
+    sets, start = [], 0
+    for length in lengths:
+        if length >= n:
+            found = np.sort(grams[start : start + length - n + 1])
+        else:
+            found = _hashed(hashes[start : start + length], length)
+        fresh = found[1:] != found[:-1]
+        sets.append(found if fresh.all() else found[np.r_[True, fresh]])
+        start += length
+    return sets
+
+
+def _hashed(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of n words."""
+    out = np.full(max(0, len(hashes) - n + 1) if n else 0, n, np.uint64)
+    for k in range(n):
         out = mixed(out * _ODD[0] + hashes[k : k + len(out)])
-    return np.unique(out)
+    return out
+
+
+def ngram_set(text: str | None, n: int = WORDS) -> np.ndarray:
+    return ngram_sets([text], n)[0]
+
+
+def sketch(members: np.ndarray) -> bytes:
+    """Parities of how many members hash to each bit. The sketch of half the bits is its halves' xor."""
+    bits = min(max(SKETCH_LEAST, 1 << (len(members) - 1).bit_length()), SKETCH_MOST)
+    held = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(held & 1, bitorder="little").tobytes()
+
+
+def differing(sketches: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which the sketches x and y (places in `sketches`) differ, at the shorter one's length; at
+    most so many members do the sets have apart. Neither is longer than twice the other."""
+    words = np.array([len(s) // 8 for s in sketches])
+    short = np.minimum(words[x], words[y])
+    out = np.empty(len(x), np.int64)
+    for w in np.unique(short):
+        own, twice = np.flatnonzero(words == w), np.flatnonzero(words == 2 * w)
+        place = np.zeros(len(words), np.int64)
+        place[own], place[twice] = np.arange(len(own)), len(own) + np.arange(len(twice))
+        same = np.frombuffer(b"".join(sketches[k] for k in own), np.uint64).reshape(-1, w)
+        halves = np.frombuffer(b"".join(sketches[k] for k in twice), np.uint64).reshape(-1, 2, w)
+        table = np.concatenate([same, halves[:, 0] ^ halves[:, 1]])
+        pairs, step = np.flatnonzero(short == w), max(1, (1 << 20) // int(w))
+        for start in range(0, len(pairs), step):
+            part = pairs[start : start + step]
+            other = table[place[x[part]]] ^ table[place[y[part]]]
+            out[part] = np.bitwise_count(other).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _apart(sizes: np.ndarray) -> np.ndarray:
+    """Members that two rows of so many together may have apart in a link."""
+    return sizes - 2 * -(-TOP * sizes // (TOP + BOTTOM))
 
 
 def _identity(members: np.ndarray) -> int:
@@ -106,29 +164,30 @@ def _counter(grams: np.ndarray) -> np.ndarray:
 
 
 def rows_of(docs: DataFrame, text: str, n: int) -> DataFrame:
-    """doc_id, `digest` of its text, `row` (identity of its set), `size`; and each task's counters, by
-    `chunk`."""
-    names = ["doc_id", "digest", "row", "size", "chunk", "counts"]
+    """doc_id, `digest` of its text, `row` (identity of its set), `size`, `sketch`; and each task's
+    counters, by `chunk`."""
+    names = ["doc_id", "digest", "row", "size", "sketch", "chunk", "counts"]
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.uint32)
         for batch in pieces(batches, "_text", 2 << 20):
-            sets = [ngram_set(t, n) for t in batch.column(1).to_pylist()]
-            used, times = np.unique(_counter(np.concatenate(sets)), return_counts=True)
-            counts[used] += times.astype(np.uint32)
+            sets = ngram_sets(batch.column(1).to_pylist(), n)
+            np.add.at(counts, _counter(np.concatenate(sets)), np.uint32(1))
             nothing = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
             rows = [pa.array([_identity(s) for s in sets], pa.int64())]
             rows.append(pa.array([len(s) for s in sets], pa.int64()))
+            rows.append(pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *rows, *nothing], names)
         chunks = counts.reshape(-1, _CHUNK)
         filled = np.flatnonzero(chunks.any(axis=1))
         data = [zlib.compress(chunks[k].tobytes(), 1) for k in filled]
-        nothing = [pa.nulls(len(filled), t) for t in (pa.int64(), pa.string(), pa.int64(), pa.int64())]
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary())
+        nothing = [pa.nulls(len(filled), t) for t in kinds]
         yield pa.RecordBatch.from_arrays(
             [*nothing, pa.array(filled, pa.int32()), pa.array(data, pa.binary())], names
         )
 
-    schema = "doc_id long, digest string, row long, size long, chunk int, counts binary"
+    schema = "doc_id long, digest string, row long, size long, sketch binary, chunk int, counts binary"
     return _source(docs, text).withColumn("digest", F.md5("_text")).mapInArrow(made, schema)
 
 
@@ -161,9 +220,10 @@ def _source(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _prefix(members: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The rarest members, equals in the order of their hash."""
-    count = prefix_length(len(members))
-    return members[np.argsort(counts[_counter(members)], kind="stable")[:count]]
+    """The rarest members by their counters, equals in the order of their hash."""
+    key = counts.astype(np.uint64) << np.uint64(32) | np.arange(len(members), dtype=np.uint64)
+    key.sort()
+    return members[key[: prefix_length(len(members))] & np.uint64(2**32 - 1)]
 
 
 def _blocks(docs: DataFrame, text: str, n: int, counts: np.ndarray) -> DataFrame:
@@ -177,15 +237,16 @@ def _blocks(docs: DataFrame, text: str, n: int, counts: np.ndarray) -> DataFrame
         seen: set[int] = set()
         for batch in pieces(batches, "_text", 2 << 20):
             grams, rows, sizes, spots = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                members = ngram_set(text, n)
+            sets = ngram_sets(batch.column(1).to_pylist(), n)
+            held = counts[_counter(np.concatenate(sets))]
+            for members, end in zip(sets, np.cumsum([len(m) for m in sets])):
                 row = _identity(members)
                 if not len(members) or row in seen:
                     continue  # copies met in this task
                 if len(seen) >= 1_000_000:
                     seen.clear()
                 seen.add(row)
-                part = _prefix(members, counts)
+                part = _prefix(members, held[end - len(members) : end])
                 grams.append(part)
                 rows.append(np.full(len(part), row, np.int64))
                 sizes.append(np.full(len(part), len(members), np.int32))
@@ -346,7 +407,7 @@ def _open(entries: DataFrame, found: DataFrame) -> DataFrame:
     """Entries of the columns that hold rows of two components, with `component` and the column's
     number of `parts`."""
     told = (
-        entries.select("col", "row", "weight", "size", "spot")
+        entries.drop("component", "parts")
         .join(found.withColumnRenamed("node", "row"), "row", "left")
         .withColumn("component", F.coalesce("component", "row"))
     )
@@ -371,38 +432,50 @@ def _neighbours(open_: DataFrame, by_size: bool) -> DataFrame:
     """(a, b): for each row of an open column the neighbour of another component it most often has."""
     place = F.col("size").cast("long") if by_size else F.xxhash64("row", F.lit(1))
     spark = open_.sparkSession
+    values = ["col", "part", "row", "component", "weight", "size"]
     dealt = (
-        open_.select("col", _part().alias("part"), place.alias("place"), "row", "component", "weight")
+        open_.withColumn("part", _part())
+        .withColumn("place", place)
+        .select(*[F.col(v).cast("long").alias(v) for v in values], "place", "sketch")
         .repartition(partitions(spark), "col", "part")
         .sortWithinPartitions("col", "part", "place", "row")
     )
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last, before = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.stack([batch.column(c).to_numpy() for c in ("col", "part", "row", "component", "weight")])
+            rows = np.stack([batch.column(v).to_numpy() for v in values])
+            sketches = batch.column("sketch").to_pylist()
             if last is not None:
-                rows = np.concatenate([last, rows], axis=1)
-            last = rows[:, -1:]
+                rows, sketches = np.concatenate([last, rows], axis=1), before + sketches
+            last, before = rows[:, -1:], sketches[-1:]
             x, y = rows[:, :-1], rows[:, 1:]
             side = (x[0] == y[0]) & (x[1] == y[1]) & (x[3] != y[3])
+            side &= TOP * np.maximum(x[5], y[5]) <= BOTTOM * np.minimum(x[5], y[5])
+            first = np.flatnonzero(side)
+            near = differing(sketches, first, first + 1) <= _apart(x[5] + y[5])[first]
+            first = first[near]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(v[side], pa.int64()) for v in (x[2], y[2], x[4])], ["a", "b", "count"]
+                [pa.array(v[first], pa.int64()) for v in (x[2], y[2], x[4])], ["a", "b", "count"]
             )
 
     pairs = dealt.mapInArrow(made, "a long, b long, count long")
     both = pairs.union(pairs.select("b", "a", "count"))
     best = Window.partitionBy("b").orderBy(F.desc("count"), "a")
     chosen = both.groupBy("a", "b").agg(F.sum("count").alias("count"))
-    chosen = chosen.withColumn("nth", F.row_number().over(best)).filter("nth = 1")
-    return chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _ordered(chosen.withColumn("nth", F.row_number().over(best)).filter("nth = 1"))
 
 
-def _multiplied(rows: np.ndarray) -> Iterator[np.ndarray]:
-    """Pairs (a, b) of one tile whose sizes and places allow a link. `rows`: row, size, spot, component,
-    part, ordered by size; rows of one part only pair with each other where the tile has but one."""
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _multiplied(rows: np.ndarray, sketches: list[bytes]) -> Iterator[np.ndarray]:
+    """Pairs (a, b) of one tile whose sizes, places and sketches allow a link, with the bits in which the
+    sketches differ. `rows`: row, size, spot, component, part, ordered by size; rows of one part only pair
+    with each other where the tile has but one."""
     row, size, spot, component, part = rows
     ends = np.searchsorted(size, BOTTOM * size // TOP, "right")
     count = ends - np.arange(len(row)) - 1
@@ -419,12 +492,25 @@ def _multiplied(rows: np.ndarray) -> Iterator[np.ndarray]:
         keep = (component[x] != component[y]) & (spot[x] <= size[x] - need) & (spot[y] <= size[y] - need)
         if mixed_parts:
             keep &= part[x] != part[y]
-        yield np.stack([row[x[keep]], row[y[keep]]])
+        x, y = x[keep], y[keep]
+        if len(x):
+            low, high = x.min(), y.max() + 1
+            bits = differing(sketches[low:high], x - low, y - low)
+            near = bits <= _apart(both[keep])
+            yield np.stack([row[x[near]], row[y[near]], bits[near]])
         start = stop
 
 
-def _cross_pairs(open_: DataFrame) -> DataFrame:
-    """(a, b): pairs of rows in different components that may link; the product of open columns."""
+def _nearest(pairs: np.ndarray) -> np.ndarray:
+    """Of pairs (a, b, bits) the nearest `a` of each row, as `b`."""
+    both = np.concatenate([pairs, pairs[[1, 0, 2]]], axis=1)
+    both = both[:, np.lexsort((both[0], both[2], both[1]))]
+    return both[:, np.r_[True, both[1, 1:] != both[1, :-1]][: both.shape[1]]]
+
+
+def _cross_pairs(open_: DataFrame, nearest: bool) -> DataFrame:
+    """(a, b): pairs of rows in different components that may link; the product of open columns. With
+    `nearest`, of each row only the one with the row whose sketch differs least."""
     spark = open_.sparkSession
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     tiles = (
@@ -433,7 +519,7 @@ def _cross_pairs(open_: DataFrame) -> DataFrame:
         .select(
             "col", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
             "row", F.col("size").cast("long").alias("size"), F.col("spot").cast("long").alias("spot"),
-            "component", "part",
+            "component", "part", "sketch",
         )
         .repartition(4 * partitions(spark), "col", "low", "high")
         .sortWithinPartitions("col", "low", "high", "size", "row")
@@ -441,17 +527,19 @@ def _cross_pairs(open_: DataFrame) -> DataFrame:
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        sketches: list[bytes] = []
         pairs: list[np.ndarray] = []
         waiting = 0
 
         def sent() -> pa.RecordBatch:
-            out = np.unique(np.concatenate(pairs, axis=1), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], ["a", "b"])
+            found = np.concatenate(pairs, axis=1)
+            out = _nearest(found) if nearest else np.unique(found, axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], ["a", "b", "bits"])
 
         def finished(stop: bool) -> Iterator[pa.RecordBatch]:
             nonlocal waiting
             if held:
-                for found in _multiplied(np.concatenate(held, axis=1)):
+                for found in _multiplied(np.concatenate(held, axis=1), sketches):
                     pairs.append(found)
                     waiting += found.shape[1]
                     if waiting > STEP:
@@ -459,7 +547,8 @@ def _cross_pairs(open_: DataFrame) -> DataFrame:
                         pairs.clear()
                         waiting = 0
                 held.clear()
-            if stop and pairs:
+                sketches.clear()
+            if stop and waiting:
                 yield sent()
 
         key = None
@@ -467,6 +556,7 @@ def _cross_pairs(open_: DataFrame) -> DataFrame:
             keys = np.stack([batch.column(c).to_numpy() for c in ("col", "low", "high")])
             values = ("row", "size", "spot", "component", "part")
             rows = np.stack([batch.column(c).to_numpy() for c in values])
+            own = batch.column("sketch").to_pylist()
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
             for begin, end in zip(np.r_[0, cuts], np.r_[cuts, batch.num_rows]):
                 if begin == end:
@@ -476,9 +566,14 @@ def _cross_pairs(open_: DataFrame) -> DataFrame:
                     yield from finished(False)
                     key = now
                 held.append(rows[:, begin:end])
+                sketches.extend(own[begin:end])
         yield from finished(True)
 
-    return tiles.mapInArrow(made, "a long, b long").distinct()
+    found = tiles.mapInArrow(made, "a long, b long, bits long")
+    if nearest:
+        best = Window.partitionBy("b").orderBy("bits", "a")
+        found = found.withColumn("nth", F.row_number().over(best)).filter("nth = 1")
+    return _ordered(found)
 
 
 def _sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFrame:
@@ -504,7 +599,7 @@ def _sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFrame:
             bit = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1))
             for part in pieces([batch], "_text", 2 << 20):
-                sets = [ngram_set(t, n) for t in part.column(1).to_pylist()]
+                sets = ngram_sets(part.column(1).to_pylist(), n)
                 rows = pa.array([_identity(s) for s in sets], pa.int64())
                 data = pa.array([s.tobytes() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -571,19 +666,26 @@ def jaccard_groups(docs: DataFrame, text: str = "text", n: int = WORDS) -> DataF
     read = settled(rows_of(docs, text, n), "rows")
     columns = settled(_columns(_blocks(docs, text, n, counters(read))), "columns")
     rows = read.filter("chunk is null").select("doc_id", "digest", "row", "size")
-    owners = settled(
-        rows.filter("size > 0").groupBy("row").agg(F.min("doc_id").alias("doc_id")).filter("doc_id is not null"),
-        "owners",
+    named = read.filter("size > 0 and doc_id is not null")
+    sketched = settled(
+        named.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch")), "owners"
     )
+    owners = sketched.select("row", "doc_id")
     best = Window.partitionBy("b").orderBy(F.desc("count"), "a")
     first = _pivot_pairs(columns).withColumn("nth", F.row_number().over(best)).filter("nth = 1")
     links = settled(_verified(docs, text, n, first.select("a", "b"), owners), "links")
     open_ = _open(_entries(columns), components(links))
-    for by_size in (True, False):
-        more = settled(_verified(docs, text, n, _neighbours(open_, by_size), owners), "links")
-        links = links.union(more)
+    sketches = sketched.select("row", "sketch")
+    rounds = (
+        lambda left: _neighbours(left, True).union(_neighbours(left, False)).distinct(),
+        lambda left: _cross_pairs(left, nearest=True),
+    )
+    for paired in rounds:
+        pairs = paired(open_.join(sketches, "row"))
+        links = links.union(settled(_verified(docs, text, n, pairs, owners), "links"))
         open_ = _open(open_, components(links))
-    links = links.union(settled(_verified(docs, text, n, _cross_pairs(open_), owners), "links"))
+    left = _cross_pairs(open_.join(sketches, "row"), nearest=False)
+    links = links.union(settled(_verified(docs, text, n, left, owners), "links"))
     final = settled(components(links), "found")
     named = (
         final.join(owners.withColumnRenamed("row", "node"), "node")
