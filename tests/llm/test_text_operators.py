@@ -12,9 +12,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillstream.llm import imatch, langid, mixing, ngram_join, secrets, suffix
+from tillstream.llm import components as components_module, imatch, langid, mixing, ngram_join, secrets, suffix
 from tillstream.llm.common import settled
 from tillstream.llm.components import components
+from tillstream.session import conf_override
 
 from .conftest import DOCS, multiset, shingles, texts_of
 
@@ -350,3 +351,21 @@ def test_mixing(spark, odd_docs, no_docs):
     assert mixing.mix(mixing.labelled(no_docs)).count() == 0
     labels = {r.doc_id: (r.tokens, r.topic) for r in mixing.labelled(odd_docs).collect()}
     assert labels[3] == (0, -1) and labels[9] == (2, -1)
+
+
+def test_small_graphs_leave_few_files(spark, monkeypatch):
+    """A chain of 300 nodes: one component, and no round writes a file for each shuffle partition."""
+    files = []
+
+    def kept(frame, label):
+        out = settled(frame, label)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(components_module, "settled", kept)
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with conf_override(spark, conf):
+        edges = spark.range(299).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+        found = {r.node: r.component for r in components(edges.repartition(16)).collect()}
+    assert found == dict.fromkeys(range(300), 0)
+    assert max(files) == 1

@@ -2,7 +2,8 @@
 
 Large stars hook every larger neighbour of a node to the smallest of its neighbourhood, small stars
 the smaller ones; after a logarithmic number of rounds each component is a star around its smallest
-node. Rounds are joins and aggregates over written tables; no component is ever gathered.
+node. Rounds are joins and aggregates over written tables; no component is ever gathered. They run in as
+many tasks as there are edges for, so that a small graph doesn't leave a file per task and round.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import settled
+from tillstream.llm.common import few, settled
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -25,19 +26,20 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     `edges` has long columns `u` and `v`; order, repeats, loops and nulls don't matter.
     """
     clean = edges.filter("u is not null and v is not null and u <> v")
-    current = settled(
-        clean.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
-        "edges",
-    )
+    clean = clean.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    count = clean.count()
+    current = settled(few(few(clean, count).distinct(), count), "edges")
     before = None
     for _ in range(most_rounds):
+        # Neither step makes more edges than there are, in both directions.
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _stars(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
-        small = _stars(large)
+        large = few(_stars(few(both, 2 * count)), 2 * count)
+        large = large.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = few(large.filter("u <> v").distinct(), 2 * count)
+        small = few(_stars(large), 2 * count)
         hooked = small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         own = small.select("u", F.col("m").alias("v"))
-        current = settled(hooked.union(own).distinct(), "edges")
+        current = settled(few(few(hooked.union(own), 2 * count).distinct(), 2 * count), "edges")
         # A star around each smallest node stays as it is under both steps.
         now = current.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import partitions, pieces, settled
+from tillstream.llm.common import few, partitions, pieces, settled
 from tillstream.llm.components import components
 
 WORDS = 5
@@ -60,6 +60,8 @@ GROUP = 2000
 TILE = 8192
 # Pairs of rows looked at together within a tile.
 STEP = 1 << 18
+# Whole sets, and entries with their sketch, that are enough for a task.
+SETS_PER_TASK, ENTRIES_PER_TASK = 4_000, 20_000
 # Bits of a sketch: the next power of two to the number of members, within these.
 SKETCH_LEAST, SKETCH_MOST = 64, 1 << 15
 # Bits of the filter over documents whose sets are asked for. More documents than it can tell apart
@@ -403,14 +405,15 @@ def _entries(columns: DataFrame) -> DataFrame:
     )
 
 
-def _open(entries: DataFrame, found: DataFrame) -> DataFrame:
-    """Entries of the columns that hold rows of two components, with `component` and the column's
-    number of `parts`."""
+def _open(entries: DataFrame, found: DataFrame, count: int) -> DataFrame:
+    """Of `count` entries those of the columns that hold rows of two components, with `component` and
+    the column's number of `parts`."""
     told = (
         entries.drop("component", "parts")
         .join(found.withColumnRenamed("node", "row"), "row", "left")
         .withColumn("component", F.coalesce("component", "row"))
     )
+    told = few(told, count)
     columns = (
         told.groupBy("col")
         .agg(
@@ -421,7 +424,7 @@ def _open(entries: DataFrame, found: DataFrame) -> DataFrame:
         .filter("least <> most")
         .select("col", "parts")
     )
-    return settled(told.join(columns, "col"), "open")
+    return settled(few(told.join(few(columns, count), "col"), count), "open")
 
 
 def _part():
@@ -616,18 +619,22 @@ def _verified(docs: DataFrame, text: str, n: int, pairs: DataFrame, owners: Data
     """
     spark = docs.sparkSession
     pairs = settled(pairs, "pairs")
+    most = 2 * pairs.count()  # pivots are no more than pairs, nor are groups
+    pairs = few(pairs, most)
     groups = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     groups = groups.withColumn("groups", F.ceil(F.col("n") / GROUP)).drop("n")
+    groups = few(groups, most)
     dealt = pairs.join(groups, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("part")
     )
     heads = groups.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"))
     # A pivot comes first in each of its groups.
     asked = dealt.withColumn("order", F.lit(1)).unionByName(heads.withColumn("order", F.lit(0)))
-    asked = settled(asked.withColumnRenamed("b", "row").join(owners, "row"), "asked")
+    asked = few(asked.withColumnRenamed("b", "row"), most).join(owners, "row")
+    asked = settled(few(asked, most), "asked")
     sets = _sets(docs, text, n, asked.select("doc_id"))
     sent = asked.join(sets, ["doc_id", "row"]).withColumnRenamed("row", "b")
-    ordered = sent.repartition(partitions(spark), "a", "part").sortWithinPartitions(
+    ordered = few(sent, most, SETS_PER_TASK).repartition(partitions(spark), "a", "part").sortWithinPartitions(
         "a", "part", "order"
     )
 
@@ -651,7 +658,7 @@ def _verified(docs: DataFrame, text: str, n: int, pairs: DataFrame, owners: Data
                 [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["u", "v"]
             )
 
-    return ordered.mapInArrow(made, "u long, v long")
+    return few(ordered, most, SETS_PER_TASK).mapInArrow(made, "u long, v long")
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", n: int = WORDS) -> DataFrame:
@@ -674,17 +681,21 @@ def jaccard_groups(docs: DataFrame, text: str = "text", n: int = WORDS) -> DataF
     best = Window.partitionBy("b").orderBy(F.desc("count"), "a")
     first = _pivot_pairs(columns).withColumn("nth", F.row_number().over(best)).filter("nth = 1")
     links = settled(_verified(docs, text, n, first.select("a", "b"), owners), "links")
-    open_ = _open(_entries(columns), components(links))
+    # Entries of the columns, one at least for each that `_entries` gives.
+    count = columns.agg(F.sum(F.size("rows").cast("long"))).first()[0] or 0
+    open_ = _open(_entries(columns), components(links), count)
     sketches = sketched.select("row", "sketch")
     rounds = (
         lambda left: _neighbours(left, True).union(_neighbours(left, False)).distinct(),
         lambda left: _cross_pairs(left, nearest=True),
     )
     for paired in rounds:
-        pairs = paired(open_.join(sketches, "row"))
+        count = open_.count()
+        pairs = paired(few(open_.join(sketches, "row"), count, ENTRIES_PER_TASK))
         links = links.union(settled(_verified(docs, text, n, pairs, owners), "links"))
-        open_ = _open(open_, components(links))
-    left = _cross_pairs(open_.join(sketches, "row"), nearest=False)
+        open_ = _open(open_, components(links), count)
+    count = open_.count()
+    left = _cross_pairs(few(open_.join(sketches, "row"), count, ENTRIES_PER_TASK), nearest=False)
     links = links.union(settled(_verified(docs, text, n, left, owners), "links"))
     final = settled(components(links), "found")
     named = (
