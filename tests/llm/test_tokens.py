@@ -122,6 +122,14 @@ def test_frequent_words_outlive_a_full_cache(monkeypatch):
         assert sum(len(p) + len(i) + 152 for p, i in held) <= 20_000
 
 
+def test_words_are_held_once():
+    encoder = tokens.Encoder(WORD)
+    text = "the sea, The Sea thé Seaside. sea, thé! o'er"
+    assert encoder.ids(text).tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+    held = sum(len(p) + len(i) + tokens._ENTRY_BYTES for p, i in encoder.cache.items())
+    assert encoder._held == held
+
+
 def test_a_worker_keeps_room_for_others():
     """Two or three workers of an executor share what Spark's heap leaves: about 900 MB of 3000."""
     assert tokens.CACHED_BYTES <= 160 << 20

@@ -24,6 +24,8 @@ _LATIN_END = "\u0250"
 _LATIN_SPACE = re.compile("[\x85\xa0]")
 _CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _WORD_ONLY = re.compile(r"[^ \t-\r]+")
+# Letters below `_LATIN_END`, but for the one whose lower case is two characters.
+_LATIN_WORD = re.compile(" ?[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]+").fullmatch
 # Most bytes of a worker's cache. It has two halves: when the newer one is full, the older one goes; what
 # is met again moves to the newer one, so that frequent words stay.
 CACHED_BYTES = 160 << 20
@@ -68,6 +70,7 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._held = 0
+        self.marks = {mark: self._merged(mark) for mark in ".,"} if self.cut else {}
 
     def _packed(self, ids: list[int]) -> bytes:
         return array(self.dtype.char, ids).tobytes()
@@ -86,7 +89,7 @@ class Encoder:
 
     def _known(self, piece: str) -> bytes | None:
         ids = self.cache.get(piece)
-        if ids is None and (ids := self._older.pop(piece, None)) is not None:
+        if ids is None and self._older and (ids := self._older.pop(piece, None)) is not None:
             self._keep(piece, ids)
         return ids
 
@@ -102,24 +105,27 @@ class Encoder:
         """
         if (ids := self._known(chunk)) is not None:
             return ids
+        # Most new chunks are one word, maybe with a comma or stop, which is a word of its own.
         last = chunk[-1]
+        core = chunk[:-1] if last in self.marks else chunk
+        plain = core.isascii()
+        if (core.isalpha() or (core[:1] == " " and core[1:].isalpha())) if plain else _LATIN_WORD(core):
+            core = core.lower() if self.lower else core
+            # One that stands alone in lower case was looked for already.
+            ids = self._known(core) if core != chunk else None
+            known = ids is not None
+            if not known:
+                # Letters of ASCII stand for themselves.
+                letters = core if core.isalpha() else "\u0120" + core[1:]
+                if not plain:
+                    letters = core.encode().decode("latin-1").translate(ALPHABET)
+                ids = self._keep(core, self._merged(letters))
+            if last not in self.marks:
+                return self._keep(chunk, ids) if core != chunk else ids
+            ids += self.marks[last]
+            return self._keep(chunk, ids) if known else ids
         plain = chunk.isascii()
         latin = plain or (max(chunk) < _LATIN_END and not _LATIN_SPACE.search(chunk))
-        if latin:
-            # Most new chunks are one word, maybe with a comma or stop, which is a word of its own.
-            core = chunk[:-1] if last in ".," else chunk
-            core = core.lower() if self.lower else core
-            body = core[1:] if core[:1] == " " else core
-            if body.isalpha():
-                ids = self._known(core)
-                known = ids is not None
-                if not known:
-                    word = core if plain else core.encode().decode("latin-1")
-                    ids = self._keep(core, self._merged(word.translate(ALPHABET)))
-                if last not in ".,":
-                    return self._keep(chunk, ids) if self.lower else ids
-                mark = self._known(last) or self._keep(last, self._merged(last))
-                return self._keep(chunk, ids + mark) if known else ids + mark
         if "<" in chunk and any(s in chunk for s in self.special):
             return self.whole(chunk)
         if not self.lower and last not in _BLANKS and last.isspace():
