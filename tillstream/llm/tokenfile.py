@@ -203,8 +203,7 @@ def read(spark, folder: str) -> DataFrame:
     """Documents of token files: doc_id, `start` (ids of all documents before), `n_tokens`, `ids`.
 
     `ids` are packed as little-endian unsigned 32-bit integers. Only one number per file is summed
-    up over all files. Workers keep the encoder they may have: the memory of a dropped one is not given
-    back, so one made anew for each run would add to it.
+    up over all files.
     """
     rows = spark.read.schema(SCHEMA).parquet(folder)
     totals = rows.groupBy("file").agg(F.sum("n_ids").alias("_ids"))
@@ -212,6 +211,8 @@ def read(spark, folder: str) -> DataFrame:
     base = totals.select("file", F.coalesce(F.sum("_ids").over(earlier), F.lit(0)).alias("base"))
 
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A worker that encoded before still holds words that reading has no use for.
+        encoder.cache_clear()
         for batch in batches:
             held = {name: batch.column(name) for name in batch.schema.names}
             for k in range(batch.num_rows):
