@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -55,6 +58,26 @@ def test_files_give_back_every_document(spark, odd_docs, no_docs, tmp_path):
     assert tokenfile.read(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_reading_lets_go_of_what_it_read(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"word {k} " * 20) for k in range(3000)], "doc_id LONG, text STRING")
+    tokenfile.write(docs, BYTE, 0, str(tmp_path / "a"))
+
+    def views(batches):
+        list(batches)
+        held = sum(o.nbytes for o in gc.get_objects() if isinstance(o, memoryview))
+        yield pa.RecordBatch.from_arrays([pa.array([held])], ["held"])
+
+    def held():
+        """Bytes that the workers keep alive by views."""
+        counted = spark.range(64, numPartitions=8).mapInArrow(views, "held LONG")
+        return max(r.held for r in counted.collect())
+
+    before = held()
+    read = tokenfile.read(spark, str(tmp_path / "a"))
+    ids = sum(r.n for r in read.selectExpr("length(ids) AS n").collect())
+    assert ids > 500_000 and held() <= before + 10_000
+
+
 def test_counts(odd_docs, no_docs):
     library = Tokenizer.from_file(BYTE)
     got = tokencount.count_tokens(odd_docs, BYTE)

@@ -199,6 +199,34 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str, text: str = "tex
         encode_rows(docs, path, end_id, text).write.option("compression", "none").parquet(folder)
 
 
+def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of file rows: doc_id, file, place within it, number of ids, ids."""
+    # A worker that encoded before still holds words that reading has no use for.
+    encoder.cache_clear()
+    for batch in batches:
+        held = {name: batch.column(name) for name in batch.schema.names}
+        for k in range(batch.num_rows):
+            words = np.frombuffer(held["words"][k].as_buffer(), "<u8")
+            offsets = held["offsets"][k].values.to_numpy(False)
+            ids = unpack(words, offsets, held["n_ids"][k].as_py())
+            lengths = held["lengths"][k].values.to_numpy(False).astype(np.int64)
+            ends = np.cumsum(lengths)
+            starts = ends - lengths
+            # One buffer for all: `pa.array` never lets go of the memoryviews that it is given.
+            places = pa.array(4 * np.r_[0, ends], pa.int32())
+            buffers = [None, places.buffers()[1], pa.py_buffer(ids.astype("<u4"))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    held["doc_ids"][k].values,
+                    pa.array(np.full(len(starts), held["file"][k].as_py(), np.int32)),
+                    pa.array(starts + held["file_start"][k].as_py()),
+                    pa.array(lengths),
+                    pa.Array.from_buffers(pa.binary(), len(starts), buffers),
+                ],
+                ["doc_id", "file", "within", "n_tokens", "ids"],
+            )
+
+
 def read(spark, folder: str) -> DataFrame:
     """Documents of token files: doc_id, `start` (ids of all documents before), `n_tokens`, `ids`.
 
@@ -210,32 +238,8 @@ def read(spark, folder: str) -> DataFrame:
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select("file", F.coalesce(F.sum("_ids").over(earlier), F.lit(0)).alias("base"))
 
-    def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A worker that encoded before still holds words that reading has no use for.
-        encoder.cache_clear()
-        for batch in batches:
-            held = {name: batch.column(name) for name in batch.schema.names}
-            for k in range(batch.num_rows):
-                words = np.frombuffer(held["words"][k].as_buffer(), "<u8")
-                offsets = held["offsets"][k].values.to_numpy(False)
-                ids = unpack(words, offsets, held["n_ids"][k].as_py())
-                lengths = held["lengths"][k].values.to_numpy(False).astype(np.int64)
-                ends = np.cumsum(lengths)
-                starts = ends - lengths
-                data = memoryview(ids.astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        held["doc_ids"][k].values,
-                        pa.array(np.full(len(starts), held["file"][k].as_py(), np.int32)),
-                        pa.array(starts + held["file_start"][k].as_py()),
-                        pa.array(lengths),
-                        pa.array([data[4 * a : 4 * b] for a, b in zip(starts, ends)], pa.binary()),
-                    ],
-                    ["doc_id", "file", "within", "n_tokens", "ids"],
-                )
-
     schema = "doc_id long, file int, within long, n_tokens long, ids binary"
-    decoded = rows.mapInArrow(documents, schema)
+    decoded = rows.mapInArrow(_documents, schema)
     # One number per file, and as many files as the writing shuffle had partitions.
     return decoded.join(F.broadcast(base), "file").select(
         "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids"
