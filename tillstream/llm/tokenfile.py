@@ -60,21 +60,27 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if n % BLOCK:
         held[whole, : n % BLOCK] = values[whole * BLOCK :]
     widest = int(values.max())
+    # By value, the selectors whose ids are too narrow for it; then the most of them from here on.
+    narrow = np.zeros((blocks, width), np.int8)
+    for bits in BITS[1:-1]:
+        if widest >= 1 << int(bits):
+            narrow += held >= np.uint64(1 << int(bits))
+    ahead, seen = narrow.copy(), 1
     # The largest selector whose ids from here on all fit; values past the block count as zero.
     step = np.full((blocks, BLOCK), len(COUNTS) - 1, np.int8)
-    large = np.zeros((blocks, BLOCK + 1), np.int16)
     for selector in range(len(COUNTS) - 2, -1, -1):
         count, bits = int(COUNTS[selector]), int(BITS[selector])
         if widest < 1 << bits:
             step[:] = selector
             continue
-        np.cumsum(held[:, :BLOCK] >= np.uint64(1 << bits), axis=1, out=large[:, 1:])
-        fits = np.empty((blocks, BLOCK), bool)
-        fits[:, : BLOCK + 1 - count] = large[:, count:] == large[:, : BLOCK + 1 - count]
-        fits[:, BLOCK + 1 - count :] = large[:, BLOCK:] == large[:, BLOCK + 1 - count : BLOCK]
+        for k in range(seen, count):
+            reach = max(0, width - k)
+            np.maximum(ahead[:, :reach], narrow[:, k:], out=ahead[:, :reach])
+        seen = count
+        fits = ahead[:, :BLOCK] < max(1, selector)
         if not fits.any():
             break  # no shorter code can fit where this wider one does not
-        step[fits] = selector
+        np.copyto(step, np.int8(selector), where=fits)
     # All blocks walk from word to word together.
     at = np.zeros(blocks, np.int64)
     live = np.arange(blocks)
