@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -67,6 +68,21 @@ def test_no_vectors_and_repeated_rows(spark):
     assert sorted((r.vec_id or 0, r.n_links) for r in got) == [(0, 0), (0, 2), (1, 2), (1, 2)]
 
 
+def test_shards_follow_cores_and_of_two_shards_one_asks_the_other(spark):
+    assert [hnsw.shard_count(n, 8) for n in (0, 5000, 8 * hnsw.SHARD, 8 * hnsw.SHARD + 1)] == [8, 8, 8, 9]
+    for shards in (1, 2, 5, 6):
+        asked = spark.range(shards).select("id", F.explode(hnsw.asked_shards(F.col("id"), shards)).alias("other"))
+        pairs = sorted(tuple(sorted(r)) for r in asked.collect())
+        assert pairs == [(a, b) for a in range(shards) for b in range(a + 1, shards)]
+
+
+def test_what_another_shard_asks_counts_for_both():
+    shard = hnsw._Shard(np.array([1, 2]), np.array([1, 3]), np.array([[1.0, 0.0], [0.0, 1.0]]), 0.95)
+    ids, counts, edges = shard.answer(np.array([7, 8]), np.array([[5.0, 0.1], [1.0, 1.0]]), 0.95, np.array([2, 4]))
+    assert sorted(zip(ids.tolist(), counts.tolist())) == [(1, 2), (7, 1)]
+    assert edges == [(7, 1)]
+
+
 def test_recall_of_a_graph():
     rng = np.random.default_rng(9)
     vectors = rng.normal(size=(3000, 32)).astype(np.float32)

@@ -1,14 +1,16 @@
 """Near-duplicate vectors by hierarchical navigable small-world graphs, one per shard.
 
-Equal vectors are one node. Nodes are dealt to shards by hash; a task builds the graph of its shard and
-then takes all nodes as queries, in batches. Queries of a batch walk the graph together in numpy. A
-beam starts at a width at which the shard's audit passes: sampled nodes, and copies of them moved to the
+Equal vectors are one node. Nodes are dealt to shards by hash, as many as there are cores or as memory asks
+for: each query walks every graph it is sent to, so more shards mean more work. A task builds the graph of
+its shard and then takes its own nodes and those of half of the other shards as queries, in batches: of two
+shards one asks the other, and what it finds counts for both. Queries of a batch walk the graph together in
+numpy. A beam starts at a width at which the shard's audit passes: sampled nodes, and copies of them moved to the
 edge of a link as queries from outside the shard, against brute force, the beam doubled until enough of
 the links are found; a node is not its own link. The beam of a query is doubled again for as long as all
 it holds are links, so that large groups are found whole. Every link is verified by its
 cosine in double precision.
 
-A task gives each query's number of links and a spanning forest of all links it saw, at most
+A task gives the numbers of links and a spanning forest of all links it saw, at most
 (queries + shard) edges, so groups of near copies are not expanded into pairs. Components are joined from
 the forests.
 
@@ -24,7 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import partitions, settled
@@ -35,7 +37,7 @@ NEIGHBOURS = 12  # links of a node on upper levels; twice as many at the bottom
 BUILD_BEAM = 48
 FIRST_BEAM = 24
 AUDIT, AUDIT_RECALL = 256, 0.99
-# Most nodes of a shard; more nodes make more shards than the shuffle has partitions.
+# Most nodes of a shard; more nodes make more shards than there are cores.
 SHARD = 200_000
 _EXPANDED = 4
 
@@ -262,12 +264,15 @@ class _Shard:
         self.beam = self.graph.audited_beam(least)
         self.trees = np.arange(len(ids))
 
-    def answer(self, ids: np.ndarray, vectors: np.ndarray, least: float):
-        """(ids with links, their numbers of links), and new forest edges."""
+    def answer(
+        self, ids: np.ndarray, vectors: np.ndarray, least: float, copies: np.ndarray | None = None
+    ):
+        """(ids with links, their numbers of links), and new forest edges. With the queries' `copies` the
+        shard's nodes have the links as well: they are not asked about these queries."""
         exact = vectors.astype(np.float64)
         norms = np.sqrt((exact**2).sum(axis=1))
         unit = (exact / norms[:, None]).astype(np.float32)
-        counts = np.zeros(len(ids), np.int64)
+        counts, back = np.zeros(len(ids), np.int64), np.zeros(len(self.ids), np.int64)
         edges: list[tuple[int, int]] = []
         for query, node in self.graph.within(unit, least - 1e-5, self.beam):
             cosine = np.einsum("nd,nd->n", exact[query], self.exact[node])
@@ -275,6 +280,8 @@ class _Shard:
             good = (cosine >= least) & (ids[query] != self.ids[node])
             query, node = query[good], node[good]
             np.add.at(counts, query, self.copies[node])
+            if copies is not None:
+                np.add.at(back, node, copies[query])
             order = np.argsort(query, kind="stable")
             query, node = query[order], node[order]
             starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])[: len(query)]
@@ -283,8 +290,8 @@ class _Shard:
                 edges += [(ids[query[a]], self.ids[node[a + k]]) for k in first]
                 if len(trees) > 1:
                     self.trees[np.isin(self.trees, trees)] = trees[0]
-        found = np.flatnonzero(counts)
-        return ids[found], counts[found], edges
+        found, held = np.flatnonzero(counts), np.flatnonzero(back)
+        return np.r_[ids[found], self.ids[held]], np.r_[counts[found], back[held]], edges
 
 
 def _usable() -> str:
@@ -292,6 +299,19 @@ def _usable() -> str:
     return f"size(embedding) > 0 and forall(embedding, x -> {finite}) and exists(embedding, x -> x <> 0)"
 
 
+def shard_count(nodes: int, cores: int) -> int:
+    """One shard for each core, more where a shard would be too large for a task."""
+    return max(1, cores, -(-nodes // SHARD))
+
+
+def asked_shards(own: Column, shards: int) -> Column:
+    """The other shards that nodes of shard `own` are sent to: the next ones round the circle up to the
+    opposite one, so that of any two shards exactly one asks the other."""
+    ahead = F.when(own < shards // 2, shards // 2).otherwise((shards - 1) // 2)
+    steps = F.filter(F.sequence(F.lit(0), F.lit(shards // 2)), lambda k: (k > 0) & (k <= ahead))
+    return F.transform(steps, lambda k: F.pmod(own + k, F.lit(shards)))
+
+
 def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """`vec_id`, `n_links`, `component_id`, `kept` of each row of (vec_id, embedding)."""
     spark = vectors.sparkSession
@@ -302,14 +322,20 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
         "nodes",
     )
     nodes = classes.filter("node is not null")
-    shards = max(partitions(spark), -(-nodes.count() // SHARD))
+    shards = shard_count(nodes.count(), min(partitions(spark), spark.sparkContext.defaultParallelism))
     own = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")
-    index = nodes.select(own.alias("shard"), F.lit(0).alias("order"), "node", "copies", "embedding")
-    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    queries = nodes.select(every.alias("shard"), F.lit(1).alias("order"), "node", "copies", "embedding")
+    # 0: the nodes of a shard, 1: the same as queries, 2: queries of other shards.
+    asked = F.array(
+        F.struct(own.alias("shard"), F.lit(0).alias("order")),
+        F.struct(own.alias("shard"), F.lit(1).alias("order")),
+    )
+    others = F.transform(
+        asked_shards(own, shards), lambda s: F.struct(s.cast("int").alias("shard"), F.lit(2).alias("order"))
+    )
     dealt = (
-        index.unionByName(queries)
-        .repartitionByRange(shards, "shard")
+        nodes.select(F.explode(F.concat(asked, others)).alias("to"), "node", "copies", "embedding")
+        .select("to.shard", "to.order", "node", "copies", "embedding")
+        .repartitionById(shards, F.col("shard"))
         .sortWithinPartitions("shard", "order", "node")
     )
 
@@ -323,6 +349,22 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
             flat = lists.take(pa.array(some)).flatten().to_numpy()
             yield int(length), ids[some], copies[some], flat.reshape(len(some), length)
 
+    def answers(batch, rows: np.ndarray, both: bool, parts: dict, ready: dict) -> Iterator[pa.RecordBatch]:
+        """What a shard, built with the first query of each length, tells of queries."""
+        for length, ids, copies, values in matrix(batch, rows):
+            if length in parts:
+                gathered = [np.concatenate(x) for x in zip(*parts.pop(length))]
+                ready[length] = _Shard(*gathered, least)
+            if length not in ready:
+                continue
+            found, counts, edges = ready[length].answer(ids, values, least, copies if both else None)
+            u = np.r_[found, [a for a, _ in edges]].astype(np.int64)
+            v = [None] * len(found) + [int(b) for _, b in edges]
+            n = np.r_[counts, np.zeros(len(edges), np.int64)].astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(u), pa.array(v, pa.int64()), pa.array(n)], ["u", "v", "links"]
+            )
+
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, parts, ready = None, {}, {}
         for batch in batches:
@@ -332,20 +374,9 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
                     shard, parts, ready = value, {}, {}
                 for length, *rest in matrix(batch, np.flatnonzero((number == value) & (order == 0))):
                     parts.setdefault(length, []).append(rest)
-                asked = np.flatnonzero((number == value) & (order == 1))
-                for length, ids, _, values in matrix(batch, asked):
-                    if length in parts:
-                        gathered = [np.concatenate(x) for x in zip(*parts.pop(length))]
-                        ready[length] = _Shard(*gathered, least)
-                    if length not in ready:
-                        continue
-                    found, counts, edges = ready[length].answer(ids, values, least)
-                    u = np.r_[found, [a for a, _ in edges]].astype(np.int64)
-                    v = [None] * len(found) + [int(b) for _, b in edges]
-                    n = np.r_[counts, np.zeros(len(edges), np.int64)].astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(u), pa.array(v, pa.int64()), pa.array(n)], ["u", "v", "links"]
-                    )
+                for kind in (1, 2):
+                    asked = np.flatnonzero((number == value) & (order == kind))
+                    yield from answers(batch, asked, kind == 2, parts, ready)
 
     # Rows with v are forest edges, the others numbers of links.
     seen = settled(dealt.mapInArrow(made, "u long, v long, links long"), "links")
