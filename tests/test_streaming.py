@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from tillstream.functions.jsontext import good_rows, parse_typed
+from tillstream.functions.times import time_text
+from tillstream.operators import dws
 from tillstream.plans import streams
 from tillstream.plans.streams import Replay
 from tillstream.schemas import ORDER_DONE
-from tillstream.session import folder_names
+from tillstream.session import folder_names, workspace
 from tillstream.sinks import files, results
 from tillstream.sources import records, topics
 from tillstream.streaming import changes, jobs, run
 
+from .compare import difference, duck, duck_rows, spark_rows
 from .conftest import rows_of
 
 DAY = datetime(2024, 1, 1, 12, 0, 0)
@@ -296,3 +301,28 @@ def test_staged_messages_go_once_they_have_landed_and_topics_lie_in_the_small_co
     assert spark.read.parquet(replay.path("T")).count() == 1000
     files = [name for name in folder_names(spark, replay.path("T")) if name.endswith(".parquet")]
     assert len(files) <= 3 * replay.files and all(".zstd." in name for name in files)
+
+
+@pytest.mark.parametrize("name, slices", [("stream_order_full_outer", 2), ("stream_order_split", 4)])
+def test_large_tables_are_cut_into_more_slices_and_read_topics_go(spark, folder, monkeypatch, name, slices):
+    made = []
+    monkeypatch.setattr(streams, "SLICE_LINES", 1400)
+    monkeypatch.setattr(streams, "workspace", lambda spark, label: made.append(workspace(spark, label)) or made[-1])
+    streams.BATCH_SECONDS.clear()
+    rows = spark_rows(queries()[name](spark, folder))
+    assert difference(rows, duck_rows(duck(folder), oracle_sql()[name])) == ""
+    batches = [len(seconds) for seconds in streams.BATCH_SECONDS.values()]
+    assert len(batches) == 1 and batches[0] >= 2 * slices
+    left = set(folder_names(spark, made[0]))
+    assert not left & {"DWD_ORDER_INFO", "DWD_ORDER_DETAIL", "DWS_ORDER_PAIR", "DWS_ORDER_DONE", "checkpoint-job", "checkpoint-wide"}
+
+
+def test_layers_over_more_slices(spark, folder, monkeypatch):
+    monkeypatch.setattr(streams, "SLICE_LINES", 1900)
+    flow = streams.run_layers(spark, folder, "many-layers")
+    wide = dws.order_wide(flow.wide()).withColumn("create_time", time_text(F.col("create_time")))
+    assert difference(spark_rows(wide), duck_rows(duck(folder), oracle_sql()["stream_layers_wide"])) == ""
+    # What one layer alone reads goes once it is read; of the last batch it may stay.
+    for topic, table in (("DWD_ORDER_INFO", "orders"), ("DWD_ORDER_DETAIL", "lineitem")):
+        messages = spark.read.schema(topics.MESSAGE).option("recursiveFileLookup", "true")
+        assert messages.parquet(f"{flow.root}/{topic}").count() < spark.read.parquet(f"{folder}/{table}.parquet").count()
