@@ -20,10 +20,17 @@ def _at_least(df: DataFrame, bounds: dict[str, int] | None) -> DataFrame:
 
 
 def must_match(
-    df: DataFrame, index: PostingIndex, key: str, clauses: dict[str, str], at_least: dict[str, int] | None = None
+    df: DataFrame, index: PostingIndex | dict[str, str], key: str | dict[str, int] | None = None,
+    clauses: dict[str, str] | None = None, at_least: dict[str, int] | None = None,
 ) -> DataFrame:
     """Rows matching every clause (any word of it) and every unscored lower bound: the postings of the
-    clauses are intersected, the searched columns are not read."""
+    clauses are intersected, the searched columns are not read. Without an index, as `must_match(df, clauses,
+    at_least)`, they are."""
+    if not isinstance(index, PostingIndex):
+        rows = _at_least(df, key)
+        for column, words in index.items():
+            rows = rows.filter(matches_any_word(F.col(column), words))
+        return rows
     rows = _at_least(df, at_least)
     for column, words in clauses.items():
         rows = rows.join(index.any_word(column, words).withColumnRenamed("key", key), key, "left_semi")
@@ -31,9 +38,12 @@ def must_match(
 
 
 def should_match(
-    df: DataFrame, index: PostingIndex, key: str, clauses: Sequence[tuple[str, str]], at_least: dict[str, int] | None = None
+    df: DataFrame, index: PostingIndex | Sequence[tuple[str, str]], key: str | dict[str, int] | None = None,
+    clauses: Sequence[tuple[str, str]] | None = None, at_least: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Rows matching at least one clause and every lower bound."""
+    """Rows matching at least one clause and every lower bound; without an index as `must_match`."""
+    if not isinstance(index, PostingIndex):
+        return _at_least(df, key).filter(reduce(Column.__or__, (matches_any_word(F.col(c), w) for c, w in index)))
     hits = [index.any_word(column, words) for column, words in clauses]
     keys = reduce(DataFrame.unionByName, hits).distinct().withColumnRenamed("key", key)
     return _at_least(df, at_least).join(keys, key, "left_semi")
